@@ -11,11 +11,13 @@ from tagloom.catalog.views import (
     LAB,
     TEXT_CLASSES,
     lab,
+    lab_texts,
     scored_lab,
     table,
     text_logit_sql,
     text_model,
     text_probs_sql,
+    texts,
 )
 from tagloom.operators.labels import cluster_purity
 from tagloom.operators.scoring import prediction_record, score_texts, without_failures
@@ -97,7 +99,7 @@ NAME = f"CASE WHEN {text_logit_sql('text')} >= 0 THEN '{TEXT_CLASSES[0]}' ELSE '
     f"SELECT doc_id, CAST({LABEL} AS BIGINT) AS label, round({text_probs_sql('text')}[1], 6) AS p0, round({text_probs_sql('text')}[2], 6) AS p1 FROM documents",
 )
 def scored_documents(spark, sf):
-    scored = without_failures(score_texts(table(spark, sf, "documents").select("doc_id", "text"), text_model()))
+    scored = without_failures(score_texts(texts(spark, sf, "documents", "doc_id", "text"), text_model()))
     p = F.col("probs")
     return scored.select("doc_id", "label", F.round(p[0], 6).alias("p0"), F.round(p[1], 6).alias("p1"))
 
@@ -108,7 +110,7 @@ def scored_documents(spark, sf):
       round({text_probs_sql('text')}[1], 4) AS junk, round({text_probs_sql('text')}[2], 4) AS clean FROM conversations""",
 )
 def text_prediction_record(spark, sf):
-    rows = table(spark, sf, "conversations").select("conv_id", "turn", "text")
+    rows = texts(spark, sf, "conversations", "conv_id", "turn", "text")
     return prediction_record(without_failures(score_texts(rows, text_model())), TEXT_CLASSES, keep=["conv_id", "turn"])
 
 
@@ -116,7 +118,7 @@ CSV_SQL = f"SELECT conv_id || '-' || turn AS \"ID\", {NAME} AS label FROM conver
 
 
 def _csv_rows(spark, sf):
-    rows = table(spark, sf, "conversations")
+    rows = texts(spark, sf, "conversations", "conv_id", "turn", "text")
     return rows.select(F.concat_ws("-", "conv_id", "turn").alias("ID"), "text")
 
 
@@ -144,7 +146,7 @@ VALIDATION = f"""{LAB}, pairs AS (SELECT label, {LABEL} AS pred FROM lab)"""
 def validate_model(spark, sf):
     """The metrics travel through their JSON sink."""
     path = staging_path(spark, "metrics")
-    write_metrics(validate_predictions(lab(spark, sf), text_model()), path)
+    write_metrics(validate_predictions(lab_texts(spark, sf), text_model()), path)
     return spark.read.schema("accuracy double, macro_f1 double").json(path).select(
         F.round("accuracy", 6).alias("accuracy"), F.round("macro_f1", 6).alias("macro_f1")
     )
@@ -156,12 +158,12 @@ def validate_model(spark, sf):
     SELECT round(accuracy, 6) AS accuracy, round(f1, 6) AS macro_f1 FROM macro""",
 )
 def validate_model_remapped(spark, sf):
-    metrics = validate_predictions(lab(spark, sf), text_model(), mapping={"0": 1, "1": 0})
+    metrics = validate_predictions(lab_texts(spark, sf), text_model(), mapping={"0": 1, "1": 0})
     return metrics.select(F.round("accuracy", 6).alias("accuracy"), F.round("macro_f1", 6).alias("macro_f1"))
 
 
 def _train_and_validation(spark, sf):
-    rows = lab(spark, sf).select("doc_id", "text", "label", "lang")
+    rows = lab_texts(spark, sf).select("doc_id", "text", "label", "lang")
     english = F.col("lang") == "en"
     return rows.filter(english).drop("lang"), rows.filter(~english).drop("lang")
 

@@ -73,7 +73,7 @@ def cluster_label_map(spark, sf):
     FROM documents d LEFT JOIN majority m ON m.cluster_id = TRY_CAST(substr(d.source, 4) AS BIGINT)""",
 )
 def cluster_label_lookup(spark, sf):
-    rows = clustered_documents(spark, sf).select("doc_id", "cluster_id")
+    rows = clustered_documents(table(spark, sf, "documents")).select("doc_id", "cluster_id")
     return ops.label_lookup(rows, ops.majority_labels(lab(spark, sf))).select("doc_id", "cluster_id", "label")
 
 
@@ -106,7 +106,7 @@ def label_dictionary(spark, sf):
     FROM (SELECT CAST(label AS BIGINT) AS label FROM embeddings UNION SELECT TRY_CAST(substr(source, 4) AS BIGINT) FROM documents)""",
 )
 def label_dictionary_whole(spark, sf):
-    clusters = clustered_documents(spark, sf).withColumnRenamed("cluster_id", "label")
+    clusters = clustered_documents(table(spark, sf, "documents")).withColumnRenamed("cluster_id", "label")
     return ops.label_dictionary([table(spark, sf, "embeddings"), clusters], whole=True)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tagloom.catalog.registry import query
-from tagloom.catalog.views import table
+from tagloom.catalog.views import table, texts
 from tagloom.functions import text as ops
 from tagloom.operators.lexicon import TOKEN, extract_entities, lemmatize, tokens
 
@@ -46,11 +46,11 @@ def replaced(column: str, *steps: str) -> str:
 
 
 def documents(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", "text")
+    return texts(spark, sf, "documents", "doc_id", "text")
 
 
 def pages(spark, sf):
-    return table(spark, sf, "pages").select("page_id", F.concat_ws(" ", "url", "html").alias("text"))
+    return texts(spark, sf, "pages", "page_id", "url", "html").select("page_id", F.concat_ws(" ", "url", "html").alias("text"))
 
 
 DOCUMENTS = "SELECT doc_id, {} AS text FROM documents"

@@ -202,7 +202,7 @@ def pca_transform(spark, sf):
     """SELECT count(*) AS n, round(sum(v), 6) AS total_variance FROM (
       SELECT i, var_samp(x) AS v FROM (
         SELECT generate_subscripts(embedding, 1) AS i, unnest(list_transform(CAST(embedding AS DOUBLE[]),
-          x -> x / sqrt(list_sum(list_transform(CAST(embedding AS DOUBLE[]), lambda y: y * y))))) AS x FROM embeddings) GROUP BY i)""",
+          lambda x: x / sqrt(list_sum(list_transform(CAST(embedding AS DOUBLE[]), lambda y: y * y))))) AS x FROM embeddings) GROUP BY i)""",
 )
 def pca_total_variance(spark, sf):
     """With every component kept, the components carry the whole variance of the normalised vectors."""

@@ -9,12 +9,14 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tagloom.functions.binding import bind
 from tagloom.functions.vectors import l2_normalize, max_prob, softmax
-from tagloom.operators.sizing import MAX_LOOKUP_ROWS, small_rows
+from tagloom.operators.sizing import MAX_LOOKUP_ROWS, small_rows, spread, staged
 
 # How sharply class scores of embeddings and texts differ.
 EMBEDDING_SCALE = 10.0
 SYMBOL_WEIGHT, LENGTH_WEIGHT, BIAS = 20.0, 0.4, -2.0
+BLANKS = " \t\n\r\f"
 TEXT_CLASSES = ["junk", "clean"]
 
 
@@ -22,6 +24,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf: str, name: str, *columns: str) -> DataFrame:
+    """Columns of a table whose rows take real work each, so every core should get some."""
+    return spread(table(spark, sf, name).select(*columns))
+
+
 # --- labelled documents with a cluster id -----------------------------------------------------------------
 
 LAB = """
@@ -30,14 +37,23 @@ lab AS (
   FROM documents d JOIN labels l ON d.doc_id = l.doc_id)"""
 
 
-def clustered_documents(spark: SparkSession, sf: str) -> DataFrame:
+def clustered_documents(documents: DataFrame) -> DataFrame:
     cluster = F.substring("source", 4, 10).try_cast("bigint")
-    return table(spark, sf, "documents").select("doc_id", "text", "lang", cluster.alias("cluster_id"))
+    return documents.select("doc_id", "text", "lang", cluster.alias("cluster_id"))
 
 
-def lab(spark: SparkSession, sf: str) -> DataFrame:
+def _labelled(spark: SparkSession, sf: str, documents: DataFrame) -> DataFrame:
     labels = table(spark, sf, "labels").select("doc_id", F.col("quality").alias("label"), "toxic")
-    return clustered_documents(spark, sf).join(labels, "doc_id")
+    return clustered_documents(documents).join(labels, "doc_id")
+
+
+def lab(spark: SparkSession, sf: str) -> DataFrame:
+    return _labelled(spark, sf, table(spark, sf, "documents"))
+
+
+def lab_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """The same rows, dealt out to every core for work on their texts."""
+    return _labelled(spark, sf, texts(spark, sf, "documents", "doc_id", "text", "lang", "source"))
 
 
 # --- a two-class text model on the share of symbols and the mean word length ------------------------------
@@ -60,16 +76,11 @@ def text_probs_sql(column: str) -> str:
 
 
 def text_logits(text: Column) -> Column:
-    blank = r"[ \t\n\r\f]"
-    symbols = F.length(F.regexp_replace(text, r"[\p{L} \t\n\r\f]", ""))
-    letters = F.length(F.regexp_replace(text, blank, ""))
-    gaps = F.length(text) - letters
-    score = (
-        SYMBOL_WEIGHT * symbols / F.greatest(F.length(text), F.lit(1))
-        + LENGTH_WEIGHT * (letters / (1.0 + gaps) - 5.0)
-        + BIAS
-    )
-    return F.array(score, F.lit(0.0))
+    symbols = F.length(F.regexp_replace(text, r"[\p{L} \t\n\r\f]++", ""))
+    letters = F.length(F.translate(text, BLANKS, ""))
+    share = symbols / F.greatest(F.length(text), F.lit(1))
+    word_length = bind(letters, lambda n: n / (1.0 + F.length(text) - n))
+    return F.array(SYMBOL_WEIGHT * share + LENGTH_WEIGHT * (word_length - 5.0) + BIAS, F.lit(0.0))
 
 
 def text_model():
@@ -79,12 +90,12 @@ def text_model():
     def load():
         import regex
 
-        symbol, letter = regex.compile(r"[^\p{L} \t\n\r\f]"), regex.compile(r"[^ \t\n\r\f]")
+        plain = regex.compile(r"[\p{L} \t\n\r\f]+")
 
         def scorer(texts):
-            symbols = np.array([len(symbol.findall(t)) for t in texts], dtype=float)
-            letters = np.array([len(letter.findall(t)) for t in texts], dtype=float)
+            symbols = np.array([len(plain.sub("", t)) for t in texts], dtype=float)
             sizes = np.array([len(t) for t in texts], dtype=float)
+            letters = sizes - np.array([sum(map(t.count, BLANKS)) for t in texts], dtype=float)
             features = np.stack([symbols / np.maximum(sizes, 1), letters / (1 + sizes - letters)], axis=1)
             score = weights[0] * features[:, 0] + weights[1] * (features[:, 1] - 5.0) + weights[2]
             return features, np.stack([score, np.zeros(len(texts))], axis=1)
@@ -95,8 +106,8 @@ def text_model():
 
 
 def scored_lab(spark: SparkSession, sf: str) -> DataFrame:
-    """Labelled documents with the class probabilities of the text model."""
-    return lab(spark, sf).withColumn("probs", softmax(text_logits(F.col("text"))))
+    """Labelled documents with the class probabilities of the text model, stored as the scoring stage leaves them."""
+    return staged(lab_texts(spark, sf).withColumn("probs", softmax(text_logits(F.col("text")))), "scored")
 
 
 # --- class centroids of the embeddings and the probabilities they give ------------------------------------
@@ -174,5 +185,6 @@ def bank_and_validation(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFr
         "label",
         max_prob(F.col("probs")).alias("max_prob"),
     )
+    judged = staged(judged, "judged")
     sure = F.col("max_prob") >= BANK_MAX_PROB
     return judged.filter(sure), judged.filter(~sure).withColumnRenamed("vec_id", "val_id")

@@ -13,9 +13,9 @@ def as_integer(c: Column) -> Column:
 
 def nan_to_null(c: Column) -> Column:
     """NaN becomes null, so that a comparison with it is never true."""
-    return F.when(~F.isnan(c), c)
+    return F.nanvl(c.cast("double"), F.lit(None).cast("double"))
 
 
 def at_least(c: Column, threshold: float) -> Column:
     """``c >= threshold`` with missing or NaN counting as false."""
-    return F.coalesce(nan_to_null(c.cast("double")) >= F.lit(float(threshold)), F.lit(False))
+    return F.coalesce(nan_to_null(c) >= F.lit(float(threshold)), F.lit(False))

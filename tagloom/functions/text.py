@@ -15,9 +15,11 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The classes below spell out what \w, \s and \d mean for Unicode text.
+from tagloom.functions.binding import bind
+
+# What \w and \s mean for Unicode text, spelt out as character classes.
 WORD = r"\p{L}\p{N}_"
-SPACE = r"\s\x1c-\x1f"
+SPACE = r" \t\n\x0b\f\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 SEPARATOR = SPACE + r"\-()"
 
 # Placeholder tokens.
@@ -38,18 +40,23 @@ MISSING_CELLS = [
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
 
-_URL = rf"(?iuU)(?:https?://|www\.)[^{SPACE}]++"
+_URL = rf"(?iu)(?:https?://|www\.)[^{SPACE}]++"
 _USER = rf"@[{WORD}]++"
 _EMAIL_LOCAL = r"a-zA-Z0-9_.+\-"
 _EMAIL = rf"(?:\G|(?<![{_EMAIL_LOCAL}]))[{_EMAIL_LOCAL}]++@[a-zA-Z0-9\-]++\.[a-zA-Z0-9.\-]++"
 _DIGIT = r"\p{Nd}"
-_RU_PHONE = rf"(?U)(?:\+7|8)[{SEPARATOR}]*+" + rf"[{SEPARATOR}]*+".join(
+_RU_PHONE = rf"(?:\+7|8)[{SEPARATOR}]*+" + rf"[{SEPARATOR}]*+".join(
     [_DIGIT + "{3}", _DIGIT + "{3}", _DIGIT + "{2}", _DIGIT + "{2}"]
 )
 _DIGIT_RUN = rf"(?:{_DIGIT}[{SEPARATOR}]*+)"
-_PHONE = rf"(?U)\+{_DIGIT_RUN}{{7,}}+|(?:(?<![{SEPARATOR}])[{SEPARATOR}]++)?+{_DIGIT_RUN}{{6,}}+"
+_PHONE = (
+    rf"{_DIGIT_RUN}{{6,}}+|\+{_DIGIT_RUN}{{7,}}+"
+    rf"|[{SEPARATOR}](?<![{SEPARATOR}]{{2}})[{SEPARATOR}]*+{_DIGIT_RUN}{{6,}}+"
+)
 _TAG = r"<[^>\n]++>"
 _CONTROL = r"[\p{C}&&[^\n\t]]"
+# A lone plain space is left alone, so that ordinary text gives no matches.
+_WHITESPACE = rf"(?: [{SPACE}]|[{SPACE}&&[^ ]])[{SPACE}]*+"
 
 
 def _replace(c: Column, pattern: str, token: str) -> Column:
@@ -66,7 +73,7 @@ def mask_users(c: Column, token: str = USER_TOKEN) -> Column:
 
 
 def mask_emails(c: Column, token: str = EMAIL_TOKEN) -> Column:
-    return _replace(c, _EMAIL, token)
+    return bind(c, lambda x: F.when(F.contains(x, F.lit("@")), _replace(x, _EMAIL, token)).otherwise(x))
 
 
 def mask_ru_phones(c: Column, token: str = PHONE_TOKEN) -> Column:
@@ -108,7 +115,7 @@ def strip_tags(c: Column) -> Column:
 
 
 def collapse_whitespace(c: Column) -> Column:
-    return F.trim(_replace(c, rf"(?U)[{SPACE}]++", " "))
+    return F.trim(_replace(c, _WHITESPACE, " "))
 
 
 def decode_and_compose(c: Column, entities: bool = True, nfkc: bool = True) -> Column:
@@ -129,7 +136,7 @@ def decode_and_compose(c: Column, entities: bool = True, nfkc: bool = True) -> C
 
         return texts.map(one)
 
-    return F.coalesce(rewrite(F.when(c.rlike(wanted), c)), c)
+    return F.coalesce(rewrite(bind(c, lambda x: F.when(x.rlike(wanted), x))), c)
 
 
 def missing_as_nan_text(c: Column, markers: list[str] | None = None) -> Column:

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tagloom.functions.binding import bind
+
 NORM_FLOOR = 1e-12
 
 
@@ -14,9 +16,9 @@ def _total(c: Column) -> Column:
     return F.aggregate(c, F.lit(0.0), lambda acc, x: acc + x)
 
 
-def _each_with(c: Column, scalar: Column, combine: Callable[[Column, Column], Column]) -> Column:
-    """Combine every element with one scalar that is computed once per row, not once per element."""
-    return F.zip_with(c, F.array_repeat(scalar, F.size(c)), combine)
+def _each_with(c: Column, scalar: Callable[[Column], Column], combine: Callable[[Column, Column], Column]) -> Column:
+    """Combine every element with one scalar drawn from the array, both computed once per row."""
+    return bind(c, lambda xs: bind(scalar(xs), lambda s: F.transform(xs, lambda x: combine(x, s))))
 
 
 def is_valid_vector(c: Column, dim: int) -> Column:
@@ -39,25 +41,32 @@ def l2_distance(a: Column, b: Column) -> Column:
 
 def l2_normalize(c: Column) -> Column:
     """Divide by the Euclidean norm, floored at 1e-12 so that a zero vector stays zero."""
-    wide = F.transform(c, lambda x: x.cast("double"))
-    norm = F.greatest(F.sqrt(_total(F.transform(wide, lambda x: x * x))), F.lit(NORM_FLOOR))
-    return _each_with(wide, norm, lambda x, n: x / n)
+
+    def norm(xs: Column) -> Column:
+        squares = F.aggregate(xs, F.lit(0.0), lambda acc, x: acc + x * x)
+        return F.greatest(F.sqrt(squares), F.lit(NORM_FLOOR))
+
+    return _each_with(F.transform(c, lambda x: x.cast("double")), norm, lambda x, n: x / n)
 
 
 def max_prob(c: Column) -> Column:
     """Largest probability; null for a missing or empty array and for any missing or NaN element."""
-    broken = F.exists(c, lambda x: x.isNull() | F.isnan(x))
-    return F.when((F.size(c) > 0) & ~broken, F.array_max(c)).cast("double")
+
+    def largest(xs: Column) -> Column:
+        broken = F.exists(xs, lambda x: x.isNull() | F.isnan(x))
+        return F.when((F.size(xs) > 0) & ~broken, F.array_max(xs)).cast("double")
+
+    return bind(c, largest)
 
 
 def softmax(logits: Column) -> Column:
-    raised = _each_with(logits, F.array_max(logits), lambda x, peak: F.exp(x - peak))
-    return _each_with(raised, _total(raised), lambda x, total: x / total)
+    raised = _each_with(logits, F.array_max, lambda x, peak: F.exp(x - peak))
+    return _each_with(raised, _total, lambda x, total: x / total)
 
 
 def argmax(c: Column) -> Column:
     """Zero-based position of the largest element, the first one on ties."""
-    return (F.array_position(c, F.array_max(c)) - 1).cast("bigint")
+    return bind(c, lambda xs: F.array_position(xs, F.array_max(xs)) - 1).cast("bigint")
 
 
 def class_name(index: Column, classes: list[str], fallback_to_index: bool = False) -> Column:

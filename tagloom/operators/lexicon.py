@@ -82,23 +82,27 @@ def extract_entities(
     known = small_rows(names, max_gazetteer_rows)
     if known is not None:
         name_of = dict(zip(known["_form"].to_pylist(), known["_name"].to_pylist()))
-
-        @F.arrow_udf("array<string>")
-        def spans(batch: pa.Array) -> pa.Array:
-            found = []
-            for ws in batch.to_pylist():
-                hits, at = [], 0
-                while at < len(ws):
-                    for size in range(min(max_words, len(ws) - at), 0, -1):
+        longest = {}
+        for form in name_of:
+            first, size = form.split(" ", 1)[0], form.count(" ") + 1
+            if size <= max_words:
+                longest[first] = max(size, longest.get(first, 0))
+
+        def names_in(ws):
+            hits, end = [], 0
+            for at, word in enumerate(ws):
+                if at >= end and word in longest:
+                    for size in range(min(longest[word], len(ws) - at), 0, -1):
                         hit = name_of.get(" ".join(ws[at : at + size]))
                         if hit is not None:
                             hits.append(hit)
-                            at += size
+                            end = at + size
                             break
-                    else:
-                        at += 1
-                found.append(hits)
-            return pa.array(found, pa.list_(pa.string()))
+            return hits
+
+        @F.arrow_udf("array<string>")
+        def spans(batch: pa.Array) -> pa.Array:
+            return pa.array([names_in(ws) for ws in batch.to_pylist()], pa.list_(pa.string()))
 
         return rows.withColumn(out, spans(words))
 

@@ -63,6 +63,15 @@ def lookup_join(
     return df.join(side, key, how)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of a source with fewer splits than cores out to all cores; leave any other as it is.
+
+    Meant for a plain scan ahead of costly work per row. A large source has splits enough and is not moved.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it; only a local session gets a temporary one."""
     sc = spark.sparkContext
