@@ -34,6 +34,17 @@ def cluster_label_counts(spark, sf):
     return ops.cluster_label_counts(lab(spark, sf), whole_labels=True)
 
 
+@query(
+    "incomplete_rows",
+    """SELECT count(*) AS total_rows, count(*) FILTER (l.quality IS NULL) AS dropped_rows
+    FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
+)
+def incomplete_rows(spark, sf):
+    labels = table(spark, sf, "labels").select("doc_id", F.col("quality").alias("label"))
+    documents = clustered_documents(table(spark, sf, "documents")).select("doc_id", "cluster_id")
+    return ops.incomplete_rows(documents.join(labels, "doc_id", "left"))
+
+
 @query("cluster_purity", f"WITH {PURITY} SELECT cluster_id, round(purity, 6) AS purity FROM purity")
 def cluster_purity(spark, sf):
     return ops.cluster_purity(lab(spark, sf)).withColumn("purity", F.round("purity", 6))

@@ -12,6 +12,8 @@ from tagloom.operators import metrics as ops
 from tagloom.operators.labels import label_lookup, majority_labels
 from tagloom.operators.neighbors import contrastive_loss
 from tagloom.operators.ranking import best_so_far, running_mean
+from tagloom.operators.sizing import staged
+from tagloom.plans.evaluate import evaluate_batches
 
 # Judged pairs: the label of an embedding against the class its probabilities favour.
 PAIRS = """
@@ -187,6 +189,23 @@ def total_loss(spark, sf):
     return both.select("batch_id", F.round(loss, 6).alias("total_loss"))
 
 
+@query(
+    "joint_evaluation",
+    f"""WITH {EMBEDDING_PROBS}, {PAIRS}, {VECS}, {SUPCON},
+    masked AS (SELECT * FROM probed WHERE max_prob >= 0.4), {scores_sql('masked')},
+    ce AS (SELECT batch_id, coalesce(avg(-ln(probs[label + 1])) FILTER (max_prob >= 0.4), 0) AS c FROM probed GROUP BY 1),
+    losses AS (SELECT avg(c) AS c, avg(coalesce(metric_loss, 0)) AS m FROM ce LEFT JOIN supcon ON supcon.batch_id = ce.batch_id)
+    SELECT 'classification_loss' AS name, round(c, 6) AS value FROM losses
+    UNION ALL SELECT 'metric_loss', round(m, 6) FROM losses
+    UNION ALL SELECT 'total_loss', round(c + 0.5 * m, 6) FROM losses
+    {" ".join(f"UNION ALL SELECT '{m}', round({m}, 6) FROM macro" for m in ops.METRICS)}""",
+)
+def joint_evaluation(spark, sf):
+    sure = (F.col("max_prob") >= 0.4).cast("bigint")
+    rows = staged(probed(spark, sf).withColumns({"classification_mask": sure, "metric_mask": F.lit(1)}), "judged")
+    return rounded(evaluate_batches(rows, metric_weight=0.5), ["value"])
+
+
 @query(
     "running_mean",
     """SELECT event_id, event_type, round(avg(ln(1 + value)) OVER (

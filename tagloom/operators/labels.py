@@ -26,6 +26,14 @@ def cluster_label_counts(
     return kept.dropna(subset=[cluster, label]).groupBy(cluster, label).agg(F.count(F.lit(1)).alias("n"))
 
 
+def incomplete_rows(rows: DataFrame, cluster: str = "cluster_id", label: str = "label") -> DataFrame:
+    """One row: how many rows there are, and how many the counts leave out for a missing cluster or label."""
+    require_columns(rows, [cluster, label], "clustered rows")
+    numeric = {f.name for f in rows.schema.fields if f.dataType.typeName() in ("float", "double")}
+    missing = [F.col(c).isNull() | (F.isnan(c) if c in numeric else F.lit(False)) for c in (cluster, label)]
+    return rows.agg(F.count(F.lit(1)).alias("total_rows"), F.count_if(missing[0] | missing[1]).alias("dropped_rows"))
+
+
 def purity_from_counts(counts: DataFrame, cluster: str = "cluster_id") -> DataFrame:
     return counts.groupBy(cluster).agg((F.max("n") / F.sum("n")).alias("purity"))
 

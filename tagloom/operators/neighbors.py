@@ -48,27 +48,27 @@ def nearest_neighbors(
     bank_id: str = "vec_id",
     vector: str = "embedding",
     distance: str = "cos",
+    carry_query: dict[str, str] | None = None,
+    carry_bank: dict[str, str] | None = None,
     cell_rows: int | None = None,
 ) -> DataFrame:
     """Exact ``k`` nearest bank vectors of every query vector: (query id, bank id, score, rank).
 
     ``cos`` ranks by inner product, largest first, and expects unit vectors; ``l2`` by distance, smallest
-    first. Equal scores rank by bank id. A bank smaller than ``k`` is used whole.
+    first. Equal scores rank by bank id. A bank smaller than ``k`` is used whole. ``carry_query`` and
+    ``carry_bank`` name further columns to keep and what to call them, which saves joining them back.
     """
     require_positive(k=k)
     require_choice(distance, ["cos", "l2"], "distance")
-    require_columns(queries, [query_id, vector], "query vectors")
-    require_columns(bank, [bank_id, vector], "bank vectors")
-    schema = T.StructType(
-        [
-            T.StructField("_q", queries.schema[query_id].dataType),
-            T.StructField("_b", bank.schema[bank_id].dataType),
-            T.StructField("_score", T.DoubleType()),
-        ]
-    )
+    carry_query, carry_bank = carry_query or {}, carry_bank or {}
+    require_columns(queries, [query_id, vector, *carry_query], "query vectors")
+    require_columns(bank, [bank_id, vector, *carry_bank], "bank vectors")
     dim = vector_width(bank, vector)
-    left = queries.select(F.col(query_id).alias("_q"), F.col(vector).alias("_v")).filter(is_valid_vector(F.col("_v"), dim))
-    right = bank.select(F.col(bank_id).alias("_b"), F.col(vector).alias("_v")).filter(is_valid_vector(F.col("_v"), dim))
+    left = _vectors(queries, vector, dim, {query_id: "_q", **carry_query})
+    right = _vectors(bank, vector, dim, {bank_id: "_b", **carry_bank})
+    query_fields, bank_fields = left.drop("_v").schema.fields, right.drop("_v").schema.fields
+    query_names, bank_names = [f.name for f in query_fields], [f.name for f in bank_fields]
+    schema = T.StructType([*query_fields, *bank_fields, T.StructField("_score", T.DoubleType())])
     left_rows, right_rows = left.count(), right.count()
     cores = queries.sparkSession.sparkContext.defaultParallelism
     rows = cell_rows or rows_per_cell(left_rows, right_rows, dim, cores)
@@ -78,14 +78,17 @@ def nearest_neighbors(
     right = _in_cells(right, "_b", "_rb", right_blocks, "_lb", left_blocks)
 
     def best_in_cell(queries_table: pa.Table, bank_table: pa.Table) -> pa.Table:
-        empty = pa.table({"_q": queries_table["_q"].slice(0, 0), "_b": bank_table["_b"].slice(0, 0), "_score": pa.array([], pa.float64())})
-        if queries_table.num_rows == 0 or bank_table.num_rows == 0:
-            return empty
-
         def matrix(table):
             flat = pc.list_flatten(table["_v"]).to_numpy()
             return np.ascontiguousarray(flat, dtype=np.float64).reshape(table.num_rows, dim)
 
+        def answer(picked_queries, picked_bank, scores):
+            columns = {n: queries_table[n].take(pa.array(picked_queries, pa.int64())) for n in query_names}
+            columns |= {n: bank_table[n].take(pa.array(picked_bank, pa.int64())) for n in bank_names}
+            return pa.table({**columns, "_score": pa.array(scores, pa.float64())})
+
+        if queries_table.num_rows == 0 or bank_table.num_rows == 0:
+            return answer([], [], [])
         a, b = matrix(queries_table), matrix(bank_table)
         order = pc.sort_indices(bank_table["_b"]).to_numpy()
         b = b[order]
@@ -93,7 +96,7 @@ def nearest_neighbors(
         slack = 1e-9 * (1.0 + np.sqrt(2 * half_norms.max()) * np.sqrt((a * a).sum(axis=1).max()))
         keep = min(k, len(b))
         step = max(1, SLICE_ENTRIES // len(b))
-        picked_q, picked_b, scores = [], [], []
+        picked_queries, picked_bank, scores = [], [], []
         for start in range(0, len(a), step):
             part = a[start : start + step]
             # The matrix product only narrows the choice; kept pairs are scored one by one, so that
@@ -110,26 +113,30 @@ def nearest_neighbors(
                 else:
                     exact = np.sqrt(((part[i] - b[near]) ** 2).sum(axis=1))
                     best = np.argsort(exact, kind="stable")[:keep]
-                picked_q.append(np.full(len(best), start + i))
-                picked_b.append(order[near[best]])
+                picked_queries.append(np.full(len(best), start + i))
+                picked_bank.append(order[near[best]])
                 scores.append(exact[best])
-        return pa.table(
-            {
-                "_q": queries_table["_q"].take(pa.array(np.concatenate(picked_q))),
-                "_b": bank_table["_b"].take(pa.array(np.concatenate(picked_b))),
-                "_score": pa.array(np.concatenate(scores)),
-            }
-        )
+        return answer(np.concatenate(picked_queries), np.concatenate(picked_bank), np.concatenate(scores))
 
     candidates = left.groupBy("_lb", "_rb").cogroup(right.groupBy("_lb", "_rb")).applyInArrow(best_in_cell, schema)
     by_score = F.col("_score").desc() if distance == "cos" else F.col("_score").asc()
     window = Window.partitionBy("_q").orderBy(by_score, F.col("_b").asc())
     ranked = candidates.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= k)
     return ranked.select(
-        F.col("_q").alias(query_id), F.col("_b").alias(bank_id), F.col("_score").alias("score"), F.col("rank").cast("bigint")
+        F.col("_q").alias(query_id),
+        F.col("_b").alias(bank_id),
+        F.col("_score").alias("score"),
+        F.col("rank").cast("bigint"),
+        *carry_query.values(),
+        *carry_bank.values(),
     )
 
 
+def _vectors(df: DataFrame, vector: str, dim: int, names: dict[str, str]) -> DataFrame:
+    valid = df.filter(is_valid_vector(F.col(vector), dim))
+    return valid.select(*[F.col(c).alias(name) for c, name in names.items()], F.col(vector).alias("_v"))
+
+
 def _in_cells(df: DataFrame, key: str, own: str, own_blocks: int, other: str, other_blocks: int) -> DataFrame:
     """Give each row a block of its own side and a copy per block of the other side."""
     blocks = F.sequence(F.lit(0), F.lit(other_blocks - 1))
@@ -149,12 +156,18 @@ def neighbor_labels(
     cell_rows: int | None = None,
 ) -> DataFrame:
     """Neighbours with their labels and the label of the query: the input of the two scores below."""
-    near = nearest_neighbors(
-        queries, bank, k, query_id=query_id, bank_id=bank_id, vector=vector, distance=distance, cell_rows=cell_rows
+    return nearest_neighbors(
+        queries,
+        bank,
+        k,
+        query_id=query_id,
+        bank_id=bank_id,
+        vector=vector,
+        distance=distance,
+        carry_query={label: "query_label"},
+        carry_bank={label: "bank_label"},
+        cell_rows=cell_rows,
     )
-    bank_labels = bank.select(bank_id, F.col(label).alias("bank_label"))
-    query_labels = queries.select(query_id, F.col(label).alias("query_label"))
-    return near.join(bank_labels, bank_id).join(query_labels, query_id)
 
 
 def recall_at_k(neighbors: DataFrame, ks: list[int], query_id: str = "val_id") -> DataFrame:
@@ -258,7 +271,7 @@ def contrastive_loss(
     label: str = "label",
     mask: str = "mask",
     temperature: float = 0.1,
-    cell_rows: int = 4096,
+    cell_rows: int | None = None,
 ) -> DataFrame:
     """Supervised contrastive loss of every batch over its rows with a positive mask.
 
@@ -273,9 +286,11 @@ def contrastive_loss(
         F.col(batch).alias("_batch"), F.col(key).alias("_id"), F.col(vector).alias("_v"), F.col(label).alias("_label")
     )
     sizes = kept.groupBy("_batch").agg(F.count(F.lit(1)).alias("_rows"))
-    total = sizes.agg(F.sum("_rows")).first()[0] or 0
-    packs = max(1, math.ceil(total / cell_rows))
-    blocks = F.ceil(F.col("_rows") / F.lit(cell_rows)).cast("int")
+    total, largest = (n or 0 for n in sizes.agg(F.sum("_rows"), F.max("_rows")).first())
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    side = cell_rows or rows_per_cell(largest, largest, dim, cores)
+    packs = max(1, math.ceil(total / min(side, cell_rows or MIN_CELL_ROWS)))
+    blocks = F.ceil(F.col("_rows") / F.lit(side)).cast("int")
     placed = lookup_join(kept, sizes, "_batch", "inner", "batch sizes").select(
         "_batch", "_id", "_v", "_label",
         F.pmod(F.xxhash64("_batch"), F.lit(packs)).alias("_pack"),
@@ -313,12 +328,15 @@ def contrastive_loss(
         right_rows = rows_by(right["_batch"])
         for value, mine in rows_by(left["_batch"]).items():
             theirs = right_rows.get(value, [])
-            weight = np.exp(a[mine] @ b[theirs].T / tau)
-            weight[a_ids[mine][:, None] == b_ids[theirs][None, :]] = 0.0
-            same = a_labels[mine][:, None] == b_labels[theirs][None, :]
-            positive[mine] = (weight * same).sum(axis=1)
-            whole[mine] = weight.sum(axis=1)
-            pairs[mine] = (same & (a_ids[mine][:, None] != b_ids[theirs][None, :])).sum(axis=1)
+            step = max(1, SLICE_ENTRIES // max(1, len(theirs)))
+            for start in range(0, len(mine), step):
+                part = mine[start : start + step]
+                other = a_ids[part][:, None] != b_ids[theirs][None, :]
+                same = other & (a_labels[part][:, None] == b_labels[theirs][None, :])
+                weight = np.exp(a[part] @ b[theirs].T / tau) * other
+                positive[part] = (weight * same).sum(axis=1)
+                whole[part] = weight.sum(axis=1)
+                pairs[part] = same.sum(axis=1)
         return pa.table(
             {
                 "_batch": left["_batch"],

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from tagloom.checks import require_columns
 from tagloom.functions.text import missing_as_nan_text
 from tagloom.operators.labels import remap_predictions
-from tagloom.operators.metrics import classification_metrics
-from tagloom.operators.neighbors import knn_macro_f1, last_batches, neighbor_labels, recall_at_k
+from tagloom.operators.metrics import METRICS, classification_metrics, masked_cross_entropy, total_loss
+from tagloom.operators.neighbors import contrastive_loss, knn_macro_f1, last_batches, neighbor_labels, recall_at_k
 from tagloom.operators.scoring import Scorer, score_texts
 from tagloom.operators.sizing import staged
 from tagloom.sources.tables import dense_mapping, read_by_extension, write_metrics
@@ -49,6 +49,37 @@ def run_validation(
     return metrics
 
 
+def evaluate_batches(
+    rows: DataFrame,
+    *,
+    batch: str = "batch_id",
+    key: str = "vec_id",
+    classification_mask: str = "classification_mask",
+    metric_mask: str = "metric_mask",
+    temperature: float = 0.1,
+    smoothing: float = 0.0,
+    classification_weight: float = 1.0,
+    metric_weight: float = 1.0,
+) -> DataFrame:
+    """Validation of a joint model: mean losses over the batches and scores over the masked rows: (name, value).
+
+    ``rows`` carry ``label``, ``pred``, ``probs`` and ``embedding`` next to the two masks.
+    """
+    cross = masked_cross_entropy(rows, mask=classification_mask, smoothing=smoothing, by=[batch])
+    contrast = contrastive_loss(rows, batch=batch, key=key, mask=metric_mask, temperature=temperature)
+    names = ["classification_loss", "metric_loss"]
+    losses = cross.join(contrast, batch).agg(*[F.coalesce(F.avg(n), F.lit(0.0)).alias(n) for n in names])
+    total = total_loss(F.col(names[0]), F.col(names[1]), classification_weight, metric_weight)
+    scores = classification_metrics(rows.filter(F.col(classification_mask) > 0), "label", "pred")
+    return _long(losses.withColumn("total_loss", total), [*names, "total_loss"]).unionByName(_long(scores, METRICS))
+
+
+def _long(row: DataFrame, names: list[str]) -> DataFrame:
+    """A one-row table turned into (name, value) rows."""
+    cells = F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).alias("value")) for n in names])
+    return row.select(F.inline(cells))
+
+
 def evaluate_embeddings(
     queries: DataFrame,
     bank: DataFrame,
