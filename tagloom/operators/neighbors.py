@@ -89,14 +89,30 @@ def nearest_neighbors(
 
         if queries_table.num_rows == 0 or bank_table.num_rows == 0:
             return answer([], [], [])
+        def distinct(vectors):
+            """First place of each distinct vector, and for each row which of them it is."""
+            whole = vectors.view(np.dtype((np.void, vectors.itemsize * dim))).ravel()
+            _, first, which = np.unique(whole, return_index=True, return_inverse=True)
+            return first, which
+
+        # Copies are compared once. Of equal bank vectors only the k with the smallest ids can be chosen.
         a, b = matrix(queries_table), matrix(bank_table)
+        first, which = distinct(a)
+        a = a[first]
         order = pc.sort_indices(bank_table["_b"]).to_numpy()
+        _, group = distinct(b[order])
+        by_group = np.argsort(group, kind="stable")
+        sizes = np.bincount(group)
+        place = np.empty(len(group), dtype=np.int64)
+        place[by_group] = np.arange(len(group)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        order = order[place < k]
         b = b[order]
+
         half_norms = (b * b).sum(axis=1) / 2
         slack = 1e-9 * (1.0 + np.sqrt(2 * half_norms.max()) * np.sqrt((a * a).sum(axis=1).max()))
         keep = min(k, len(b))
         step = max(1, SLICE_ENTRIES // len(b))
-        picked_queries, picked_bank, scores = [], [], []
+        chosen, scores = [], []
         for start in range(0, len(a), step):
             part = a[start : start + step]
             # The matrix product only narrows the choice; kept pairs are scored one by one, so that
@@ -113,10 +129,10 @@ def nearest_neighbors(
                 else:
                     exact = np.sqrt(((part[i] - b[near]) ** 2).sum(axis=1))
                     best = np.argsort(exact, kind="stable")[:keep]
-                picked_queries.append(np.full(len(best), start + i))
-                picked_bank.append(order[near[best]])
+                chosen.append(order[near[best]])
                 scores.append(exact[best])
-        return answer(np.concatenate(picked_queries), np.concatenate(picked_bank), np.concatenate(scores))
+        picked = np.repeat(np.arange(len(which)), keep)
+        return answer(picked, np.concatenate([chosen[w] for w in which]), np.concatenate([scores[w] for w in which]))
 
     candidates = left.groupBy("_lb", "_rb").cogroup(right.groupBy("_lb", "_rb")).applyInArrow(best_in_cell, schema)
     by_score = F.col("_score").desc() if distance == "cos" else F.col("_score").asc()
