@@ -19,7 +19,8 @@ from tagloom.catalog.views import (
     text_probs_sql,
     texts,
 )
-from tagloom.operators.labels import cluster_purity
+from tagloom.operators.labels import class_counts, cluster_purity
+from tagloom.operators.sampling import balance_by_score
 from tagloom.operators.scoring import prediction_record, score_texts, without_failures
 from tagloom.operators.sizing import staging_path
 from tagloom.plans import refresh as refresh_plan
@@ -90,6 +91,21 @@ def mask_fractions(spark, sf):
     return fractions.withColumns({f"{m}_fraction": F.round(f"{m}_fraction", 6) for m in ("metric", "classification")})
 
 
+@query(
+    "refresh_class_counts",
+    f"""WITH {JUDGED}
+    SELECT label, count(*) AS before, (SELECT min(n) FROM sizes) AS after FROM kept WHERE label IS NOT NULL GROUP BY label""",
+)
+def refresh_class_counts(spark, sf):
+    """Rows per class before and after balancing."""
+    rows = scored_lab(spark, sf)
+    judged = refresh_plan.judge_rows(rows, cluster_purity(lab(spark, sf)), LIMITS)
+    kept = refresh_plan.mask_rows(judged, LIMITS)
+    before = class_counts(kept).withColumnRenamed("n", "before")
+    after = class_counts(balance_by_score(kept, "label", "max_prob", "doc_id")).withColumnRenamed("n", "after")
+    return before.join(after, "label")
+
+
 LABEL = f"CASE WHEN {text_logit_sql('text')} >= 0 THEN 0 ELSE 1 END"
 NAME = f"CASE WHEN {text_logit_sql('text')} >= 0 THEN '{TEXT_CLASSES[0]}' ELSE '{TEXT_CLASSES[1]}' END"
 

@@ -19,7 +19,12 @@ from tagloom.functions.binding import bind
 
 # What \w and \s mean for Unicode text, spelt out as character classes.
 WORD = r"\p{L}\p{N}_"
-SPACE = r" \t\n\x0b\f\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+# The inner class tests one range first, so that letters are told apart by two checks.
+OTHER_SPACE = (
+    r"\t\n\x0b\f\r\x1c-\x1f\x85\xa0"
+    r"[\u1680-\u3000&&[\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]]"
+)
+SPACE = " " + OTHER_SPACE
 SEPARATOR = SPACE + r"\-()"
 
 # Placeholder tokens.
@@ -56,7 +61,7 @@ _PHONE = (
 _TAG = r"<[^>\n]++>"
 _CONTROL = r"[\p{C}&&[^\n\t]]"
 # A lone plain space is left alone, so that ordinary text gives no matches.
-_WHITESPACE = rf"(?: [{SPACE}]|[{SPACE}&&[^ ]])[{SPACE}]*+"
+_WHITESPACE = rf"(?: [{SPACE}]|[{OTHER_SPACE}])[{SPACE}]*+"
 
 
 def _replace(c: Column, pattern: str, token: str) -> Column:

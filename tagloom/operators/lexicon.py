@@ -44,12 +44,12 @@ def lemmatize(
         if len(lemma_of) != known.num_rows:
             raise ValueError("lexicon holds more than one row for some token")
 
-        @F.arrow_udf("array<string>")
+        @F.arrow_udf("string")
         def lemmas(batch: pa.Array) -> pa.Array:
-            found = ([lemma_of[w] for w in ws if lemma_of.get(w)] for ws in batch.to_pylist())
-            return pa.array(list(found), pa.list_(pa.string()))
+            found = (filter(None, map(lemma_of.get, line.split(" "))) for line in batch.to_pylist())
+            return pa.array([" ".join(line) for line in found], pa.string())
 
-        return rows.withColumn(out, F.array_join(lemmas(words), " "))
+        return rows.withColumn(out, lemmas(F.array_join(words, " ")))
     exploded = rows.select(key, F.posexplode(words).alias("_pos", "token"))
     found = lookup_join(exploded, lexicon.select("token", "lemma"), "token", "inner", "lexicon", max_lexicon_rows)
     found = found.filter(F.length("lemma") > 0)
@@ -102,15 +102,18 @@ def extract_entities(
 
         @F.arrow_udf("array<string>")
         def spans(batch: pa.Array) -> pa.Array:
-            return pa.array([names_in(ws) for ws in batch.to_pylist()], pa.list_(pa.string()))
+            return pa.array([names_in(line.split(" ")) for line in batch.to_pylist()], pa.list_(pa.string()))
+
+        return rows.withColumn(out, spans(F.array_join(words, " ")))
 
-        return rows.withColumn(out, spans(words))
+    def grams_at(pos: Column) -> Column:
+        sizes = F.sequence(F.lit(1), F.least(F.lit(max_words), F.size("_w") - pos))
+        form = lambda size: F.array_join(F.slice("_w", pos + 1, size), " ")
+        return F.transform(sizes, lambda size: F.struct(pos.alias("_pos"), size.alias("_size"), form(size).alias("_form")))
 
     listed = rows.select(key, words.alias("_w")).filter(F.size("_w") > 0)
-    starts = listed.select(key, "_w", F.posexplode("_w").alias("_pos", "_first"))
-    grams = starts.select(
-        key, "_pos", F.explode(F.sequence(F.lit(1), F.least(F.lit(max_words), F.size("_w") - F.col("_pos")))).alias("_size"), "_w"
-    ).select(key, "_pos", "_size", F.array_join(F.slice("_w", F.col("_pos") + 1, F.col("_size")), " ").alias("_form"))
+    starts = F.sequence(F.lit(0), F.size("_w") - 1)
+    grams = listed.select(key, F.inline(F.flatten(F.transform(starts, grams_at))))
     hits = lookup_join(grams, names, "_form", "inner", "gazetteer", max_gazetteer_rows)
     longest = hits.groupBy(key, "_pos").agg(F.max(F.struct("_size", "_name")).alias("_hit"))
     ordered = longest.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_pos", "_hit"))).alias("_hits"))

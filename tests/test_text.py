@@ -85,7 +85,8 @@ PYTHON = {
 }
 PIECES = st.sampled_from(
     ["1", "22", "345", "8", "+7", "+", " ", "  ", "-", "(", ")", "a", "b.c", "_", "@", ".", "http://", "www.", "<", ">",
-     "\n", "\t", " ", "\x85", "\x1c", "½", "é", "٣", "ё", "&amp;", "&lt;", "ﬁ", "x@y.z", "12 34 56"]
+     "\n", "\t", "\xa0", "\u2003", "\u3000", "\u200b", "\u1fff", "\x85", "\x1c", "½", "é", "٣", "ё",
+     "&amp;", "&lt;", "ﬁ", "x@y.z", "12 34 56"]
 )
 
 
