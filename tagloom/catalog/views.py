@@ -53,7 +53,8 @@ def lab(spark: SparkSession, sf: str) -> DataFrame:
 
 def lab_texts(spark: SparkSession, sf: str) -> DataFrame:
     """The same rows, dealt out to every core for work on their texts."""
-    return _labelled(spark, sf, texts(spark, sf, "documents", "doc_id", "text", "lang", "source"))
+    documents = table(spark, sf, "documents")
+    return spread(_labelled(spark, sf, documents), documents)
 
 
 # --- a two-class text model on the share of symbols and the mean word length ------------------------------

@@ -63,13 +63,15 @@ def lookup_join(
     return df.join(side, key, how)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of a source with fewer splits than cores out to all cores; leave any other as it is.
+def spread(df: DataFrame, source: DataFrame | None = None) -> DataFrame:
+    """Deal the rows of ``df`` out to all cores when the scan behind it has fewer splits than there are cores.
 
-    Meant for a plain scan ahead of costly work per row. A large source has splits enough and is not moved.
+    Meant ahead of costly work per row. ``source`` is that scan where ``df`` is more than the scan itself. A
+    large source has splits enough and its rows are not moved.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    splits = (df if source is None else source).rdd.getNumPartitions()
+    return df if splits >= cores else df.repartition(cores)
 
 
 def shared_folder(spark: SparkSession) -> str:
