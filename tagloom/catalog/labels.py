@@ -154,7 +154,7 @@ def num_classes(spark, sf):
 
 @query(
     "remap_predictions",
-    """SELECT vec_id, label, mapped FROM embeddings JOIN (VALUES
+    """SELECT vec_id, label, CAST(mapped AS BIGINT) AS mapped FROM embeddings JOIN (VALUES
       (0, 2), (1, 0), (2, 0), (3, 1), (4, 1), (5, 2), (6, 0), (7, 1), (8, 2), (9, 0)) m(pred, mapped) ON label = pred""",
 )
 def remap_predictions(spark, sf):

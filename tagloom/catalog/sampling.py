@@ -84,6 +84,7 @@ def resume_pending(spark, sf):
 
 @query("sample_limit", "SELECT vec_id, label FROM embeddings WHERE embedding IS NOT NULL ORDER BY vec_id LIMIT 300")
 def sample_limit(spark, sf):
+    """Fitting stops after a given number of valid vectors; the limit is the operator."""
     rows = table(spark, sf, "embeddings")
     valid = rows.filter(is_valid_vector(F.col("embedding"), vector_width(rows, "embedding")))
     return ops.first_n(valid, 300, "vec_id").select("vec_id", "label")

@@ -171,6 +171,7 @@ def knn_macro_f1(spark, sf):
     WHERE batch_id IN (SELECT DISTINCT batch_id FROM bank ORDER BY batch_id DESC LIMIT 3)""",
 )
 def embedding_bank_last_n(spark, sf):
+    """Retention of the last batches; the limit is the operator."""
     bank, _ = bank_and_validation(spark, sf)
     return ops.last_batches(bank, 3).select("vec_id", "batch_id", "label")
 

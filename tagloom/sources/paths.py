@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -20,15 +23,20 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jvm_path)
 
 
+def _plain(uri: str) -> str:
+    """One spelling for the ways a file URI may be written."""
+    return re.sub(r"^file:/+", "file:/", unquote(uri)).rstrip("/")
+
+
 def qualified(spark: SparkSession, path: str) -> str:
     jvm_path, fs = _hadoop_path(spark, path)
-    return fs.makeQualified(jvm_path).toString().rstrip("/")
+    return _plain(fs.makeQualified(jvm_path).toString())
 
 
 def refuse_overwrite_of_input(df: DataFrame, path: str) -> None:
     """A plan must never write over a path it still reads from."""
     target = qualified(df.sparkSession, path)
     for name in df.inputFiles():
-        source = qualified(df.sparkSession, name)
+        source = _plain(name)
         if source == target or source.startswith(target + "/"):
             raise ValueError(f"Refusing to overwrite {path}: the same plan reads {name}")
