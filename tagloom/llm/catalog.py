@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom.catalog.views import table
-from tagloom.llm import decontaminate, exact_dedup, pieces, simhash, toxicity
+from tagloom.llm import class_lm, decontaminate, exact_dedup, host_reputation, pieces, pii, simhash, token_rollup, toxicity, warc
+from tagloom.operators.sizing import staged, staging_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -109,3 +110,117 @@ def op10(spark, sf):
     """Group of equal texts of every document, and which one stays."""
     docs = table(spark, sf, "documents").select("doc_id", "text")
     return exact_dedup.mark_copies(docs).select("doc_id", *exact_dedup.ADDED)
+
+
+@query("op3_warc")
+def op3(spark, sf):
+    """Every page written to archives, looked up through the index and read back."""
+    pages = table(spark, sf, "pages").select("page_id", "url", "html")
+    _, index = warc.archive(pages)
+    captures = warc.lookup(pages.select(warc.url_key(F.col("url")).alias("key")), index)
+    records = warc.read_records(captures, with_payload=False)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+RULES = [
+    ("net", "/", "block"),
+    ("example.net", "/en/", "allow"),
+    ("example.com", "/de/", "block"),
+    ("org", "/fr/", "allow"),
+]
+
+
+def shrunk(level: str, above: str, by: str, groups: str) -> str:
+    """SQL of one level of the reputations: groups with the mean of what stands above them, and their own."""
+    return f"""{level}0 AS (SELECT g.*, {'p.mean' if by else 'top.mean'} AS parent FROM {groups} g {f'JOIN {above} p USING ({by})' if by else 'CROSS JOIN top'}),
+    {level}s AS (SELECT CASE WHEN coalesce(pairs, 0) = 0 OR over_ <= 0 THEN 1000.0 ELSE least(1000.0, greatest(1.0, pairs / over_ - 1)) END AS k
+      FROM (SELECT sum(power(bad - n * parent, 2) - n * parent * (1 - parent)) AS over_, sum(n * (n - 1) * parent * (1 - parent)) AS pairs
+        FROM {level}0 WHERE n > 0)),
+    {level} AS (SELECT x.*, k, (k * parent + bad) / (k + n) AS mean FROM {level}0 x CROSS JOIN {level}s)"""
+
+
+SECOND = ", ".join(f"'{s}'" for s in host_reputation.SECOND_LEVEL)
+LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@query(
+    "op4_host_reputation",
+    f"""WITH page AS (SELECT page_id, {LOWER.format("regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1)")} AS host,
+      regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+    marks AS (SELECT doc_id, max(1 - quality) AS bad FROM labels WHERE quality IN (0, 1) GROUP BY 1),
+    hosts AS (SELECT host, CAST(count(bad) AS DOUBLE) AS n, CAST(coalesce(sum(bad), 0) AS DOUBLE) AS bad
+      FROM page LEFT JOIN marks ON doc_id = page_id GROUP BY 1),
+    bare AS (SELECT *, string_split(regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', ''), '.') AS labels FROM hosts),
+    placed AS (SELECT host, n, bad, array_to_string(labels[-(CASE WHEN array_to_string(labels[-2:], '.') IN ({SECOND}) THEN 3 ELSE 2 END):], '.') AS domain FROM bare),
+    named AS (SELECT *, CASE WHEN contains(domain, '.') THEN substr(domain, strpos(domain, '.') + 1) ELSE domain END AS suffix FROM placed),
+    domains AS (SELECT suffix, domain, sum(n) AS n, sum(bad) AS bad FROM named GROUP BY 1, 2),
+    suffixes AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM domains GROUP BY 1),
+    top AS (SELECT (coalesce(sum(bad), 0) + 0.5) / (coalesce(sum(n), 0) + 1) AS mean FROM suffixes),
+    {shrunk('ls', '', '', 'suffixes')},
+    {shrunk('ld', '(SELECT suffix, mean FROM ls)', 'suffix', 'domains')},
+    {shrunk('lh', '(SELECT domain, mean FROM ld)', 'domain', 'named')},
+    rated AS (SELECT host, 1 / (1 + exp(-(ln((k * parent + bad) / (k * (1 - parent) + n - bad))
+      - {host_reputation.Z} * sqrt(1 / (k * parent + bad) + 1 / (k * (1 - parent) + n - bad))))) AS bound FROM lh),
+    rules(rule_host, rule_path, verdict) AS (VALUES {', '.join(str(r) for r in RULES)}),
+    fits AS (SELECT DISTINCT p.host, p.path, rule_host || rule_path AS rule, verdict,
+      row_number() OVER (PARTITION BY p.host, p.path ORDER BY length(rule_host || rule_path) DESC, length(rule_host) DESC, verdict) AS place
+      FROM (SELECT DISTINCT host, path FROM page) p JOIN rules r ON (p.host = rule_host OR ends_with(p.host, '.' || rule_host)) AND starts_with(p.path, rule_path))
+    SELECT page_id, page.host, page.path, rule, coalesce(verdict, CASE WHEN bound > {host_reputation.MAX_BAD} THEN 'block' ELSE 'allow' END) AS verdict
+    FROM page JOIN rated USING (host) LEFT JOIN fits ON fits.host = page.host AND fits.path = page.path AND place = 1""",
+)
+def op4(spark, sf):
+    """Verdict on every page's url; the quality labels tell which pages are bad."""
+    labels = table(spark, sf, "labels").select(F.col("doc_id").alias("page_id"), (1 - F.col("quality")).alias("bad"))
+    pages = table(spark, sf, "pages").select("page_id", "url")
+    judged = host_reputation.judge(pages, labels, host_reputation.rules_table(spark, RULES))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op7_class_lm")
+def op7(spark, sf):
+    """Log probability of every document under the class model and the base model."""
+    docs = table(spark, sf, "documents").select("doc_id", "text").withColumn("held_out", held_out(7, 2))
+    return class_lm.score(docs, ~F.col("held_out"))
+
+
+@query("op8_pii")
+def op8(spark, sf):
+    """Personal data in every document."""
+    found = pii.find(table(spark, sf, "documents").select("doc_id", "text"))
+    kinds = F.array(*[F.lit(k) for k in pii.KINDS])
+
+    def written(spans: str):
+        parts = F.transform(spans, lambda s: F.concat_ws(":", F.element_at(kinds, s["kind"] + 1), s["start"], s["stop"]))
+        return F.array_join(parts, ",")
+
+    counts = [F.size(F.filter("base", lambda s, i=i: s["kind"] == i)).cast("bigint").alias(f"n_{k}") for i, k in enumerate(pii.KINDS)]
+    return found.select("doc_id", *counts, F.sha2(written("base"), 256).alias("base_sha256"), written("spans").alias("spans"))
+
+
+@query("op9_token_rollup")
+def op9(spark, sf):
+    """Token totals after a load, a withdrawal, its repetition, and a revision of what isn't English.
+
+    Documents labelled of low quality are withdrawn; documents in other languages are counted anew by the tokenizer
+    for many languages. Totals are compacted half-way.
+    """
+    docs = table(spark, sf, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    docs = token_rollup.with_token_counts(docs, f"{TOKENIZERS}/byte_bpe_50k.tiktoken", "byte_bpe_50k")
+    docs = token_rollup.with_token_counts(docs, f"{TOKENIZERS}/byte_bpe_multi_50k.tiktoken", "byte_bpe_multi_50k", where="lang <> 'en'")
+    counted = staged(docs.drop("text"), "token_counts")
+    low = table(spark, sf, "labels").filter("quality = 0").select("doc_id").distinct()
+    withdrawn = counted.join(low, "doc_id", "left_semi")
+    rollup = token_rollup.Rollup(spark, staging_path(spark, "rollup"))
+    rollup.commit("load", token_rollup.signed(counted, 1, "byte_bpe_50k", "byte_bpe_50k"))
+    taken = token_rollup.signed(withdrawn, -1, "byte_bpe_50k", "byte_bpe_50k")
+    rollup.commit("withdraw", taken)
+    rollup.compact()
+    rollup.commit("withdraw", taken)
+    revised = counted.join(low, "doc_id", "left_anti").filter("byte_bpe_multi_50k IS NOT NULL")
+    rollup.commit(
+        "revise",
+        token_rollup.signed(revised, -1, "byte_bpe_50k", "byte_bpe_50k").unionByName(
+            token_rollup.signed(revised, 1, "byte_bpe_multi_50k", "byte_bpe_multi_50k")
+        ),
+    )
+    return rollup.totals()
