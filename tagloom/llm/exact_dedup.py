@@ -35,7 +35,7 @@ def _first(key: Column) -> list[Column]:
     return [F.col("_chars").desc(), key.asc_nulls_last()]
 
 
-def _hot(rows: DataFrame, key: Column, min_rows: int) -> tuple[DataFrame, DataFrame] | None:
+def _hot(rows: DataFrame, key: Column, content: Column, min_rows: int) -> tuple[DataFrame, DataFrame] | None:
     """Hashes that need slices, and size and head of each of their groups; None where there are no such hashes."""
     total = rows.count()
     counts = rows.groupBy("_hash").agg(F.count("*").alias("_n")).filter(F.col("_n") >= max(min_rows, total // HOT_PARTS + 1))
@@ -49,7 +49,7 @@ def _hot(rows: DataFrame, key: Column, min_rows: int) -> tuple[DataFrame, DataFr
     best = F.min(F.struct((-F.col("_chars")).alias("c"), key.isNull().alias("z"), key.alias("k")))
     groups = (
         rows.join(hashes, "_hash")
-        .groupBy("_hash", normalised(F.col("_text")).alias("_content"))
+        .groupBy("_hash", content.alias("_content"))
         .agg(F.count("*").alias("_size"), best.alias("_best"))
     )
     return hashes, groups.select(
@@ -71,24 +71,27 @@ def mark_copies(df: DataFrame, key: str = "doc_id", text: str = "text", min_hot_
     own = [c for c in df.columns if c.lower() not in added and not c.startswith("_")]
     if key not in own or text not in own:
         raise ValueError(f"the table needs its columns {key} and {text}")
-    content = normalised(F.col("_text"))
-    rows = (
-        df.select(*[df[f"`{c}`"] for c in own], df[f"`{text}`"].cast("string").alias("_text"))
-        .withColumn("_chars", F.coalesce(F.length("_text"), F.lit(0)))
-        .withColumn("_lead", F.substring(content, 1, LEAD))
-        .withColumn("_hash", F.xxhash64(content))
+    body = F.col(f"`{text}`").cast("string")
+    content = normalised(body)
+    rows = df.select(
+        *[df[f"`{c}`"] for c in own],
+        F.coalesce(F.length(body), F.lit(0)).alias("_chars"),
+        F.substring(content, 1, LEAD).alias("_lead"),
+        F.xxhash64(content).alias("_hash"),
     )
     id_ = F.col(f"`{key}`")
-    hot = _hot(rows.select(f"`{key}`", "_text", "_chars", "_hash"), id_, min_hot_rows)
+    hot = _hot(rows, id_, content, min_hot_rows)
     if hot is None:
-        sliced = rows.withColumn("_slice", F.lit(0))
+        sliced, parts = rows, ["_lead", "_hash"]
     else:
         hashes, groups = hot
         slot = F.pmod(F.xxhash64(id_.cast("string")), F.col("_slices")).cast("int")
+        parts = ["_lead", "_hash", "_slice"]
         sliced = rows.join(hashes, "_hash", "left").withColumn("_slice", F.coalesce(slot, F.lit(-1))).drop("_slices")
 
-    placed = sliced.repartitionByRange("_lead", "_hash", "_slice").withColumn("_content", content)
-    group = Window.partitionBy("_lead", "_hash", "_slice", "_content").orderBy(*_first(id_))
+    # ranges of these columns hold whole groups of them and the content, so the sort needs no other shuffle
+    placed = sliced.repartitionByRange(*parts).withColumn("_content", content)
+    group = Window.partitionBy(*parts, "_content").orderBy(*_first(id_))
     whole = group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     marked = placed.select(
         *[f"`{c}`" for c in own],
