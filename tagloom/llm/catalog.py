@@ -133,9 +133,9 @@ RULES = [
 def shrunk(level: str, above: str, by: str, groups: str) -> str:
     """SQL of one level of the reputations: groups with the mean of what stands above them, and their own."""
     return f"""{level}0 AS (SELECT g.*, {'p.mean' if by else 'top.mean'} AS parent FROM {groups} g {f'JOIN {above} p USING ({by})' if by else 'CROSS JOIN top'}),
-    {level}s AS (SELECT CASE WHEN coalesce(pairs, 0) = 0 OR over_ <= 0 THEN 1000.0 ELSE least(1000.0, greatest(1.0, pairs / over_ - 1)) END AS k
-      FROM (SELECT sum(power(bad - n * parent, 2) - n * parent * (1 - parent)) AS over_, sum(n * (n - 1) * parent * (1 - parent)) AS pairs
-        FROM {level}0 WHERE n > 0)),
+    {level}s AS (SELECT CASE WHEN coalesce(pairs, 0) = 0 OR over_ <= 0 THEN most ELSE least(most, greatest(1.0, pairs / over_ - 1)) END AS k
+      FROM (SELECT sum(power(bad - n * parent, 2) - n * parent * (1 - parent)) AS over_, sum(n * (n - 1) * parent * (1 - parent)) AS pairs,
+        least({host_reputation.MAX_STRENGTH}, greatest(1.0, coalesce(sum(n), 0))) AS most FROM {level}0)),
     {level} AS (SELECT x.*, k, (k * parent + bad) / (k + n) AS mean FROM {level}0 x CROSS JOIN {level}s)"""
 
 

@@ -24,6 +24,7 @@ from tagloom.operators.sizing import staged
 SECOND_LEVEL = ("co.uk", "org.uk", "ac.uk", "gov.uk", "com.au", "net.au", "org.au", "co.nz", "co.jp", "or.jp", "com.br", "co.in", "co.za", "com.cn")
 MAX_BAD = 0.25
 Z = 1.645
+MAX_STRENGTH = 1000.0
 MAX_BROADCAST_BYTES = 8 << 20
 ADDED = ("host", "path", "rule", "verdict")
 
@@ -58,16 +59,19 @@ def rules_table(spark: SparkSession, rules: list[tuple[str, str, str]]) -> DataF
 
 
 def _strength(groups: DataFrame) -> float:
-    """How many pages of its parent a group of this level is worth: 1 / correlation - 1, between 1 and 1000."""
+    """How many pages of its parent a group of this level is worth: 1 / correlation - 1, at least 1.
+
+    It never passes ``MAX_STRENGTH`` nor the number of labelled pages, so few labels don't make a sure prior.
+    """
     n, bad, mean = F.col("n"), F.col("bad"), F.col("parent")
     spread = mean * (1 - mean)
-    sums = groups.filter("n > 0").agg(
-        F.sum((bad - n * mean) ** 2 - n * spread).alias("over"), F.sum(n * (n - 1) * spread).alias("pairs")
-    )
-    row = sums.first()
+    row = groups.agg(
+        F.sum((bad - n * mean) ** 2 - n * spread).alias("over"), F.sum(n * (n - 1) * spread).alias("pairs"), F.sum("n").alias("n")
+    ).first()
+    most = min(MAX_STRENGTH, max(1.0, float(row["n"] or 0)))
     if not row["pairs"] or row["over"] <= 0:
-        return 1000.0
-    return float(min(1000.0, max(1.0, row["pairs"] / row["over"] - 1)))
+        return most
+    return float(min(most, max(1.0, row["pairs"] / row["over"] - 1)))
 
 
 def reputations(hosts: DataFrame, z: float = Z) -> DataFrame:

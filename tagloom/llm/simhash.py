@@ -85,7 +85,7 @@ def _cell(fingerprint: Column, parts: int) -> Column:
     width = 64 // parts
     cell = F.lit(0).cast("bigint")
     for k in range(parts):
-        part = F.shiftrightunsigned(fingerprint, width * k).bitwiseAND(F.lit((1 << width) - 1))
+        part = F.shiftrightunsigned(fingerprint, width * k).bitwiseAND(F.lit((1 << width) - 1 if width < 64 else -1))
         cell = cell + F.bit_count(part).cast("bigint") * (BASE**k)
     return cell
 

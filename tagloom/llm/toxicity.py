@@ -38,6 +38,7 @@ MIN_LETTERS, MAX_LETTERS = 4, 32
 WINDOW = 5
 # fixed values: marks and words that tell the contexts of a hit
 OPENING, CLOSING = '"“„«‘', '"”“»’'
+MARKS = "“”„«»‘’‚‹›…–—¡¿"
 REPORTING = frozenset(
     "said says say called calls wrote writes quote quoted quotes word term phrase sagte schrieb nannte wort dit disait écrit mot "
     "dijo dice escribió palabra".split()
@@ -45,6 +46,12 @@ REPORTING = frozenset(
 ADDRESS = frozenset("you your youre u ur du dich dein deine ihr euch tu te toi ton vous votre tú usted ustedes".split())
 
 
+def lexical_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Words without the typographic marks that stick to them, and their rows."""
+    words, rows = split_words(texts, ALNUM)
+    return pc.utf8_trim(words, MARKS), rows
+
+
 def allowed_edits(letters: int) -> int:
     return 0 if letters <= 4 else 1 if letters <= 8 else 2
 
@@ -170,14 +177,14 @@ class ToxicityModel:
 
 
 def _quoted(text: str, start: int, stop: int) -> bool:
-    left, right = text[max(0, start - 60) : start], text[stop : stop + 60]
+    left, right = text[max(0, start - 60) : start + 1], text[stop - 1 : stop + 60]
     return any(left.count(o) % 2 if o == c else left.rfind(o) > left.rfind(c) for o, c in zip(OPENING, CLOSING, strict=True) if o in left and c in right)
 
 
 def contexts(text: str, found: dict[str, tuple[int, int]]) -> list[tuple[int, int, bool, bool]]:
     """Term, edits, whether quoted, whether aimed at someone, of each hit of ``found`` in ``text``."""
     lowered = text.translate({c: c + 32 for c in range(65, 91)})
-    words = [(m.group(), m.start(), m.end()) for m in WORD.finditer(lowered)]
+    words = [(m.group().strip(MARKS), m.start(), m.end()) for m in WORD.finditer(lowered)]
     out = []
     for i, (word, start, stop) in enumerate(words):
         if word in found:
@@ -188,12 +195,14 @@ def contexts(text: str, found: dict[str, tuple[int, int]]) -> list[tuple[int, in
     return out
 
 
-N_FEATURES = 9
+N_FEATURES = 8
+#: What a hit counts for each edit it is away from its term.
+NEAR = 0.8
 
 
 def features(model: ToxicityModel, texts: pa.Array) -> np.ndarray:
     """A row of numbers for each text of a slice."""
-    words, rows = split_words(texts, ALNUM)
+    words, rows = lexical_words(texts)
     out = np.zeros((len(texts), N_FEATURES))
     n_words = np.bincount(rows, minlength=len(texts))
     out[:, 0] = np.log1p(n_words)
@@ -207,18 +216,15 @@ def features(model: ToxicityModel, texts: pa.Array) -> np.ndarray:
         own = np.unique(codes[hits[bounds[row] : bounds[row + 1]]]).tolist()
         found = {names[c]: (int(term[c]), int(edits[c])) for c in own}
         read = contexts(texts[row].as_py(), found)
-        plain_hits = [(t, e) for t, e, quoted, _ in read if not quoted]
-        exact = [model.weights[t] for t, e in plain_hits if e == 0]
-        near = [model.weights[t] for t, e in plain_hits if e > 0]
+        own = [(model.weights[t] * NEAR**e, t, e, aimed) for t, e, quoted, aimed in read if not quoted]
         out[row, 1:] = (
-            math.log1p(len(exact)),
-            math.log1p(len(near)),
-            math.log1p(sum(q for _, _, q, _ in read)),
-            max(exact, default=0.0),
-            max(near, default=0.0),
-            10 * len(plain_hits) / max(1, n_words[row]),
-            math.log1p(sum(aimed and not q for _, _, q, aimed in read)),
-            math.log1p(len({t for t, _ in plain_hits})),
+            math.log1p(sum(NEAR**e for _, _, e, _ in own)),
+            math.log1p(sum(e > 0 for _, _, e, _ in own)),
+            math.log1p(len(read) - len(own)),
+            max((w for w, *_ in own), default=0.0),
+            10 * len(own) / max(1, n_words[row]),
+            math.log1p(sum(aimed for *_, aimed in own)),
+            math.log1p(len({t for _, t, *_ in own})),
         )
     return out
 
@@ -231,7 +237,7 @@ def _word_counts(labelled: DataFrame) -> DataFrame:
             texts = plain(batch.column(0))
             toxic = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
             for start, stop in row_slices(texts, 16 << 20):
-                words, rows = split_words(texts.slice(start, stop - start), ALNUM)
+                words, rows = lexical_words(texts.slice(start, stop - start))
                 encoded = words.dictionary_encode()
                 size = len(encoded.dictionary)
                 if not size:
@@ -315,6 +321,7 @@ def score(df: DataFrame, model: ToxicityModel, text: str = "text") -> DataFrame:
     def compute(texts: pa.Array, _: pa.RecordBatch) -> list:
         known = shared.value
         margin = features(known, texts) @ np.array(known.coefficients) + known.intercept
-        return [1 / (1 + np.exp(-np.clip(margin, -500, 500)))]
+        with np.errstate(over="ignore"):
+            return [1 / (1 + np.exp(-margin))]
 
     return append_columns(df, text, [T.StructField("score", T.DoubleType())], compute)
