@@ -22,8 +22,12 @@ def _each_with(c: Column, scalar: Callable[[Column], Column], combine: Callable[
 
 
 def is_valid_vector(c: Column, dim: int) -> Column:
-    """Non-null, exactly ``dim`` wide, no null elements."""
-    return F.coalesce((F.size(c) == dim) & ~F.exists(c, lambda x: x.isNull()), F.lit(False))
+    """Non-null, exactly ``dim`` wide, every element a finite number."""
+
+    def unfit(x: Column) -> Column:
+        return x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
+
+    return F.coalesce((F.size(c) == dim) & ~F.exists(c, unfit), F.lit(False))
 
 
 def dot(a: Column, b: Column) -> Column:

@@ -12,25 +12,26 @@ import math
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tagloom.checks import require_choice, require_columns, require_positive
 from tagloom.functions.vectors import is_valid_vector
 from tagloom.operators.metrics import classification_metrics
-from tagloom.operators.sizing import lookup_join, small_or_whole, small_rows
+from tagloom.operators.sizing import lookup_join, small_or_whole, small_rows, staged
 
 CELL_BYTES = 64 * 2**20
 MIN_CELL_ROWS = 4096
 SLICE_ENTRIES = 8 * 2**20
-CENTROID_BYTES = 16 * 2**20
+CENTROID_BYTES = 64 * 2**20
+ROUNDING = 16 * np.finfo(np.float64).eps
 
 
 def vector_width(df: DataFrame, column: str) -> int:
-    """Width of the first non-empty vector; 0 when there is none."""
-    row = df.filter(F.size(column) > 0).select(F.size(column)).first()
-    return row[0] if row else 0
+    """Width that most non-empty vectors have, the smaller one on ties; 0 when there is none."""
+    widths = df.filter(F.size(column) > 0).groupBy(F.size(column).alias("w")).agg(F.count(F.lit(1)).alias("n"))
+    return widths.agg(F.max(F.struct("n", (-F.col("w")).alias("w"))).alias("m")).select(F.coalesce(-F.col("m.w"), F.lit(0))).first()[0]
 
 
 def rows_per_cell(left_rows: int, right_rows: int, dim: int, cores: int) -> int:
@@ -108,31 +109,21 @@ def nearest_neighbors(
         order = order[place < k]
         b = b[order]
 
-        half_norms = (b * b).sum(axis=1) / 2
-        slack = 1e-9 * (1.0 + np.sqrt(2 * half_norms.max()) * np.sqrt((a * a).sum(axis=1).max()))
         keep = min(k, len(b))
-        step = max(1, SLICE_ENTRIES // len(b))
         chosen, scores = [], []
-        for start in range(0, len(a), step):
-            part = a[start : start + step]
+        for part, near in _near_pairs(a, b, keep, distance):
             # The matrix product only narrows the choice; kept pairs are scored one by one, so that
             # copies of a vector score alike whatever cell they fall into.
-            closeness = part @ b.T
-            if distance == "l2":
-                closeness -= half_norms
-            least = np.partition(closeness, len(b) - keep, axis=1)[:, len(b) - keep] - slack
-            for i in range(len(part)):
-                near = np.flatnonzero(closeness[i] >= least[i])
-                if distance == "cos":
-                    exact = (part[i] * b[near]).sum(axis=1)
-                    best = np.argsort(-exact, kind="stable")[:keep]
-                else:
-                    exact = np.sqrt(((part[i] - b[near]) ** 2).sum(axis=1))
-                    best = np.argsort(exact, kind="stable")[:keep]
-                chosen.append(order[near[best]])
-                scores.append(exact[best])
+            row, column = near
+            score = _pair_scores(part, b, row, column, distance)
+            ranked = np.lexsort((column, -score if distance == "cos" else score, row))
+            first_of_row = np.searchsorted(row[ranked], np.arange(len(part)))
+            best = ranked[first_of_row[:, None] + np.arange(keep)]
+            chosen.append(order[column[best]])
+            scores.append(score[best])
+        chosen, scores = np.concatenate(chosen), np.concatenate(scores)
         picked = np.repeat(np.arange(len(which)), keep)
-        return answer(picked, np.concatenate([chosen[w] for w in which]), np.concatenate([scores[w] for w in which]))
+        return answer(picked, chosen[which].ravel(), scores[which].ravel())
 
     candidates = left.groupBy("_lb", "_rb").cogroup(right.groupBy("_lb", "_rb")).applyInArrow(best_in_cell, schema)
     by_score = F.col("_score").desc() if distance == "cos" else F.col("_score").asc()
@@ -148,6 +139,38 @@ def nearest_neighbors(
     )
 
 
+def _near_pairs(a: np.ndarray, b: np.ndarray, keep: int, distance: str):
+    """Slices of ``a`` with all pairs that may belong to the ``keep`` best of their row.
+
+    Closeness comes from a matrix product; what it may be off by is in proportion to the norms, so vectors of any
+    scale are told apart alike.
+    """
+    half_norms = (b * b).sum(axis=1) / 2
+    reach = np.sqrt(2 * half_norms.max())
+    step = max(1, SLICE_ENTRIES // len(b))
+    for start in range(0, len(a), step):
+        part = a[start : start + step]
+        closeness = part @ b.T
+        off = np.sqrt((part * part).sum(axis=1)) * reach
+        if distance == "l2":
+            closeness -= half_norms
+            off += reach * reach
+        least = np.partition(closeness, len(b) - keep, axis=1)[:, len(b) - keep]
+        least -= 2 * ROUNDING * (b.shape[1] + 2) * off
+        yield part, np.nonzero(closeness >= least[:, None])
+
+
+def _pair_scores(a: np.ndarray, b: np.ndarray, row: np.ndarray, column: np.ndarray, distance: str) -> np.ndarray:
+    """Scores of pairs, a bounded number of them at a time."""
+    score = np.empty(len(row))
+    step = max(1, SLICE_ENTRIES // max(1, b.shape[1]))
+    for start in range(0, len(row), step):
+        some = slice(start, start + step)
+        left, right = a[row[some]], b[column[some]]
+        score[some] = (left * right).sum(axis=1) if distance == "cos" else np.sqrt(((left - right) ** 2).sum(axis=1))
+    return score
+
+
 def _vectors(df: DataFrame, vector: str, dim: int, names: dict[str, str]) -> DataFrame:
     valid = df.filter(is_valid_vector(F.col(vector), dim))
     return valid.select(*[F.col(c).alias(name) for c, name in names.items()], F.col(vector).alias("_v"))
@@ -229,50 +252,57 @@ def assign_nearest_centroid(
 ) -> DataFrame:
     """Rows with the id of the closest centroid, -1 for a vector that is missing or of another width.
 
-    A centroid table within ``centroid_bytes`` travels with the task code and rows never move. A larger one is
-    compared cell by cell, which needs a unique ``key``.
+    Equally distant centroids go to the smaller id, however the work is done: a centroid table within
+    ``centroid_bytes`` is broadcast and rows never move; a larger one is compared cell by cell, by ``key`` where it is
+    given and unique, else by a row number that is written down first.
     """
     require_columns(rows, [vector], "rows to assign")
     require_columns(centroids, [cluster, center], "centroids")
     dim = vector_width(centroids, center)
     valid = is_valid_vector(F.col(vector), dim)
+    usable = centroids.filter(is_valid_vector(F.col(center), dim)).select(cluster, center)
     limit = max(1, centroid_bytes // (8 * max(dim, 1)))
-    table = small_rows(centroids.select(cluster, center), limit)
+    table = small_rows(usable, limit)
     rows = rows.drop(cluster)
     if table is not None:
-        nearest = _nearest_of(table, cluster, center, dim)
+        nearest = _nearest_of(rows.sparkSession, table, cluster, center, dim)
         return rows.withColumn(cluster, F.coalesce(nearest(F.when(valid, F.col(vector))), F.lit(-1)))
+    columns = rows.columns
     if key is None:
-        raise ValueError("a centroid table this large needs a unique key column to assign by")
+        key = "_row"
+        rows = staged(rows.withColumn(key, F.monotonically_increasing_id()), "numbered")
     near = nearest_neighbors(
         rows.filter(valid).select(key, vector),
-        centroids.select(F.col(cluster), F.col(center).alias(vector)),
+        usable.select(F.col(cluster), F.col(center).alias(vector)),
         1,
         query_id=key,
         bank_id=cluster,
         vector=vector,
         distance="l2",
     )
-    joined = rows.join(near.select(key, cluster), key, "left")
+    joined = rows.join(near.select(key, cluster), key, "left").select(*columns, cluster)
     return joined.withColumn(cluster, F.coalesce(F.col(cluster), F.lit(-1)))
 
 
-def _nearest_of(table: pa.Table, cluster: str, center: str, dim: int):
+def _nearest_of(spark: SparkSession, table: pa.Table, cluster: str, center: str, dim: int):
     table = table.sort_by(cluster)
-    ids = table[cluster].to_numpy().astype(np.int64)
-    centers = np.array(table[center].to_pylist(), dtype=np.float64).reshape(len(ids), dim)
-    half_norms = (centers * centers).sum(axis=1) / 2
+    centers = np.array(table[center].to_pylist(), dtype=np.float64).reshape(table.num_rows, dim)
+    shared = spark.sparkContext.broadcast((table[cluster].to_numpy().astype(np.int64), centers))
 
     @F.arrow_udf("bigint")
     def nearest(vectors: pa.Array) -> pa.Array:
+        ids, centers = shared.value
         out = np.full(len(vectors), -1, dtype=np.int64)
         present = np.flatnonzero(vectors.is_valid().to_numpy(zero_copy_only=False))
         flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
         points = flat.reshape(len(present), dim)
         if len(ids) and len(present):
-            # Rounding lets equally distant centroids tie, and the first one has the smallest id.
-            closeness = np.round(points @ centers.T - half_norms, 12)
-            out[present] = ids[closeness.argmax(axis=1)]
+            done = 0
+            for part, (row, column) in _near_pairs(points, centers, 1, "l2"):
+                ranked = np.lexsort((column, _pair_scores(part, centers, row, column, "l2"), row))
+                first = np.searchsorted(row[ranked], np.arange(len(part)))
+                out[present[done : done + len(part)]] = ids[column[ranked[first]]]
+                done += len(part)
         return pa.array(out)
 
     return nearest

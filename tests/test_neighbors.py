@@ -106,6 +106,37 @@ def test_nearest_centroid(spark, limit):
     assert {r.id: r.cluster_id for r in got.collect()} == {0: 1, 1: 3, 2: -1, 3: -1, 4: -1, 5: -1, 6: 1}
 
 
+@pytest.mark.parametrize("scale", [1e-7, 1.0, 1e7])
+def test_nearest_centroid_at_any_scale(spark, scale):
+    """Ids depend neither on the scale of the vectors nor on how the work is done."""
+    points, centers = RNG.normal(size=(200, 6)), np.repeat(RNG.normal(size=(20, 6)), 2, axis=0)
+    want = [int(np.argmin(np.sqrt(((p * scale - centers * scale) ** 2).sum(axis=1)))) for p in points]
+    rows = spark.createDataFrame([(i, (p * scale).tolist()) for i, p in enumerate(points)], "id bigint, pca array<double>")
+    table = spark.createDataFrame([(i, (c * scale).tolist()) for i, c in enumerate(centers)], "cluster_id bigint, center array<double>")
+    for options in ({}, {"centroid_bytes": 1}, {"centroid_bytes": 1, "key": "id"}):
+        got = {r.id: r.cluster_id for r in ops.assign_nearest_centroid(rows.repartition(3), table, **options).collect()}
+        assert [got[i] for i in range(200)] == want
+
+
+def test_vectors_that_are_not_finite_are_invalid(spark, bank, val):
+    odd = [(901, [float("nan")] * 8, 0), (902, [float("inf")] + [0.0] * 7, 1), (903, [float("-inf")] * 8, 1)]
+    more = bank.unionByName(spark.createDataFrame(odd, bank.schema))
+    queries = val.unionByName(spark.createDataFrame(odd, val.schema))
+    near = ops.nearest_neighbors(queries, more, 5)
+    assert near.filter("vec_id > 900 OR val_id > 900").count() == 0 and near.count() == 27 * 5
+    centers = bank.limit(3).select(F.col("vec_id").alias("cluster_id"), F.col("embedding").alias("center"))
+    got = ops.assign_nearest_centroid(queries, centers, vector="embedding")
+    assert {r.val_id for r in got.filter("cluster_id = -1").collect()} == {901, 902, 903}
+    batch = more.withColumns({"batch_id": F.lit(0), "mask": F.lit(1.0)})
+    assert np.isfinite(ops.contrastive_loss(batch).first().metric_loss)
+
+
+def test_width_is_the_usual_one(spark):
+    rows = spark.createDataFrame([([1.0],), ([1.0, 2.0],), ([3.0, 4.0],), (None,), ([],)], "v array<double>")
+    assert ops.vector_width(rows, "v") == 2
+    assert ops.vector_width(rows.limit(0), "v") == 0
+
+
 def loss_by_hand(x, labels, tau):
     s = np.exp(x @ x.T / tau) * (1 - np.eye(len(x)))
     same = (labels[:, None] == labels[None, :]) * (1 - np.eye(len(x)))
