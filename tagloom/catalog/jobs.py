@@ -25,7 +25,7 @@ from tagloom.operators.scoring import prediction_record, score_texts, without_fa
 from tagloom.operators.sizing import staging_path
 from tagloom.plans import refresh as refresh_plan
 from tagloom.plans.csv_scoring import label_texts, score_csv
-from tagloom.plans.evaluate import validate_predictions
+from tagloom.plans.evaluate import run_validation, validate_predictions
 from tagloom.plans.prepare import prepare
 from tagloom.plans.training import train_classifier
 from tagloom.sources.tables import write_csv, write_metrics
@@ -50,9 +50,10 @@ balanced AS (
   QUALIFY row_number() OVER (PARTITION BY label ORDER BY max_prob DESC, doc_id) <= (SELECT min(n) FROM sizes))"""
 
 
-def _refreshed(spark, sf, **options):
+def _refreshed(spark, sf, balance=True, **options):
     purity = cluster_purity(lab(spark, sf))
-    return refresh_plan.refresh(scored_lab(spark, sf), purity, LIMITS, key="doc_id", **options)
+    rows = scored_lab(spark, sf, stored=balance)
+    return refresh_plan.refresh(rows, purity, LIMITS, key="doc_id", balance=balance, **options)
 
 
 @query("pseudo_label_refresh", f"WITH {JUDGED} SELECT text, label, metric_mask, classification_mask FROM balanced")
@@ -76,7 +77,7 @@ def pseudo_label_refresh_unbalanced(spark, sf):
            count(*) FILTER (purity >= 0.8 AND max_prob >= 0.8) AS rows_kept FROM judged""",
 )
 def refresh_audit(spark, sf):
-    judged = refresh_plan.judge_rows(scored_lab(spark, sf), cluster_purity(lab(spark, sf)), LIMITS)
+    judged = refresh_plan.judge_rows(scored_lab(spark, sf, stored=False), cluster_purity(lab(spark, sf)), LIMITS)
     return refresh_plan.refresh_audit(judged)
 
 
@@ -178,6 +179,23 @@ def validate_model_remapped(spark, sf):
     return metrics.select(F.round("accuracy", 6).alias("accuracy"), F.round("macro_f1", 6).alias("macro_f1"))
 
 
+MARKED = "CASE WHEN doc_id % 4 = 0 THEN 'NA' WHEN doc_id % 4 = 1 THEN '  ' || text || ' ' ELSE text END"
+
+
+@query(
+    "validate_csv",
+    f"""WITH {LAB}, cells AS (SELECT label, CASE WHEN doc_id % 4 = 0 THEN 'nan' ELSE {MARKED} END AS text FROM lab),
+    pairs AS (SELECT label, {LABEL} AS pred FROM cells), {scores_sql('pairs')}
+    SELECT round(accuracy, 6) AS accuracy, round(f1, 6) AS macro_f1 FROM macro""",
+)
+def validate_csv(spark, sf):
+    """Labelled texts in a CSV: every fourth one is marked as missing, every fourth has blanks around it."""
+    path = staging_path(spark, "validation") + ".csv"
+    write_csv(lab_texts(spark, sf).select(F.expr(MARKED).alias("text"), "label"), path)
+    metrics = run_validation(spark, path, text_model())
+    return metrics.select(F.round("accuracy", 6).alias("accuracy"), F.round("macro_f1", 6).alias("macro_f1"))
+
+
 def _train_and_validation(spark, sf):
     rows = lab_texts(spark, sf).select("doc_id", "text", "label", "lang")
     english = F.col("lang") == "en"
@@ -206,6 +224,24 @@ def prepare_dataset_balanced(spark, sf):
     return ready.train.groupBy("label_id").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(
+    "prepare_dataset_masked",
+    f"""WITH {LAB}, rows AS (SELECT doc_id, label, lang, CAST(doc_id % 2 AS BIGINT) AS metric_mask, toxic FROM lab)
+    SELECT doc_id, lang <> 'en' AS validation, CAST(label AS BIGINT) AS label, metric_mask, CAST(toxic AS BIGINT) AS classification_mask,
+      CAST(dense_rank() OVER (ORDER BY label) - 1 AS INTEGER) AS label_id FROM rows""",
+)
+def prepare_dataset_masked(spark, sf):
+    """Both tables with their masks; labels come as text and are read as whole numbers."""
+    rows = lab_texts(spark, sf).withColumns(
+        {"label": F.col("label").cast("string"), "metric_mask": F.col("doc_id") % 2, "classification_mask": F.col("toxic").cast("bigint")}
+    )
+    ready = prepare(rows.filter("lang = 'en'"), rows.filter("lang <> 'en'"), key="doc_id", masked=True)
+    columns = ["doc_id", "validation", "label", "metric_mask", "classification_mask", "label_id"]
+    sides = [(ready.train, False), (ready.validation, True)]
+    train, validation = (side.withColumn("validation", F.lit(late)).select(*columns) for side, late in sides)
+    return train.unionByName(validation)
+
+
 @query("train_classifier")
 def trained_classifier(spark, sf):
     """Validation scores of each candidate; the best by macro F1 is marked."""

@@ -76,6 +76,23 @@ for _name, _source, _sql, _step, _steps in [
     query(_name, _sql.format(replaced("text", *_steps)))(_rewrite)
 
 
+# Rows that hold what a step is for, planted by the same expression on both sides.
+CONTROL_PLANTED = "replace(text, 'e', 'e' || {0}(8203) || {0}(7) || '\U0001fae0' || {0}(173))"
+QUOTES_PLANTED = "replace(replace(text, ' th', ' «th» – „ё’'), 'a', 'аЁ')"
+
+
+@query("strip_control_planted", DOCUMENTS.format(replaced(CONTROL_PLANTED.format("chr"), "control")))
+def strip_control_planted(spark, sf):
+    """Control and format characters go, a new emoji stays."""
+    planted = F.expr(CONTROL_PLANTED.format("char").replace("char(8203)", "'\u200b'").replace("char(173)", "'\xad'"))
+    return documents(spark, sf).withColumn("text", ops.strip_control(planted))
+
+
+@query("plain_punctuation_planted", DOCUMENTS.format(replaced(QUOTES_PLANTED, "punctuation")))
+def plain_punctuation_planted(spark, sf):
+    return documents(spark, sf).withColumn("text", ops.plain_punctuation(F.expr(QUOTES_PLANTED)))
+
+
 CORE = ["control", "tags", "urls", "users", "emails", "ru_phones", "digit_runs", "punctuation", "whitespace"]
 
 
@@ -118,6 +135,21 @@ def non_blank_texts(spark, sf):
     return rows.select("conv_id", "turn", F.length("text").cast("bigint").alias("size"))
 
 
+BLANKED = "CASE WHEN turn % 3 = 0 THEN '  ' || {0}(10) || {0}(9) ELSE text END"
+
+
+@query(
+    "non_blank_planted",
+    f"""SELECT conv_id, turn, length(text) AS size FROM (SELECT conv_id, turn, {BLANKED.format('chr')} AS text FROM conversations)
+    WHERE length(regexp_replace(text, '[ \t\n]', '', 'g')) > 0""",
+)
+def non_blank_planted(spark, sf):
+    """Every third turn is blank."""
+    rows = table(spark, sf, "conversations").withColumn("text", F.expr(BLANKED.format("char")))
+    kept = rows.filter(~ops.is_blank(F.col("text")))
+    return kept.select("conv_id", "turn", F.length("text").cast("bigint").alias("size"))
+
+
 WORDS = f"regexp_extract_all(lower(text), '{TOKEN}')"
 LEXICON = f"""words AS (SELECT DISTINCT unnest({WORDS}) AS token FROM benchmark),
 lexicon AS (

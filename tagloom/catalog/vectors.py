@@ -10,9 +10,10 @@ from tagloom.catalog.views import BANK, CENTERS, EMBEDDING_PROBS, bank_and_valid
 from tagloom.functions import vectors as vec
 from tagloom.operators import neighbors as ops
 from tagloom.operators.scoring import prediction_record
-from tagloom.plans.clusters import fit_clusters, fit_pca, transform_pca
+from tagloom.operators.sizing import staging_path
+from tagloom.plans.clusters import fit_clusters, fit_pca, label_map_job, purity_job, transform_pca
 from tagloom.plans.evaluate import evaluate_embeddings
-from tagloom.sources.tables import centroid_table
+from tagloom.sources.tables import centroid_table, read_shards, rows_in_shards, write_table
 
 CLASSES = [f"class_{i}" for i in range(10)]
 
@@ -107,6 +108,77 @@ def nearest_centroid(spark, sf):
     return ops.assign_nearest_centroid(rows, class_centers(spark, sf), vector="embedding").select("vec_id", "cluster_id")
 
 
+@query(
+    "nearest_centroid_tiny",
+    f"""WITH {CENTERS}
+    SELECT vec_id, cluster_id FROM (
+      SELECT vec_id, cluster_id, row_number() OVER (
+        PARTITION BY vec_id ORDER BY list_distance(CAST(embedding AS DOUBLE[]), center), cluster_id) AS r
+      FROM embeddings CROSS JOIN cen) WHERE r = 1""",
+)
+def nearest_centroid_tiny(spark, sf):
+    """Vectors and centroids a ten-millionth as long have the same neighbours."""
+    shrunk = lambda c: F.transform(c, lambda x: x.cast("double") * 1e-7)
+    rows = table(spark, sf, "embeddings").select("vec_id", shrunk("embedding").alias("embedding"))
+    centers = class_centers(spark, sf).withColumn("center", shrunk("center"))
+    return ops.assign_nearest_centroid(rows, centers, vector="embedding").select("vec_id", "cluster_id")
+
+
+@query(
+    "invalid_vectors",
+    f"""WITH {CENTERS},
+    near AS (SELECT vec_id, cluster_id FROM (
+      SELECT vec_id, cluster_id, row_number() OVER (
+        PARTITION BY vec_id ORDER BY list_distance(CAST(embedding AS DOUBLE[]), center), cluster_id) AS r
+      FROM embeddings CROSS JOIN cen) WHERE r = 1)
+    SELECT CASE WHEN vec_id % 50 < 3 THEN -1 ELSE cluster_id END AS cluster_id, count(*) AS n FROM near GROUP BY 1""",
+)
+def invalid_vectors(spark, sf):
+    """Every fiftieth vector gets an element that is no number, the next ones an infinite and a missing one."""
+    odd = F.get(F.array(F.lit(float("nan")), F.lit(float("inf")), F.lit(None)), (F.col("vec_id") % 50).cast("int")).cast("float")
+    spoilt = F.concat(F.array(odd), F.slice("embedding", 2, 1_000_000))
+    vector = F.when(F.col("vec_id") % 50 < 3, spoilt).otherwise(F.col("embedding"))
+    rows = table(spark, sf, "embeddings").select("vec_id", vector.alias("embedding"))
+    near = ops.assign_nearest_centroid(rows, class_centers(spark, sf), vector="embedding")
+    return near.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "cluster_chain",
+    f"""WITH {CENTERS},
+    near AS (SELECT vec_id, label, cluster_id FROM (
+      SELECT vec_id, e.label, cluster_id, row_number() OVER (
+        PARTITION BY vec_id ORDER BY list_distance(CAST(embedding AS DOUBLE[]), center), cluster_id) AS r
+      FROM embeddings e CROSS JOIN cen) WHERE r = 1),
+    counts AS (SELECT cluster_id, label, count(*) AS n FROM near GROUP BY 1, 2)
+    SELECT cen.cluster_id, CAST(coalesce(sum(n), 0) AS BIGINT) AS n, round(max(n) / CAST(sum(n) AS DOUBLE), 6) AS purity,
+      CAST(arg_max(label, n * 1000 - label) AS BIGINT) AS label
+    FROM cen LEFT JOIN counts ON counts.cluster_id = cen.cluster_id GROUP BY 1""",
+)
+def cluster_chain(spark, sf):
+    """The stages as they follow each other over files: shards, assignment, purity, label map, each read back."""
+    root = staging_path(spark, "chain")
+    write_table(table(spark, sf, "embeddings").select("vec_id", "embedding", "label"), f"{root}/shards")
+    write_table(class_centers(spark, sf), f"{root}/centroids")
+    rows = read_shards(spark, f"{root}/shards", ["vec_id", "embedding", "label"])
+    assigned = ops.assign_nearest_centroid(rows, read_shards(spark, f"{root}/centroids"), vector="embedding")
+    write_table(assigned.select("vec_id", "label", "cluster_id"), f"{root}/assigned")
+    if rows_in_shards(spark, f"{root}/assigned") != rows_in_shards(spark, f"{root}/shards"):
+        raise RuntimeError("the assignment lost rows")
+    clustered = read_shards(spark, f"{root}/assigned")
+    purity_job(clustered, read_shards(spark, f"{root}/centroids"), label="label", output_path=f"{root}/purity")
+    rated = read_shards(spark, f"{root}/purity", ["cluster_id", "purity"])
+    majority = label_map_job(clustered, exclude_invalid=True)
+    sizes = clustered.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("n"))
+    joined = rated.join(sizes, "cluster_id", "left").join(majority, "cluster_id", "left")
+    return joined.select(
+        "cluster_id",
+        F.coalesce("n", F.lit(0)).alias("n"),
+        F.round("purity", 6).alias("purity"),
+        F.col("label").cast("bigint").alias("label"),
+    )
+
+
 def topk_sql(k: int, score: str, order: str) -> str:
     return f"""near AS (
       SELECT * FROM (

@@ -106,9 +106,13 @@ def text_model():
     return load
 
 
-def scored_lab(spark: SparkSession, sf: str) -> DataFrame:
-    """Labelled documents with the class probabilities of the text model, stored as the scoring stage leaves them."""
-    return staged(lab_texts(spark, sf).withColumn("probs", softmax(text_logits(F.col("text")))), "scored")
+def scored_lab(spark: SparkSession, sf: str, stored: bool = True) -> DataFrame:
+    """Labelled documents with the class probabilities of the text model.
+
+    ``stored`` writes them down for jobs that read them several times; a single pass needs no copy.
+    """
+    scored = lab_texts(spark, sf).withColumn("probs", softmax(text_logits(F.col("text"))))
+    return staged(scored, "scored") if stored else scored
 
 
 # --- class centroids of the embeddings and the probabilities they give ------------------------------------

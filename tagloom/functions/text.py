@@ -10,6 +10,7 @@ from __future__ import annotations
 import html
 import unicodedata
 from collections.abc import Callable
+from functools import cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -59,7 +60,41 @@ _PHONE = (
     rf"|[{SEPARATOR}](?<![{SEPARATOR}]{{2}})[{SEPARATOR}]*+{_DIGIT_RUN}{{6,}}+"
 )
 _TAG = r"<[^>\n]++>"
-_CONTROL = r"[\p{C}&&[^\n\t]]"
+
+
+@cache
+def _control() -> str:
+    """Control, format, private and unassigned characters, but no line break or tab.
+
+    Left out are ranges that this Python's Unicode tables know as characters and its oldest ones don't: the JVM's
+    tables may be older than Python's and count new characters, emoji among them, as unassigned.
+    """
+    old, ranges = unicodedata.ucd_3_2_0, []
+    for point in range(0x80, 0x110000):
+        if old.category(chr(point)) == "Cn" and unicodedata.category(chr(point))[0] != "C":
+            if ranges and ranges[-1][1] == point - 1:
+                ranges[-1][1] = point
+            else:
+                ranges.append([point, point])
+    newer = "".join(rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in ranges)
+    return rf"[\p{{C}}&&[^\n\t{newer}]]"
+
+
+
+@cache
+def _composable() -> str:
+    """Class of all characters that normalisation may change: those it rewrites, and those that join the one before."""
+    ranges = []
+    for point in range(0x80, 0x110000):
+        c = chr(point)
+        joins = unicodedata.combining(c) or 0x1161 <= point <= 0x11FF or unicodedata.category(c) in ("Mc", "Mn")
+        if joins or not unicodedata.is_normalized("NFKC", c):
+            if ranges and ranges[-1][1] == point - 1:
+                ranges[-1][1] = point
+            else:
+                ranges.append([point, point])
+    # surrogates are no characters of a text
+    return "[" + "".join(rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in ranges if not 0xD800 <= a <= 0xDFFF) + "]"
 # A lone plain space is left alone, so that ordinary text gives no matches.
 _WHITESPACE = rf"(?: [{SPACE}]|[{OTHER_SPACE}])[{SPACE}]*+"
 
@@ -112,7 +147,7 @@ def plain_punctuation(c: Column, quotes: bool = True, dashes: bool = True, yo: b
 
 def strip_control(c: Column) -> Column:
     """Drop control, format and unassigned characters except newline and tab."""
-    return _replace(c, _CONTROL, "")
+    return _replace(c, _control(), "")
 
 
 def strip_tags(c: Column) -> Column:
@@ -125,7 +160,7 @@ def collapse_whitespace(c: Column) -> Column:
 
 def decode_and_compose(c: Column, entities: bool = True, nfkc: bool = True) -> Column:
     """HTML entities to characters, then Unicode NFKC; rows neither step can change stay in the JVM."""
-    triggers = [("&", entities), (r"[^\x00-\x7F]", nfkc)]
+    triggers = [("&", entities), (_composable(), nfkc)]
     wanted = "|".join(pattern for pattern, on in triggers if on)
     if not wanted:
         return c

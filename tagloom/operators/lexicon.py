@@ -7,7 +7,9 @@ tokens, whose frequent values skew handling splits.
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,14 +42,20 @@ def lemmatize(
     known = small_rows(lexicon.select("token", "lemma"), max_lexicon_rows)
     words = F.coalesce(tokens(F.col(text)), F.array().cast("array<string>"))
     if known is not None:
-        lemma_of = dict(zip(known["token"].to_pylist(), known["lemma"].to_pylist()))
-        if len(lemma_of) != known.num_rows:
+        if pc.count_distinct(known["token"], mode="all").as_py() != known.num_rows:
             raise ValueError("lexicon holds more than one row for some token")
+        known = known.filter(pc.greater(pc.utf8_length(known["lemma"]), 0))
+        forms, lemma_of = (known[c].cast(pa.string()).combine_chunks() for c in ("token", "lemma"))
 
         @F.arrow_udf("string")
         def lemmas(batch: pa.Array) -> pa.Array:
-            found = (filter(None, map(lemma_of.get, line.split(" "))) for line in batch.to_pylist())
-            return pa.array([" ".join(line) for line in found], pa.string())
+            split = pc.split_pattern(batch.cast(pa.string()), " ")
+            place = pc.index_in(split.flatten(), value_set=forms)
+            found = place.is_valid().to_numpy(zero_copy_only=False)
+            ends = np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))
+            kept = np.concatenate([[0], np.cumsum(found)])
+            offsets = np.concatenate([[0], kept[ends]]).astype(np.int32)
+            return pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), lemma_of.take(place.drop_null())), " ")
 
         return rows.withColumn(out, lemmas(F.array_join(words, " ")))
     exploded = rows.select(key, F.posexplode(words).alias("_pos", "token"))
@@ -65,19 +73,21 @@ def extract_entities(
     key: str,
     text: str = "text",
     name: str = "name",
-    max_words: int = 3,
+    max_words: int | None = None,
     out: str = "entities",
     max_gazetteer_rows: int = MAX_LEXICON_ROWS,
 ) -> DataFrame:
     """Known names in each text in order of appearance, duplicates kept, an empty list for none.
 
     Names compare by their tokens. Where several begin at one token the longest counts, and a name that
-    overlaps the one before it does not count.
+    overlaps the one before it does not count. ``max_words`` leaves out longer names; by default there are none.
     """
     require_columns(rows, [key, text], "texts")
     require_columns(gazetteer, [name], "gazetteer")
     names = gazetteer.select(F.array_join(tokens(F.col(name)), " ").alias("_form"), F.col(name).alias("_name"))
     names = names.filter(F.col("_form") != "").groupBy("_form").agg(F.min("_name").alias("_name"))
+    if max_words is not None:
+        names = names.filter(F.size(F.split("_form", " ")) <= max_words)
     words = F.coalesce(tokens(F.col(text)), F.array().cast("array<string>"))
     known = small_rows(names, max_gazetteer_rows)
     if known is not None:
@@ -85,29 +95,38 @@ def extract_entities(
         longest = {}
         for form in name_of:
             first, size = form.split(" ", 1)[0], form.count(" ") + 1
-            if size <= max_words:
-                longest[first] = max(size, longest.get(first, 0))
-
-        def names_in(ws):
-            hits, end = [], 0
-            for at, word in enumerate(ws):
-                if at >= end and word in longest:
-                    for size in range(min(longest[word], len(ws) - at), 0, -1):
-                        hit = name_of.get(" ".join(ws[at : at + size]))
-                        if hit is not None:
-                            hits.append(hit)
-                            end = at + size
-                            break
-            return hits
+            longest[first] = max(size, longest.get(first, 0))
+        starts = pa.array(list(longest), pa.string())
 
         @F.arrow_udf("array<string>")
         def spans(batch: pa.Array) -> pa.Array:
-            return pa.array([names_in(line.split(" ")) for line in batch.to_pylist()], pa.list_(pa.string()))
+            split = pc.split_pattern(batch.cast(pa.string()), " ")
+            flat = split.flatten()
+            ends = np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))
+            places = np.flatnonzero(pc.is_in(flat, value_set=starts).to_numpy(zero_copy_only=False))
+            row_of = np.searchsorted(ends, places, side="right")
+            hits, rows, after = [], [], 0
+            for at, row in zip(places.tolist(), row_of.tolist(), strict=True):  # only where some name may begin
+                if at < after:
+                    continue
+                stop = min(int(ends[row]), at + longest[flat[at].as_py()])
+                window = flat.slice(at, stop - at).to_pylist()
+                for size in range(len(window), 0, -1):
+                    hit = name_of.get(" ".join(window[:size]))
+                    if hit is not None:
+                        hits.append(hit)
+                        rows.append(row)
+                        after = at + size
+                        break
+            offsets = np.searchsorted(np.array(rows, np.int64), np.arange(len(batch) + 1)).astype(np.int32)
+            return pa.ListArray.from_arrays(pa.array(offsets), pa.array(hits, pa.string()))
 
         return rows.withColumn(out, spans(F.array_join(words, " ")))
 
+    most = names.agg(F.max(F.size(F.split("_form", " ")))).first()[0] or 1
+
     def grams_at(pos: Column) -> Column:
-        sizes = F.sequence(F.lit(1), F.least(F.lit(max_words), F.size("_w") - pos))
+        sizes = F.sequence(F.lit(1), F.least(F.lit(most), F.size("_w") - pos))
         form = lambda size: F.array_join(F.slice("_w", pos + 1, size), " ")
         return F.transform(sizes, lambda size: F.struct(pos.alias("_pos"), size.alias("_size"), form(size).alias("_form")))
 

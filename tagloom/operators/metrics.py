@@ -94,17 +94,23 @@ def confusion_normalized(counts: DataFrame) -> DataFrame:
 
 
 def cross_entropy(probs: Column, label: Column, smoothing: float = 0.0) -> Column:
-    """Loss of one row of class probabilities; ``smoothing`` spreads that weight evenly over all classes."""
+    """Loss of one row of class probabilities; ``smoothing`` spreads that weight evenly over all classes.
+
+    A label without a probability, or a missing or undefined probability, is an error raised while the query runs.
+    """
     require_non_negative(smoothing=smoothing)
 
     def surprise(p: Column) -> Column:
         return -F.log(F.greatest(p, F.lit(LOG_FLOOR)))
 
-    own = surprise(F.get(probs, label.cast("int")))
-    if smoothing == 0:
-        return own
-    spread = F.aggregate(probs, F.lit(0.0), lambda acc, p: acc + surprise(p)) / F.size(probs)
-    return (1 - smoothing) * own + smoothing * spread
+    index = label.cast("int")
+    own = surprise(F.get(probs, index))
+    if smoothing != 0:
+        spread = F.aggregate(probs, F.lit(0.0), lambda acc, p: acc + surprise(p)) / F.size(probs)
+        own = (1 - smoothing) * own + smoothing * spread
+    fits = index.between(0, F.size(probs) - 1) & ~F.exists(probs, lambda p: p.isNull() | F.isnan(p))
+    told = F.concat(F.lit("no probability for label "), F.coalesce(label.cast("string"), F.lit("null")))
+    return F.when(F.coalesce(fits, F.lit(False)), own).otherwise(F.raise_error(told).cast("double"))
 
 
 def masked_cross_entropy(

@@ -8,21 +8,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom.checks import require_columns
-from tagloom.functions.text import missing_as_nan_text
+from tagloom.functions.text import MISSING_CELLS, missing_as_nan_text
 from tagloom.operators.labels import remap_predictions
 from tagloom.operators.metrics import METRICS, classification_metrics, masked_cross_entropy, total_loss
 from tagloom.operators.neighbors import contrastive_loss, knn_macro_f1, last_batches, neighbor_labels, recall_at_k
 from tagloom.operators.scoring import Scorer, score_texts
 from tagloom.operators.sizing import staged
-from tagloom.sources.tables import dense_mapping, read_by_extension, write_metrics
+from tagloom.sources.tables import dense_mapping, is_parquet, read_by_extension, write_metrics
 
 
 def validate_predictions(
-    labelled: DataFrame, load_model: Callable[[], Scorer], *, mapping: dict | None = None, batch_size: int = 32
+    labelled: DataFrame,
+    load_model: Callable[[], Scorer],
+    *,
+    mapping: dict | None = None,
+    batch_size: int = 32,
+    markers: list[str] | None = None,
 ) -> DataFrame:
-    """Accuracy and macro F1 of a model on labelled texts, its answers optionally sent through a mapping."""
+    """Accuracy and macro F1 of a model on labelled texts, its answers optionally sent through a mapping.
+
+    ``markers`` lists cells that stand for a missing text, as a CSV has them.
+    """
     require_columns(labelled, ["text", "label"], "Dataset")
-    texts = labelled.select(missing_as_nan_text(F.col("text")).alias("text"), F.col("label").alias("truth"))
+    texts = labelled.select(missing_as_nan_text(F.col("text"), markers).alias("text"), F.col("label").alias("truth"))
     scored = score_texts(texts, load_model, batch_size=batch_size)
     failed = F.raise_error(F.concat(F.lit("scoring failed: "), F.col("error")))
     pred = F.when(F.col("error").isNotNull(), failed.cast("bigint")).otherwise(F.col("label"))
@@ -41,9 +49,9 @@ def run_validation(
     batch_size: int = 32,
     output_json: str | None = None,
 ) -> DataFrame:
-    metrics = validate_predictions(
-        read_by_extension(spark, data_path), load_model, mapping=mapping, batch_size=batch_size
-    )
+    rows = read_by_extension(spark, data_path)
+    markers = None if is_parquet(data_path) else MISSING_CELLS
+    metrics = validate_predictions(rows, load_model, mapping=mapping, batch_size=batch_size, markers=markers)
     if output_json:
         write_metrics(metrics, output_json)
     return metrics

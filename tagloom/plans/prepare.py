@@ -5,10 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tagloom.checks import require_columns
 from tagloom.operators.labels import encode_labels, label_dictionary
 from tagloom.operators.sampling import downsample, shuffled, upsample
+from tagloom.operators.sizing import staged
 
 PLAIN_COLUMNS = ["text", "label"]
 MASKED_COLUMNS = ["text", "label", "metric_mask", "classification_mask"]
@@ -33,8 +35,9 @@ def prepare(
 ) -> Prepared:
     """Encode both tables with one dictionary and balance the training rows.
 
-    ``balance`` is None, ``"down"`` or ``"up"``. The dictionary covers the labels left after down-sampling
-    and those of the validation table. Up-sampled rows come in drawing order, which is random already.
+    ``balance`` is None, ``"down"`` or ``"up"``. The dictionary covers the labels of both tables; balancing keeps
+    some rows of every label. It is written down once, since every table needs it. Rows are put in random order last,
+    so nothing that follows can undo it; up-sampled rows always are.
     """
     columns = MASKED_COLUMNS if masked else PLAIN_COLUMNS
     require_columns(train, [key, *columns], "train table")
@@ -44,11 +47,15 @@ def prepare(
     if masked:
         train = train.withColumn("label", train["label"].cast("bigint"))
         validation = validation.withColumn("label", validation["label"].cast("bigint"))
+    known = train.filter(F.col("label").isNotNull()) if balance else train
+    dictionary = staged(label_dictionary([known, validation], "label", whole=masked), "label_dictionary")
     if balance == "down":
         train = downsample(train, "label", key, seed)
-    dictionary = label_dictionary([train, validation], "label", whole=masked)
+    elif balance == "up":
+        train = known
+    train = encode_labels(train, dictionary)
     if balance == "up":
         train = upsample(train, "label", key, seed)
     elif shuffle:
         train = shuffled(train, key, seed)
-    return Prepared(encode_labels(train, dictionary), encode_labels(validation, dictionary), dictionary)
+    return Prepared(train, encode_labels(validation, dictionary), dictionary)

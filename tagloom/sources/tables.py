@@ -37,10 +37,14 @@ def read_texts(spark: SparkSession, path: str, text_column: str = "text") -> Dat
     return prune(spark.read.parquet(path), [text_column], path)
 
 
+def is_parquet(path: str) -> bool:
+    return os.path.splitext(path)[1].lower() == ".parquet"
+
+
 def read_by_extension(spark: SparkSession, path: str) -> DataFrame:
     """``.parquet`` as Parquet, ``.csv`` and ``.txt`` as CSV with a header; anything else is an error."""
     suffix = os.path.splitext(path)[1].lower()
-    if suffix == ".parquet":
+    if is_parquet(path):
         return spark.read.parquet(path)
     if suffix in {".csv", ".txt"}:
         return read_csv(spark, path)
@@ -82,11 +86,15 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", by: list[str]
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").csv(path, header=True, quote='"', escape='"')
+    """CSV with a header; cells keep the blanks around them."""
+    paths.refuse_overwrite_of_input(df, path)
+    blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode("overwrite").csv(path, header=True, quote='"', escape='"', **blanks)
 
 
 def write_metrics(df: DataFrame, path: str) -> None:
     """A one-row table of metrics as JSON."""
+    paths.refuse_overwrite_of_input(df, path)
     df.coalesce(1).write.mode("overwrite").json(path)
 
 

@@ -9,10 +9,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from tagloom.checks import require_choice, require_columns
+from tagloom.functions.text import missing_as_nan_text
 from tagloom.operators.scoring import Scorer, score_texts
 
 
@@ -46,9 +48,15 @@ def score_arriving(
     text: str = "text",
     batch_size: int = 32,
     once: bool = True,
+    markers: list[str] | None = None,
 ) -> StreamingQuery:
-    """Append scored rows to ``output_path``; ``once`` stops after the files present now."""
+    """Append scored rows to ``output_path``; ``once`` stops after the files present now.
+
+    A missing text is scored as ``nan``, as the batch job does; ``markers`` lists cells that stand for one, as a CSV
+    has them.
+    """
     require_columns(stream, [text], "stream")
+    stream = stream.withColumn(text, missing_as_nan_text(F.col(text), markers))
     scored = score_texts(stream, load_model, text=text, batch_size=batch_size)
     writer = scored.writeStream.format("parquet").outputMode("append")
     writer = writer.option("path", output_path).option("checkpointLocation", checkpoint_path)

@@ -94,6 +94,43 @@ def test_prepare(spark, labelled):
         prepare(labelled, extra, key="id", masked=True)
 
 
+def test_random_order_survives_a_large_dictionary(spark, labelled, monkeypatch):
+    """Whatever join the dictionary takes, rows are put in order after it."""
+    from tagloom.operators import sizing
+
+    orders = []
+    for limit in (sizing.MAX_LOOKUP_ROWS, 0):
+        for name in ("small_rows", "small_table", "small_or_whole", "lookup_join"):
+            defaults = list(getattr(sizing, name).__defaults__)
+            place = next(i for i, v in enumerate(defaults) if isinstance(v, int) and not isinstance(v, bool))
+            defaults[place] = limit
+            monkeypatch.setattr(getattr(sizing, name), "__defaults__", tuple(defaults))
+        for balance in (None, "up", "down"):
+            ready = prepare(labelled.repartition(3), labelled.drop("id"), key="id", balance=balance)
+            orders.append([r.id for r in ready.train.collect()])
+    assert orders[:3] == orders[3:]
+    assert all(o != sorted(o) for o in orders)
+
+
+def test_vectors_with_nan_take_no_part_in_fits(spark, vectors):
+    odd = vectors.unionByName(spark.createDataFrame([(600, [float("nan")] * 6), (601, [float("inf")] + [1.0] * 5)], vectors.schema))
+    plain, mixed = clusters.fit_pca(vectors, n_components=2), clusters.fit_pca(odd, n_components=2)
+    assert np.allclose(plain.stages[-1].pc.toArray(), mixed.stages[-1].pc.toArray())
+    reduced = clusters.transform_pca(odd, mixed)
+    assert {r.id for r in reduced.filter("pca IS NULL").collect()} == {500, 501, 600, 601}
+    model = clusters.fit_clusters(odd, "cls", n_clusters=3, max_iter=5)
+    assert np.isfinite(np.array(model.clusterCenters())).all()
+
+
+def test_many_wide_centroids_need_no_key(spark):
+    centers = RNG.normal(size=(5000, 768)).astype(np.float32)
+    rows = [(i, (centers[i * 7] * 1.01).tolist()) for i in range(20)]
+    points = spark.createDataFrame(rows, "id bigint, pca array<float>")
+    table = spark.createDataFrame([(i, c.tolist()) for i, c in enumerate(centers)], "cluster_id bigint, center array<float>")
+    got = {r.id: r.cluster_id for r in assign_nearest_centroid(points, table).collect()}
+    assert got == {i: i * 7 for i in range(20)}
+
+
 def test_prepare_masked_needs_whole_labels(spark):
     rows = spark.createDataFrame([(1, "a", "5", 1, 0), (2, "b", "3", 0, 1)], "id int, text string, label string, metric_mask int, classification_mask int")
     ready = prepare(rows, rows, key="id", masked=True)

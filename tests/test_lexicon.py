@@ -34,6 +34,23 @@ def test_entities(spark, texts, limit):
     assert got == {1: ["мамы", "мамы"], 2: [], 3: [], 4: [], 5: ["New York", "York City", "New York"]}
 
 
+@BOTH
+def test_names_of_any_length(spark, limit):
+    texts = spark.createDataFrame([(1, "the Bank of New York Mellon in New York, bank of new"), (2, None), (3, "New")], "id bigint, text string")
+    names = spark.createDataFrame([("Bank of New York Mellon",), ("New York",), (None,), ("...",)], "name string")
+    got = {r.id: r.entities for r in extract_entities(texts, names, key="id", max_gazetteer_rows=limit).collect()}
+    assert got == {1: ["Bank of New York Mellon", "New York"], 2: [], 3: []}
+    short = extract_entities(texts, names, key="id", max_words=2, max_gazetteer_rows=limit).filter("id = 1").first().entities
+    assert short == ["New York", "New York"]
+
+
+@BOTH
+def test_empty_tables(spark, texts, limit):
+    nothing = spark.createDataFrame([], "token string, lemma string, name string")
+    assert {r.lemmas for r in lemmatize(texts, nothing, key="id", max_lexicon_rows=limit).collect()} == {""}
+    assert {len(r.entities) for r in extract_entities(texts, nothing, key="id", max_gazetteer_rows=limit).collect()} == {0}
+
+
 @BOTH
 def test_a_name_over_the_last_one_does_not_count(spark, limit):
     texts = spark.createDataFrame([(1, "a b c d")], "id bigint, text string")

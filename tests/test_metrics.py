@@ -85,3 +85,19 @@ def test_total_and_epoch_means(spark):
     log = spark.createDataFrame([(1, 2.0, 4.0), (1, 4.0, 0.0), (2, 1.0, 1.0)], "epoch int, c double, m double")
     total = log.withColumn("value", ops.total_loss(F.col("c"), F.col("m"), 1.0, 0.5))
     assert {r[0]: r[1] for r in ops.epoch_means(total, ["epoch"]).collect()} == {1: 4.0, 2: 1.5}
+
+
+@pytest.mark.parametrize("probs,label", [([0.5, 0.5], 2), ([0.5, 0.5], -1), ([0.5, 0.5], None), ([0.5, None], 0), ([], 0), (None, 0)])
+def test_impossible_labels_are_errors(spark, probs, label):
+    rows = spark.createDataFrame([(probs, label, 1.0), ([1.0, 0.0], 0, 1.0)], "probs array<double>, label int, mask double")
+    for smoothing in (0.0, 0.1):
+        with pytest.raises(Exception, match="no probability for label"):
+            ops.masked_cross_entropy(rows, smoothing=smoothing).collect()
+        masked = rows.withColumn("mask", F.when(F.col("label") == 0, F.col("mask")).otherwise(0.0)) if label != 0 else None
+        if masked is not None:
+            assert ops.masked_cross_entropy(masked, smoothing=smoothing).first()[0] is not None
+
+
+def test_a_probability_of_zero_is_floored(spark):
+    rows = spark.createDataFrame([([1.0, 0.0], 1, 1.0)], "probs array<double>, label int, mask double")
+    assert 600 < ops.masked_cross_entropy(rows).first()[0] < 800

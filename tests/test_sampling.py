@@ -30,6 +30,29 @@ def test_upsample_evens_out_classes(spark):
     assert drawn.filter("label = 'rare'").select("id").distinct().count() == 20
 
 
+def test_upsampled_rows_come_in_random_order(spark):
+    rows = spark.range(400).select("id", F.when(F.col("id") < 5, "rare").otherwise("common").alias("label"))
+    drawn = [[r.id for r in ops.upsample(rows.repartition(p), "label", "id").collect()] for p in (1, 2, 7)]
+    assert drawn[0] == drawn[1] == drawn[2]
+    share = {i: drawn[0].count(i) / len(drawn[0]) for i in set(drawn[0])}
+    by_chance = sum(s * s for s in share.values()) * len(drawn[0])
+    equal = sum(a == b for a, b in zip(drawn[0], drawn[0][1:]))
+    assert by_chance / 2 < equal < 2 * by_chance
+
+
+def test_upsample_copies_behind_an_exchange(rows):
+    plan = ops.upsample(rows, "label", "id")._jdf.queryExecution().executedPlan().toString()
+    copying = plan.index("Generate explode(sequence(")
+    below = plan[copying:]
+    assert below.index("REPARTITION_BY_NUM") < below.index("Join")
+
+
+def test_upsample_needs_unique_keys(spark):
+    twice = spark.createDataFrame([(1, "a"), (1, "b"), (2, "b")], "id int, label string")
+    with pytest.raises(ValueError, match="not unique"):
+        ops.upsample(twice, "label", "id")
+
+
 def test_upsample_in_slices(spark, monkeypatch):
     rows = spark.range(50).select("id", F.when(F.col("id") == 0, "one").otherwise("many").alias("label"))
     whole = ids(ops.upsample(rows, "label", "id"))
@@ -75,6 +98,43 @@ def test_resume_adds_only_missing_shards(spark, tmp_path):
     assert spark.read.parquet(path).count() == 20
 
 
+@pytest.mark.parametrize("limit", [1_000_000, 0])
+def test_many_shards_are_few_shards(spark, limit):
+    table = spark.createDataFrame([(k, i) for i, k in enumerate([5, 5, 5, 1, 2, 9, 9, 7, 3, 3, 11])], "k int, i int")
+    for shards in (2, 4, 11, 30):
+        few = ops.assign_shards(table, shards, "k", max_group_rows=limit).collect()
+        many = ops.assign_shards(table, shards, "k", max_group_rows=limit, max_bounds=0).collect()
+        assert sorted(few) == sorted(many)
+        size = -(-11 // shards)
+        keys = sorted(r.k for r in few)
+        assert {r.k: r.shard_id for r in few} == {k: keys.index(k) // size for k in keys}
+
+
+def test_resume_after_a_crash(spark, tmp_path):
+    path = tmp_path / "shards"
+    table = ops.assign_shards(spark.range(20), 4, "id")
+    (path / "_temporary" / "0").mkdir(parents=True)
+    ops.write_shards(table, str(path), resume=True)
+    assert ids(spark.read.parquet(str(path))) == list(range(20))
+    for file in (path / "shard_id=1").iterdir():
+        file.unlink()
+    ops.write_shards(table.filter("id < 2").withColumn("shard_id", F.lit(1)), str(path / "shard_id=1") + "-half")
+    half = next((path / "shard_id=1-half" / "shard_id=1").glob("*.parquet"))
+    half.rename(path / "shard_id=1" / half.name)
+    import shutil
+
+    shutil.rmtree(path / "shard_id=1-half")
+    ops.write_shards(table, str(path), resume=True)
+    assert ids(spark.read.parquet(str(path))) == list(range(20))
+
+
+def test_shards_never_overwrite_their_input(spark, tmp_path):
+    path = str(tmp_path / "shards")
+    ops.write_shards(ops.assign_shards(spark.range(4), 2, "id"), path)
+    with pytest.raises(ValueError, match="Refusing"):
+        ops.write_shards(spark.read.parquet(path), path)
+
+
 def test_first_n_and_shuffle(spark):
     table = spark.range(50).repartition(4)
     assert ids(ops.first_n(table, 7, "id")) == list(range(7))

@@ -119,3 +119,18 @@ def test_csv_stream(spark, tmp_path):
     stream = arriving_files(spark, str(source), spark.createDataFrame([], "ID string, text string").schema, fmt="csv")
     score_arriving(stream, load_model, str(tmp_path / "o"), str(tmp_path / "p")).awaitTermination()
     assert {r.ID: r.label for r in spark.read.parquet(str(tmp_path / "o")).collect()} == {"1": 1, "2": 0}
+
+
+def test_csv_validation_knows_missing_cells(spark, tmp_path):
+    path = tmp_path / "v.csv"
+    path.write_text('text,label\nNA,1\nlong enough,0\n"  hi    ",0\n,1\n')
+    assert run_validation(spark, str(path), load_model).first().accuracy == 1.0
+
+
+def test_the_stream_scores_missing_texts_as_the_batch_job_does(spark, tmp_path):
+    source = str(tmp_path / "in")
+    spark.createDataFrame([(1, None), (2, "long enough")], "id bigint, text string").write.parquet(source)
+    stream = arriving_files(spark, source, spark.read.parquet(source).schema)
+    score_arriving(stream, load_model, str(tmp_path / "o"), str(tmp_path / "p")).awaitTermination()
+    got = {r.id: (r.text, r.label, r.error) for r in spark.read.parquet(str(tmp_path / "o")).collect()}
+    assert got == {1: ("nan", 1, None), 2: ("long enough", 0, None)}

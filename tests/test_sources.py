@@ -93,3 +93,12 @@ def test_argument_checks(spark):
         require_positive(a=1, b=0)
     with pytest.raises(ValueError, match="Invalid mode"):
         require_choice("x", ["a"], "mode")
+
+
+def test_cells_keep_their_blanks(spark, tmp_path):
+    path = str(tmp_path / "cells.csv")
+    rows = [("  a ", "x"), ("b\n c", ' "q" '), ("\t", "1")]
+    ops.write_csv(spark.createDataFrame(rows, "text string, label string"), path)
+    assert sorted(tuple(r) for r in ops.read_csv(spark, path).collect()) == sorted(rows)
+    with pytest.raises(ValueError, match="Refusing"):
+        ops.write_csv(ops.read_csv(spark, path), path)

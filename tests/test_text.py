@@ -29,6 +29,9 @@ CASES = [
     (t.mask_urls, "WWW.x.org/a b", "<URL> b"),
     (t.plain_punctuation, "«x» — ёЁ", '"x" - еЕ'),
     (t.strip_control, "a​b\u0007c\td\n", "abc\td\n"),
+    (t.strip_control, "😀🫠🫶🩷\u0378\ue000\xad\x00é漢", "😀🫠🫶🩷é漢"),
+    (t.decode_and_compose, "Привет, мир № ё й", "Привет, мир No ё й"),
+    (t.decode_and_compose, "e\u0301 и\u0306 \u1112\u1161\u11ab", "é й 한"),
     (t.strip_tags, "<p>a</p>", " a "),
     (t.strip_tags, "a < b\n> c", "a < b\n> c"),
     (t.decode_and_compose, "a &amp; b", "a & b"),
@@ -43,6 +46,17 @@ def test_step(spark, step, text, expected):
     assert apply(spark, step, text, None) == [expected, None]
 
 
+def test_text_that_composition_leaves_alone_stays_in_the_jvm():
+    import re
+
+    trigger = re.compile(re.sub(r"\\x\{([0-9A-F]+)\}", lambda m: rf"\U{int(m[1], 16):08x}", t._composable()))
+    assert not trigger.search("Съешь ещё этих мягких французских булок — «да» 😀 漢字 ß é")
+    for point in range(0x110000):
+        c = chr(point)
+        if not 0xD800 <= point <= 0xDFFF and unicodedata.normalize("NFKC", c) != c:
+            assert trigger.match(c), hex(point)
+
+
 def test_mentions_come_before_emails_unless_asked(spark):
     assert apply(spark, t.clean_text, "a@b.com") == ["a<USER>.com"]
     assert apply(spark, lambda c: t.clean_text(c, email_first=True), "a@b.com") == ["<EMAIL>"]
