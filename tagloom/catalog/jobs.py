@@ -204,24 +204,30 @@ def _train_and_validation(spark, sf):
 
 @query(
     "prepare_dataset",
-    f"""WITH {LAB} SELECT doc_id, CAST(label AS BIGINT) AS label,
-      CAST(dense_rank() OVER (ORDER BY label) - 1 AS INTEGER) AS label_id FROM lab WHERE lang = 'en'""",
+    f"""WITH {LAB} SELECT doc_id, lang <> 'en' AS validation, CAST(label AS BIGINT) AS label,
+      CAST(dense_rank() OVER (ORDER BY label) - 1 AS INTEGER) AS label_id FROM lab""",
 )
 def prepare_dataset(spark, sf):
-    train, validation = _train_and_validation(spark, sf)
-    rows = prepare(train, validation, key="doc_id").train
-    return rows.select("doc_id", F.col("label").cast("bigint").alias("label"), "label_id")
+    """English documents train, the others validate."""
+    ready = prepare(*_train_and_validation(spark, sf), key="doc_id")
+    columns = ["doc_id", "validation", F.col("label").cast("bigint").alias("label"), "label_id"]
+    sides = [(ready.train, False), (ready.validation, True)]
+    train, validation = (side.withColumn("validation", F.lit(late)).select(*columns) for side, late in sides)
+    return train.unionByName(validation)
 
 
 @query(
     "prepare_dataset_balanced",
-    f"""WITH {LAB}, sizes AS (SELECT label, count(*) AS n FROM lab WHERE lang = 'en' GROUP BY 1)
-    SELECT CAST(dense_rank() OVER (ORDER BY label) - 1 AS INTEGER) AS label_id, (SELECT min(n) FROM sizes) AS n FROM sizes""",
+    f"""WITH {LAB}, ids AS (SELECT *, CAST(dense_rank() OVER (ORDER BY label) - 1 AS INTEGER) AS label_id FROM lab),
+    sizes AS (SELECT label_id, count(*) AS n FROM ids WHERE lang = 'en' GROUP BY 1)
+    SELECT label_id, FALSE AS validation, (SELECT min(n) FROM sizes) AS n FROM sizes
+    UNION ALL SELECT label_id, TRUE, count(*) FROM ids WHERE lang <> 'en' GROUP BY 1""",
 )
 def prepare_dataset_balanced(spark, sf):
-    train, validation = _train_and_validation(spark, sf)
-    ready = prepare(train, validation, key="doc_id", balance="down")
-    return ready.train.groupBy("label_id").agg(F.count(F.lit(1)).alias("n"))
+    ready = prepare(*_train_and_validation(spark, sf), key="doc_id", balance="down")
+    sides = [(ready.train, False), (ready.validation, True)]
+    train, validation = (side.select("label_id", F.lit(late).alias("validation")) for side, late in sides)
+    return train.unionByName(validation).groupBy("label_id", "validation").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(

@@ -44,9 +44,9 @@ def require_choice(value: str, choices: Iterable[str], name: str) -> None:
 def require_classes(classes: list[str], width: int | None = None) -> list[str]:
     """A class list has no blank names and as many names as the model has outputs."""
     if not classes:
-        raise ValueError("classes must be a non-empty list")
+        raise ValueError("no class names were given")
     if any(not isinstance(c, str) or not c.strip() for c in classes):
-        raise ValueError("classes must not contain empty strings")
+        raise ValueError("every class needs a name that is not blank")
     if width is not None and len(classes) != width:
         raise ValueError(f"{len(classes)} classes given for a model with {width} outputs")
     return classes

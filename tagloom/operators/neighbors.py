@@ -337,15 +337,13 @@ def contrastive_loss(
     side = cell_rows or rows_per_cell(largest, largest, dim, cores)
     packs = max(1, math.ceil(total / min(side, cell_rows or MIN_CELL_ROWS)))
     blocks = F.ceil(F.col("_rows") / F.lit(side)).cast("int")
-    placed = lookup_join(kept, sizes, "_batch", "inner", "batch sizes").select(
+    pack = F.pmod(F.xxhash64("_batch"), F.lit(packs)).alias("_pack")
+    placed = None if largest <= side else lookup_join(kept, sizes, "_batch", "inner", "batch sizes").select(
         "_batch", "_id", "_v", "_label",
-        F.pmod(F.xxhash64("_batch"), F.lit(packs)).alias("_pack"),
+        pack,
         F.pmod(F.xxhash64("_id"), blocks).alias("_own"),
         F.explode(F.sequence(F.lit(0), blocks - 1)).alias("_other"),
     )
-    anchors = placed.groupBy("_pack", "_own", "_other")
-    turned = {"_own": "_other", "_other": "_own"}
-    others = placed.select(*[F.col(turned.get(c, c)).alias(c) for c in placed.columns]).groupBy("_pack", "_own", "_other")
     schema = T.StructType(
         [
             T.StructField("_batch", rows.schema[batch].dataType),
@@ -393,7 +391,14 @@ def contrastive_loss(
             }
         )
 
-    partial = anchors.cogroup(others).applyInArrow(cell_sums, schema)
+    if placed is None:  # every batch fits one cell, so its rows meet after a single shuffle
+        packed = kept.withColumn("_pack", pack).groupBy("_pack")
+        partial = packed.applyInArrow(lambda cell: cell_sums(cell, cell), schema)
+    else:
+        turned = {"_own": "_other", "_other": "_own"}
+        others = placed.select(*[F.col(turned.get(c, c)).alias(c) for c in placed.columns])
+        sides = [rows_of.groupBy("_pack", "_own", "_other") for rows_of in (placed, others)]
+        partial = sides[0].cogroup(sides[1]).applyInArrow(cell_sums, schema)
     per_row = partial.groupBy("_batch", "_id").agg(F.sum("_positive").alias("p"), F.sum("_all").alias("a"), F.sum("_pairs").alias("n"))
     log_share = F.log((F.col("p") + 1e-12) / (F.col("a") + 1e-12))
     per_batch = per_row.groupBy("_batch").agg(

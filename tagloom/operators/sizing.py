@@ -8,20 +8,24 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import warnings
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tagloom.sources import paths
+
 MAX_LOOKUP_ROWS = 100_000
+MAX_LOOKUP_BYTES = 256 * 2**20
 MAX_GROUP_ROWS = 1_000_000
 
 
-def small_rows(df: DataFrame, max_rows: int = MAX_LOOKUP_ROWS) -> pa.Table | None:
-    """The rows of ``df`` when there are at most ``max_rows`` of them, else None."""
+def small_rows(df: DataFrame, max_rows: int = MAX_LOOKUP_ROWS, max_bytes: int = MAX_LOOKUP_BYTES) -> pa.Table | None:
+    """The rows of ``df`` when there are at most ``max_rows`` of them in ``max_bytes``, else None."""
     rows = df.limit(max_rows + 1).toArrow()
-    return rows if rows.num_rows <= max_rows else None
+    return rows if rows.num_rows <= max_rows and rows.nbytes <= max_bytes else None
 
 
 def small_table(df: DataFrame, max_rows: int = MAX_LOOKUP_ROWS) -> DataFrame | None:
@@ -75,7 +79,10 @@ def spread(df: DataFrame, source: DataFrame | None = None) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, as the cluster names it; only a local session gets a temporary one."""
+    """Folder every executor can reach, as the cluster names it; only a local session gets a temporary one.
+
+    A ``file:`` folder on a cluster must be mounted on every machine; a warning says so.
+    """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -84,11 +91,27 @@ def shared_folder(spark: SparkSession) -> str:
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
             folder = tempfile.mkdtemp(prefix="tagloom-")
         sc.setCheckpointDir(folder)
+    if sc.getCheckpointDir().startswith("file:") and not sc.master.startswith("local"):
+        warnings.warn(f"{sc.getCheckpointDir()} must be a folder that all executors share", stacklevel=2)
     return sc.getCheckpointDir()
 
 
+_staged_paths: list[str] = []
+
+
 def staging_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _staged_paths.append(path)
+    return path
+
+
+def remove_staged(spark: SparkSession) -> int:
+    """Delete everything this session has staged; for when no result that still reads it is needed any more."""
+    count = 0
+    while _staged_paths:
+        paths.remove(spark, _staged_paths.pop())
+        count += 1
+    return count
 
 
 def staged(df: DataFrame, name: str = "staged") -> DataFrame:

@@ -31,7 +31,7 @@ def fit_pca(rows: DataFrame, column: str = "cls", n_components: int = 50) -> Pip
     require_columns(rows, [column], "vectors")
     dim = vector_width(rows, column)
     if dim == 0:
-        raise ValueError("No data found to fit PCA.")
+        raise ValueError("components need at least one usable vector")
     centre = StandardScaler(withMean=True, withStd=False, inputCol="_unit", outputCol="_centred")
     components = PCA(k=n_components, inputCol="_centred", outputCol="_pca")
     return Pipeline(stages=[centre, components]).fit(_unit_vectors(rows.select(column), column, dim))
@@ -65,7 +65,7 @@ def fit_clusters(
 ) -> KMeansModel:
     """k-means over the valid vectors, or over the first ``sample_limit`` of them by ``key``."""
     if n_clusters <= 1:
-        raise ValueError("n_clusters must be greater than 1")
+        raise ValueError("n_clusters is two or more")
     require_positive(max_iter=max_iter, sample_limit=sample_limit)
     require_columns(rows, [column], "vectors")
     dim = vector_width(rows, column)

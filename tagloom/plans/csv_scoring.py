@@ -19,7 +19,7 @@ def label_texts(rows: DataFrame, load_model: Callable[[], Scorer], classes: list
     require_classes(classes)
     texts = rows.select("ID", missing_as_nan_text(F.col("text"), MISSING_CELLS).alias("text"))
     scored = score_texts(texts, load_model, batch_size=batch_size)
-    failed = F.raise_error(F.concat(F.lit("Model inference failed: "), F.col("error"))).cast("string")
+    failed = F.raise_error(F.concat(F.lit("a text could not be scored: "), F.col("error"))).cast("string")
     name = class_name(F.col("label"), classes)
     return scored.select("ID", F.when(F.col("error").isNotNull(), failed).otherwise(name).alias("label"))
 

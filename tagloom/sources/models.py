@@ -15,7 +15,7 @@ def save_model(model, path: str) -> None:
 
 def _must_exist(spark: SparkSession, path: str) -> None:
     if not paths.exists(spark, path):
-        raise FileNotFoundError(f"Model file not found: {path}")
+        raise FileNotFoundError(f"no saved model at {path}")
 
 
 def load_kmeans(spark: SparkSession, path: str) -> KMeansModel:

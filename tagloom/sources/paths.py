@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
+from itertools import islice
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +25,32 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jvm_path)
 
 
+def write_text(spark: SparkSession, path: str, pieces: Iterable[str]) -> None:
+    """Write one file, some thousand pieces at a time; it appears under its name when it is whole."""
+    jvm_path, fs = _hadoop_path(spark, path)
+    partial, _ = _hadoop_path(spark, f"{path}.partial")
+    out, pieces = fs.create(partial, True), iter(pieces)
+    while waiting := list(islice(pieces, 10_000)):
+        out.write(bytearray("".join(waiting).encode()))
+    out.close()
+    if fs.exists(jvm_path):
+        fs.delete(jvm_path, False)
+    if not fs.rename(partial, jvm_path):
+        raise OSError(f"{path} could not be put in place")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file as a whole."""
+    if not exists(spark, path):
+        raise FileNotFoundError(f"there is no file {path}")
+    return spark.read.text(path, wholetext=True).first()[0]
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    jvm_path, fs = _hadoop_path(spark, path)
+    fs.delete(jvm_path, True)
+
+
 def _plain(uri: str) -> str:
     """One spelling for the ways a file URI may be written."""
     return re.sub(r"^file:/+", "file:/", unquote(uri)).rstrip("/")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 from collections.abc import Iterable, Mapping
+from itertools import chain
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,17 +14,15 @@ from pyspark.sql import types as T
 from tagloom.checks import require_columns
 from tagloom.sources import paths
 
-MAX_EXPORTED_ENTRIES = 1_000_000
-
 
 def read_shards(spark: SparkSession, directory: str, columns: Iterable[str] | None = None) -> DataFrame:
     """All ``*.parquet`` shards directly under ``directory``, pruned to ``columns``."""
     if not paths.is_directory(spark, directory):
-        raise FileNotFoundError(f"Input directory not found: {directory}")
+        raise FileNotFoundError(f"there is no folder {directory} to read shards from")
     jvm_path, fs = paths._hadoop_path(spark, directory)
     names = [s.getPath().getName() for s in fs.listStatus(jvm_path)]
     if not any(n.endswith(".parquet") and n[0] not in "._" for n in names):
-        raise FileNotFoundError(f"No Parquet shards found in {directory}")
+        raise FileNotFoundError(f"{directory} holds no *.parquet file")
     df = spark.read.option("pathGlobFilter", "*.parquet").parquet(directory)
     return df if columns is None else prune(df, columns, f"shards of {directory}")
 
@@ -48,7 +47,7 @@ def read_by_extension(spark: SparkSession, path: str) -> DataFrame:
         return spark.read.parquet(path)
     if suffix in {".csv", ".txt"}:
         return read_csv(spark, path)
-    raise ValueError(f"Unsupported dataset format: {suffix}")
+    raise ValueError(f"tables are read from .parquet, .csv or .txt, not from '{suffix}'")
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -59,10 +58,10 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
 def read_scoring_csv(spark: SparkSession, path: str) -> DataFrame:
     """CSV to be scored: the name ends in ``.csv``, it has ``ID`` and ``text``, and it is not empty."""
     if not path.rstrip("/").endswith(".csv"):
-        raise ValueError(f"Input must be a CSV: {path}")
+        raise ValueError(f"{path} should end in .csv")
     df = require_columns(read_csv(spark, path), ["ID", "text"], path)
     if df.isEmpty():
-        raise ValueError(f"CSV file is empty: {path}")
+        raise ValueError(f"{path} has a header and no rows")
     return df.select("ID", "text")
 
 
@@ -98,30 +97,30 @@ def write_metrics(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").json(path)
 
 
-def write_int_map(df: DataFrame, key: str, value: str, path: str) -> dict[int, int]:
-    """Export a small two-column map, keys sorted: JSON when the name ends in ``.json``, else YAML."""
-    rows = df.select(key, value).orderBy(key).limit(MAX_EXPORTED_ENTRIES + 1).collect()
-    if not rows:
-        raise ValueError("The map is empty; nothing to write")
-    if len(rows) > MAX_EXPORTED_ENTRIES:
-        raise ValueError(f"The map has more than {MAX_EXPORTED_ENTRIES} entries; keep it as a table")
-    mapping = {int(r[0]): int(r[1]) for r in rows}
-    os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
-    if path.lower().endswith(".json"):
-        text = json.dumps({str(k): v for k, v in mapping.items()}, indent=2)
-    else:
-        text = "".join(f"{k}: {v}\n" for k, v in mapping.items())
-    partial = f"{path}.partial"
-    with open(partial, "w", encoding="utf-8") as f:
-        f.write(text)
-    os.replace(partial, path)
-    return mapping
-
-
-def read_prediction_mapping(path: str) -> dict[int, int]:
+def write_int_map(df: DataFrame, key: str, value: str, path: str) -> None:
+    """Export a two-column map, keys sorted: JSON when the name ends in ``.json``, else YAML.
+
+    One file by its nature: entries reach it partition by partition through the session's file system, and the driver
+    never holds all of them. An empty map is an error.
+    """
+    as_json = path.lower().endswith(".json")
+    ordered = df.select(F.col(key).cast("bigint"), F.col(value).cast("bigint")).orderBy(key)
+    entries = ordered.toLocalIterator()
+    first = next(entries, None)
+    if first is None:
+        raise ValueError(f"an empty map is not written to {path}")
+
+    def pieces():
+        for number, (k, v) in enumerate(chain([first], entries)):
+            yield f'{"," if number else "{"}\n  "{k}": {v}' if as_json else f"{k}: {v}\n"
+        yield "\n}" if as_json else ""
+
+    paths.write_text(df.sparkSession, path, pieces())
+
+
+def read_prediction_mapping(spark: SparkSession, path: str) -> dict[int, int]:
     """JSON object whose keys are ``"0"``, ``"1"``, ... without a gap."""
-    with open(path, encoding="utf-8") as f:
-        return dense_mapping(json.load(f))
+    return dense_mapping(json.loads(paths.read_text(spark, path)))
 
 
 def dense_mapping(mapping: Mapping) -> dict[int, int]:

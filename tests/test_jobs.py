@@ -37,7 +37,7 @@ def test_pca_against_numpy(spark, vectors, tmp_path):
 
 
 def test_pca_needs_data(vectors):
-    with pytest.raises(ValueError, match="No data"):
+    with pytest.raises(ValueError, match="usable vector"):
         clusters.fit_pca(vectors.limit(0))
 
 

@@ -47,7 +47,7 @@ def test_label_map_ties_take_smaller_label(clustered, tmp_path):
     assert (tmp_path / "m.yaml").read_text() == "-1: 1\n0: 1\n1: 0\n"
     label_map_job(clustered, output_path=str(tmp_path / "m.json"))
     assert '"-1": 1' in (tmp_path / "m.json").read_text()
-    with pytest.raises(ValueError, match="empty"):
+    with pytest.raises(ValueError, match="empty map"):
         label_map_job(clustered.limit(0), output_path=str(tmp_path / "e.json"))
 
 

@@ -9,12 +9,12 @@ from tagloom.sources import tables as ops
 
 
 def test_shards_directory(spark, tmp_path):
-    with pytest.raises(FileNotFoundError, match="not found"):
+    with pytest.raises(FileNotFoundError, match="no folder"):
         ops.read_shards(spark, str(tmp_path / "absent"))
     folder = tmp_path / "shards"
     folder.mkdir()
     (folder / "notes.txt").write_text("x")
-    with pytest.raises(FileNotFoundError, match="No Parquet shards"):
+    with pytest.raises(FileNotFoundError, match="holds no"):
         ops.read_shards(spark, str(folder))
     spark.range(7).withColumn("b", F.lit(1)).write.mode("append").parquet(str(folder))
     shards = ops.read_shards(spark, str(folder), ["id"])
@@ -102,3 +102,31 @@ def test_cells_keep_their_blanks(spark, tmp_path):
     assert sorted(tuple(r) for r in ops.read_csv(spark, path).collect()) == sorted(rows)
     with pytest.raises(ValueError, match="Refusing"):
         ops.write_csv(ops.read_csv(spark, path), path)
+
+
+def test_maps_travel_through_the_file_system(spark, tmp_path):
+    rows = spark.range(25_000).select("id", (F.col("id") % 3).alias("to"))
+    path = f"file://{tmp_path}/deep/map.json"
+    ops.write_int_map(rows.repartition(3), "id", "to", path)
+    assert ops.read_prediction_mapping(spark, path) == {i: i % 3 for i in range(25_000)}
+    ops.write_int_map(rows.limit(2), "id", "to", path)
+    assert ops.read_prediction_mapping(spark, path) == {0: 0, 1: 1}
+    with pytest.raises(FileNotFoundError):
+        ops.read_prediction_mapping(spark, path + "x")
+
+
+def test_staged_tables_can_be_removed(spark):
+    from tagloom.operators import sizing
+
+    before = list(sizing._staged_paths)
+    sizing._staged_paths.clear()
+    path = sizing.staging_path(spark, "t")
+    spark.range(3).write.parquet(path)
+    assert sizing.remove_staged(spark) == 1 and sizing.remove_staged(spark) == 0
+    assert not ops.paths.exists(spark, path)
+    sizing._staged_paths.extend(before)
+
+
+def test_wide_rows_are_not_small(spark):
+    rows = spark.range(10).select(F.repeat(F.lit("x"), 1000).alias("s"))
+    assert small_rows(rows, 10) is not None and small_rows(rows, 10, 5000) is None
