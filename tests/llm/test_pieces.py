@@ -2,6 +2,7 @@
 
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -61,6 +62,19 @@ def test_dropout_varies_with_seed_and_variant(model):
     assert len(ids(model, text, 1.0)) == len(text) + 1  # every character, and the blank put in front
 
 
+@pytest.mark.parametrize("dropout", [0.0, 0.1, 0.6])
+def test_units_together_are_units_one_by_one(model, dropout):
+    import random
+
+    rng = random.Random(1)
+    units = ["▁" + "".join(rng.choices("thentioségaßЖя漢▁.,0A", k=rng.randrange(45))) for _ in range(3000)] + ["▁", "▁▁▁▁", "a", "▁🫠x", "▁ⅷ"]
+    keys = np.array([rng.randrange(3) for _ in units])
+    values, lengths = pieces.segment_all(model, units, keys, dropout)
+    ends = np.cumsum(lengths)
+    for u, k, a, b in zip(units, keys.tolist(), ends - lengths, ends, strict=True):
+        assert values[a:b].tolist() == model.segment(u, k, dropout), u
+
+
 def test_share_of_skipped_merges(model):
     """Of merges that stand alone, about the asked share is skipped."""
     skipped = sum(len(model.segment("▁a", key, 0.2)) == 2 for key in range(4000))
