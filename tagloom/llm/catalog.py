@@ -193,7 +193,10 @@ def op8(spark, sf):
         parts = F.transform(spans, lambda s: F.concat_ws(":", F.element_at(kinds, s["kind"] + 1), s["start"], s["stop"]))
         return F.array_join(parts, ",")
 
-    counts = [F.size(F.filter("base", lambda s, i=i: s["kind"] == i)).cast("bigint").alias(f"n_{k}") for i, k in enumerate(pii.KINDS)]
+    def counted(number: int):
+        return F.size(F.filter("base", lambda s: s["kind"] == number)).cast("bigint")
+
+    counts = [counted(i).alias(f"n_{k}") for i, k in enumerate(pii.KINDS)]
     return found.select("doc_id", *counts, F.sha2(written("base"), 256).alias("base_sha256"), written("spans").alias("spans"))
 
 
