@@ -3,37 +3,53 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tagloom.catalog.views import table
 from tagloom.llm import decontaminate, exact_dedup, pieces, simhash, toxicity
 from tagloom.llm.catalog import PIECE_MODEL
 from tagloom.operators.sizing import staged
 
+OWN = ("doc_id", "text")
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """Id and text, and all other columns as one, so that none can clash with a column an operator adds."""
+    others = [docs[f"`{c}`"] for c in docs.columns if c not in OWN]
+    return docs.select(*OWN, F.struct(F.lit(0).alias("none"), *others).alias("carried"))
+
+
+def unpacked(rows: DataFrame, columns: list[str]) -> DataFrame:
+    return rows.select(*[F.col(c) if c in OWN else F.col("carried").getField(c).alias(c) for c in columns])
+
 
 def toxic_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose text scores below one half; the model learns from all labelled documents of its input."""
-    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model).filter("score < 0.5").select(*docs.columns)
+    rows = packed(docs)
+    model = toxicity.fit(rows, table(spark, sf_dir, "labels"))
+    return unpacked(toxicity.score(rows, model).filter("score < 0.5"), docs.columns)
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts."""
-    return exact_dedup.drop_copies(docs).select(*docs.columns)
+    return unpacked(exact_dedup.drop_copies(packed(docs)), docs.columns)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
-    return simhash.keep_one(docs).select(*docs.columns)
+    return unpacked(simhash.keep_one(packed(docs)), docs.columns)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no window of a benchmark item."""
-    return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark")).select(*docs.columns)
+    return unpacked(decontaminate.decontaminate(packed(docs), table(spark, sf_dir, "benchmark")), docs.columns)
 
 
 def encoded_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with the ids of their pieces in place of their texts."""
-    return pieces.encode(docs, PIECE_MODEL).select(*[c for c in docs.columns if c != "text"], "pieces")
+    """Documents with the ids of their pieces in place of their texts; a ``pieces`` they came with goes too."""
+    rows = pieces.encode(packed(docs), PIECE_MODEL)
+    kept = [c for c in docs.columns if c != "text" and c.lower() != "pieces"]
+    return unpacked(rows.withColumn("carried", F.col("carried").withField("pieces", F.col("pieces"))), [*kept, "pieces"])
 
 
 STAGES = [

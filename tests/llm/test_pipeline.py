@@ -45,11 +45,18 @@ def test_stages_chain(spark):
 
 
 def test_stages_take_odd_and_empty_tables(spark):
+    own = "_hash string, SCORE int, kept int, items string, `a.b` int, carried int, fingerprint string, Pieces int"
+    extra = ("h", 5, 6, "i", 7, 8, "f", 9)
     odd = spark.createDataFrame(
-        [(1, None, "en", None, 0, 5), (1, "", None, "s", None, 5), (None, "same words here", "en", "s", 1, 5), (None, "same words here", "en", "s", 1, 5)],
-        "doc_id bigint, text string, lang string, source string, n_chars bigint, SCORE int",
+        [(1, None, "en", None, 0, *extra), (1, "", None, "s", None, *extra), (None, "same words here", "en", "s", 1, *extra), (None, "same words here", "en", "s", 1, *extra)],
+        f"doc_id bigint, text string, lang string, source string, n_chars bigint, {own}",
     )
     for docs in (odd, odd.limit(0)):
-        for _, stage in corpus_pipeline.STAGES:
+        names, some = docs.columns, docs.count() > 0
+        for _, stage in corpus_pipeline.STAGES[:-1]:
             docs = stage(spark, docs, SF)
-            assert docs.count() >= 0
+            assert docs.columns == names
+            assert {tuple(r)[5:] for r in docs.collect()} == ({extra} if some else set())
+        last = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
+        assert last.columns == [c for c in names if c not in ("text", "Pieces")] + ["pieces"]
+        assert {tuple(r)[4:-1] for r in last.collect()} == ({extra[:-1]} if some else set())
