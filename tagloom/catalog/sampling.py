@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tagloom.catalog.registry import query
@@ -88,3 +89,31 @@ def sample_limit(spark, sf):
     rows = table(spark, sf, "embeddings")
     valid = rows.filter(is_valid_vector(F.col("embedding"), vector_width(rows, "embedding")))
     return ops.first_n(valid, 300, "vec_id").select("vec_id", "label")
+
+
+@query(
+    "downsample_is_a_subset",
+    f"""WITH {SIZES} SELECT CAST((SELECT min(n) * count(*) FROM sizes) AS BIGINT) AS rows, CAST(0 AS BIGINT) AS repeated, CAST(0 AS BIGINT) AS altered""",
+)
+def downsample_is_a_subset(spark, sf):
+    """Kept rows are rows of the table, once each and unchanged."""
+    rows = lab(spark, sf).select("doc_id", "label")
+    kept = ops.downsample(rows, "label", "doc_id").groupBy("doc_id", "label").agg(F.count(F.lit(1)).alias("n"))
+    met = kept.join(rows.withColumn("there", F.lit(True)), ["doc_id", "label"], "left")
+    return met.agg(F.sum("n").alias("rows"), F.sum(F.col("n") - 1).alias("repeated"), F.count_if(F.col("there").isNull()).alias("altered"))
+
+
+@query(
+    "upsample_is_fair",
+    f"""WITH {SIZES} SELECT label, TRUE AS near_its_share, CAST(0 AS BIGINT) AS altered FROM sizes""",
+)
+def upsample_is_fair(spark, sf):
+    """Each class gets its share of draws within five standard deviations, all of them rows of the table."""
+    rows = lab(spark, sf).select("doc_id", "label")
+    drawn = ops.upsample(rows, "label", "doc_id").groupBy("doc_id", "label").agg(F.count(F.lit(1)).alias("n"))
+    met = drawn.join(rows.withColumn("there", F.lit(True)), ["doc_id", "label"], "left")
+    by_label = met.groupBy("label").agg(F.sum("n").alias("n"), F.count_if(F.col("there").isNull()).alias("altered"))
+    whole = Window.partitionBy(F.lit(1))  # a row for each class
+    share, total = 1 / F.count(F.lit(1)).over(whole), F.sum("n").over(whole)
+    near = F.abs(F.col("n") - share * total) <= 5 * F.sqrt(total * share * (1 - share))
+    return by_label.select("label", near.alias("near_its_share"), "altered")

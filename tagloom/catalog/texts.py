@@ -198,3 +198,20 @@ def entities(spark, sf):
     names = table(spark, sf, "benchmark").select(words.alias("name")).distinct().filter(F.col("name").rlike(NAME))
     found = extract_entities(documents(spark, sf), names, key="doc_id")
     return found.select("doc_id", F.array_join("entities", "|").alias("entities"))
+
+
+@query(
+    "extract_long_names",
+    f"""WITH heads AS (SELECT regexp_extract_all(text, '{TOKEN}')[1:5] AS w FROM benchmark),
+    names AS (SELECT lower(array_to_string(w, ' ')) AS form, min(array_to_string(w, ' ')) AS name FROM heads WHERE len(w) = 5 GROUP BY 1),
+    placed AS (SELECT doc_id, generate_subscripts(w, 1) AS pos, w FROM (SELECT doc_id, {WORDS} AS w FROM documents)),
+    found AS (SELECT doc_id, pos, name FROM placed JOIN names ON names.form = array_to_string(w[pos : pos + 4], ' '))
+    SELECT d.doc_id, coalesce(string_agg(name, '|' ORDER BY pos), '') AS entities
+    FROM documents d LEFT JOIN found ON found.doc_id = d.doc_id GROUP BY d.doc_id""",
+)
+def long_names(spark, sf):
+    """The first five words of every benchmark text are a name."""
+    words = F.slice(F.regexp_extract_all("text", F.lit(TOKEN), F.lit(0)), 1, 5)
+    heads = table(spark, sf, "benchmark").select(words.alias("w")).filter(F.size("w") == 5)
+    found = extract_entities(documents(spark, sf), heads.select(F.array_join("w", " ").alias("name")), key="doc_id")
+    return found.select("doc_id", F.array_join("entities", "|").alias("entities"))

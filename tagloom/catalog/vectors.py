@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tagloom.catalog.metrics import scores_sql
@@ -291,3 +292,31 @@ def kmeans_assign(spark, sf):
     rows = table(spark, sf, "embeddings").select("vec_id", "label", F.col("embedding").alias("pca"))
     centers = fit_clusters(rows, "pca", n_clusters=10, max_iter=20).clusterCenters()
     return ops.assign_nearest_centroid(rows, centroid_table(spark, centers)).select("vec_id", "label", "cluster_id")
+
+
+@query("kmeans_nearest", "SELECT count(*) AS rows, CAST(0 AS BIGINT) AS closer_elsewhere FROM embeddings")
+def kmeans_nearest(spark, sf):
+    """Of fitted clusters it holds that no vector lies closer to another centre than to its own."""
+    rows = table(spark, sf, "embeddings").select("vec_id", F.col("embedding").alias("pca"))
+    centers = centroid_table(spark, fit_clusters(rows, "pca", n_clusters=10, max_iter=20).clusterCenters())
+    assigned = ops.assign_nearest_centroid(rows, centers)
+    own = F.broadcast(centers.select("cluster_id", F.col("center").alias("own")))  # ten rows, as asked for
+    every = F.broadcast(centers.agg(F.collect_list("center").alias("centers")).withColumn("one", F.lit(1)))
+    met = assigned.join(own, "cluster_id", "left").withColumn("one", F.lit(1)).join(every, "one")
+    gaps = F.transform("centers", lambda c: vec.l2_distance(F.col("pca"), c))
+    closer = F.array_min(gaps) < vec.l2_distance(F.col("pca"), F.col("own")) - 1e-9
+    return met.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.coalesce(closer, F.lit(True))).alias("closer_elsewhere"))
+
+
+@query(
+    "pca_centred",
+    "SELECT CAST(i AS BIGINT) AS component, count(*) AS n, 0.0::DOUBLE AS mean, TRUE AS in_order FROM embeddings, range(50) r(i) GROUP BY 1",
+)
+def pca_centred(spark, sf):
+    """Every component has mean zero, and none varies more than the one before it."""
+    rows = table(spark, sf, "embeddings")
+    reduced = transform_pca(rows, fit_pca(rows, "embedding", 50), "embedding").select(F.posexplode("pca").alias("i", "x"))
+    sums = reduced.groupBy("i").agg(F.count("x").alias("n"), F.avg("x").alias("mean"), F.var_samp("x").alias("v"))
+    before = F.lag("v").over(Window.partitionBy(F.lit(1)).orderBy("i"))  # fifty rows, one for each component
+    in_order = F.coalesce(F.col("v") <= before + 1e-12, F.lit(True))
+    return sums.select(F.col("i").cast("bigint").alias("component"), "n", (F.round("mean", 6) + 0.0).alias("mean"), in_order.alias("in_order"))
