@@ -11,11 +11,14 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 SLICE_BYTES = 4 << 20
+#: Bytes of rows that go to Python at once. Spark's own bound is 64 MiB, of which a task holds several.
+BATCH_BYTES = 8 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 _LOWER = [c + 32 if 65 <= c <= 90 else c for c in range(256)]
 #: Words are runs of a-z, 0-9 and everything beyond ASCII, after A-Z was lower-cased.
@@ -24,6 +27,13 @@ ALNUM = bytes(c if c >= 0x80 or chr(c).isalnum() else 32 for c in _LOWER)
 BLANKS = bytes(_LOWER)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Lower the session's bound on batches for Python to ``BATCH_BYTES``; a lower one stays."""
+    size = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    if size(spark.conf.get(_BATCH_SETTING)) > BATCH_BYTES:
+        spark.conf.set(_BATCH_SETTING, f"{BATCH_BYTES}b")
+
+
 def plain(texts: pa.Array) -> pa.Array:
     """The texts as one string array without nulls; null counts as empty."""
     if isinstance(texts, pa.ChunkedArray):
@@ -80,6 +90,7 @@ def append_columns(
 
     Input columns whose names the new ones take are dropped first, so the result never has a name twice.
     """
+    bound_batches(df.sparkSession)
     taken = {f.name.lower() for f in fields}
     source = "_text_of_rows"
     kept = [c for c in df.columns if c.lower() not in taken and c.lower() != source]

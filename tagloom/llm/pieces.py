@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tagloom.llm.batches import append_columns
+from tagloom.llm.batches import append_columns, bound_batches
 
 BLANK = "▁"
 DROPOUT, SEED, VARIANTS = 0.1, 1, 4
@@ -47,10 +47,6 @@ class PieceModel:
         self.byte = [model.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         if not all(model.is_byte(i) for i in self.byte):
             raise ValueError("this model has no byte pieces")
-        # bytes of each piece; control pieces have none
-        self.bytes = [b"" if special[i] else p.replace(BLANK, " ").encode() for i, p in enumerate(self.pieces)]
-        for b, i in enumerate(self.byte):
-            self.bytes[i] = bytes([b])
         self.pairs = PairTable(self)
 
     def segment(self, unit: str, key: int, dropout: float) -> list[int]:
@@ -244,6 +240,23 @@ def segment_all(model: PieceModel, units: list[str], keys: np.ndarray, dropout:
     return values, lengths
 
 
+@lru_cache(maxsize=2)
+def bytes_of_pieces(content: bytes) -> np.ndarray:
+    """What each piece stands for; control pieces stand for nothing. All that decoding needs of a model."""
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_proto=content)
+    out = []
+    for i in range(model.vocab_size()):
+        piece = model.id_to_piece(i)
+        if model.is_byte(i):
+            out.append(bytes([int(piece[3:5], 16)]))
+        else:
+            hidden = model.is_control(i) or model.is_unknown(i) or model.is_unused(i)
+            out.append(b"" if hidden else piece.replace(BLANK, " ").encode())
+    return np.array(out, object)
+
+
 @lru_cache(maxsize=2)
 def _loaded(content: bytes) -> PieceModel:
     return PieceModel(content)
@@ -318,8 +331,8 @@ def encode(
     return append_columns(named, text, [T.StructField("pieces", T.ArrayType(T.IntegerType()))], compute).drop("_variant")
 
 
-def decode_slice(model: PieceModel, ids: pa.ListArray) -> list[str]:
-    words = np.array(model.bytes, object)
+def decode_slice(words: np.ndarray, ids: pa.ListArray) -> list[str]:
+    """Texts of rows of ids; ``words`` comes from ``bytes_of_pieces``."""
     out = []
     for row in ids:
         pieces = row.values
@@ -335,6 +348,7 @@ def decode(df: DataFrame, model_path: str, pieces: str = "pieces") -> DataFrame:
     """``df`` with ``decoded``, the text of its pieces."""
     with open(model_path, "rb") as f:
         content = df.sparkSession.sparkContext.broadcast(f.read())
+    bound_batches(df.sparkSession)
     own = [c for c in df.columns if c.lower() != "decoded"]
     rows = df.select(*[df[f"`{c}`"] for c in own])
     schema = T.StructType([*rows.schema, T.StructField("decoded", T.StringType())])
@@ -344,7 +358,7 @@ def decode(df: DataFrame, model_path: str, pieces: str = "pieces") -> DataFrame:
         for batch in batches:
             for start in range(0, len(batch), 1000):
                 part = batch.slice(start, 1000)
-                texts = pa.array(decode_slice(_loaded(content.value), part.column(at)), pa.string())
+                texts = pa.array(decode_slice(bytes_of_pieces(content.value), part.column(at)), pa.string())
                 yield pa.RecordBatch.from_arrays([*part.columns, texts], names=schema.names)
 
     return rows.mapInArrow(run, schema)

@@ -35,6 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tagloom.llm.batches import bound_batches
 from tagloom.llm.host_reputation import host_of
 from tagloom.operators.sizing import staged, staging_path
 
@@ -148,6 +149,8 @@ def write_archives(pages: DataFrame, folder: str, key: str = "page_id", url: str
     of = F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first")).alias("refers_to")
     linked = rows.join(copies, "sha", "left").select(url_key(F.col("url")).alias("key"), "page_id", "url", "payload", of)
 
+    bound_batches(pages.sparkSession)
+
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, file, at = None, "", 0
         for batch in batches:

@@ -6,6 +6,7 @@ import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from tagloom.llm import batches
 from tagloom.llm.batches import ALNUM, BLANKS, append_columns, plain, row_slices, split_words
 
 TEXTS = st.lists(st.one_of(st.none(), st.text(alphabet=st.sampled_from("aZ09 .-_\t\n\x0b\x0c\r\x1c\x85\xa0éß漢🫠\x00/:@[`{\x7f"), max_size=30)), max_size=8)
@@ -43,3 +44,12 @@ def test_new_columns_replace_old_ones_of_their_name(spark):
     out = append_columns(df, "text", [field], lambda texts, batch: [[len(t) for t in texts.to_pylist()]])
     assert out.columns == ["id", "text", "size"]
     assert out.collect()[0]["size"] == 3
+
+
+def test_the_bound_on_batches_is_lowered_only(spark):
+    before = spark.conf.get(batches._BATCH_SETTING)
+    for asked, left in (("64m", "8388608b"), ("1m", "1m"), ("8388608", "8388608")):
+        spark.conf.set(batches._BATCH_SETTING, asked)
+        batches.bound_batches(spark)
+        assert spark.conf.get(batches._BATCH_SETTING) == left
+    spark.conf.set(batches._BATCH_SETTING, before)
