@@ -15,6 +15,7 @@ kinds every score is the share of toxic ones, zero without any. Rows are never d
 from __future__ import annotations
 
 import math
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -27,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tagloom.llm.batches import ALNUM, append_columns, plain, row_slices, split_words
+from tagloom.llm.batches import ALNUM, BLANKS, append_columns, bound_batches, plain, row_slices, split_words
 from tagloom.llm.decontaminate import WORD
 
 #: Labelled rows the model is fitted on at most, those whose keys hash lowest.
@@ -35,7 +36,7 @@ MAX_LABELLED = 100_000
 MAX_TERMS = 400
 MIN_DOCUMENTS = 3
 MIN_LETTERS, MAX_LETTERS = 4, 32
-WINDOW = 5
+WINDOW, REACH = 5, 60
 # fixed values: marks and words that tell the contexts of a hit
 OPENING, CLOSING = '"“„«‘', '"”“»’'
 MARKS = "“”„«»‘’‚‹›…–—¡¿"
@@ -56,6 +57,10 @@ def allowed_edits(letters: int) -> int:
     return 0 if letters <= 4 else 1 if letters <= 8 else 2
 
 
+def _packed(nodes: dict[int, int]) -> bytes:
+    return array("i", sorted(4 * node + edits for node, edits in nodes.items())).tobytes()
+
+
 class LexiconAutomaton:
     """Finds the nearest term of a lexicon for words within the edits their length allows."""
 
@@ -82,8 +87,9 @@ class LexiconAutomaton:
         self.code_points = np.array([ord(x) for x in letters], np.uint32)
         self.longest = max((len(t) + allowed_edits(len(t)) for t in terms), default=0)
         start = self._closed({0: 0})
-        self.states: list[dict[int, int]] = [{}, start]
-        self.numbers = {frozenset(): 0, frozenset(start.items()): 1}
+        # a state is the sorted numbers 4 * node + edits, packed: there may be tens of thousands of states
+        self.states: list[bytes] = [b"", _packed(start)]
+        self.numbers = {state: number for number, state in enumerate(self.states)}
         self.moves = np.full((64, len(letters) + 1), self.UNKNOWN, np.int32)
         self.moves[0] = self.DEAD
         self.ends = [(-1, 0), self._end(start)]
@@ -111,15 +117,16 @@ class LexiconAutomaton:
     def _move(self, state: int, letter: int) -> int:
         text = self.letters[letter - 1] if letter else None
         reached: dict[int, int] = {}
-        for node, edits in self.states[state].items():
+        for number in array("i", self.states[state]):
+            node, edits = number >> 2, number & 3
             for to, cost in ((node, edits + 1), *((c, edits + (x != text)) for x, c in self.children[node].items())):
                 if cost <= self.reach[to] and cost < reached.get(to, 99):
                     reached[to] = cost
         closed = self._closed(reached)
-        key = frozenset(closed.items())
+        key = _packed(closed)
         if key not in self.numbers:
             self.numbers[key] = len(self.states)
-            self.states.append(closed)
+            self.states.append(key)
             self.ends.append(self._end(closed))
             if len(self.states) > len(self.moves):
                 self.moves = np.concatenate([self.moves, np.full_like(self.moves, self.UNKNOWN)])
@@ -176,22 +183,42 @@ class ToxicityModel:
         return {**self.__dict__, "_automaton": None}
 
 
-def _quoted(text: str, start: int, stop: int) -> bool:
-    left, right = text[max(0, start - 60) : start + 1], text[stop - 1 : stop + 60]
-    return any(left.count(o) % 2 if o == c else left.rfind(o) > left.rfind(c) for o, c in zip(OPENING, CLOSING, strict=True) if o in left and c in right)
+def _quoted(left: str, right: str) -> bool:
+    """Whether a quotation is open on the left and closes on the right."""
+    return any(
+        left.count(o) % 2 if o == c else left.rfind(o) > left.rfind(c)
+        for o, c in zip(OPENING, CLOSING, strict=True)
+        if o in left and c in right
+    )
+
+
+def _stands_alone(text: str, start: int, stop: int) -> bool:
+    """Whether a word begins and ends here, but for typographic marks that stick to it."""
+    while start and text[start - 1] in MARKS:
+        start -= 1
+    while stop < len(text) and text[stop] in MARKS:
+        stop += 1
+    return not (start and WORD.match(text[start - 1])) and not (stop < len(text) and WORD.match(text[stop]))
 
 
 def contexts(text: str, found: dict[str, tuple[int, int]]) -> list[tuple[int, int, bool, bool]]:
-    """Term, edits, whether quoted, whether aimed at someone, of each hit of ``found`` in ``text``."""
-    lowered = text.translate({c: c + 32 for c in range(65, 91)})
-    words = [(m.group().strip(MARKS), m.start(), m.end()) for m in WORD.finditer(lowered)]
+    """Term, edits, whether quoted, whether aimed at someone, of each hit of ``found`` in ``text``.
+
+    A context is up to ``WINDOW`` words within ``REACH`` characters on either side; only hits are looked at.
+    """
+    lowered = text.encode().translate(BLANKS).decode()
     out = []
-    for i, (word, start, stop) in enumerate(words):
-        if word in found:
-            near = {w for w, _, _ in words[max(0, i - WINDOW) : i + WINDOW + 1]}
-            quoted = _quoted(lowered, start, stop) or bool(near & REPORTING)
-            aimed = bool(near & ADDRESS) or "!" in lowered[stop : stop + 20]
-            out.append((*found[word], quoted, aimed))
+    for word, hit in found.items():
+        start = lowered.find(word)
+        while start >= 0:
+            stop = start + len(word)
+            if _stands_alone(lowered, start, stop):
+                left, right = lowered[max(0, start - REACH) : start], lowered[stop : stop + REACH]
+                near = {w.strip(MARKS) for w in WORD.findall(left)[-WINDOW:] + WORD.findall(right)[:WINDOW]}
+                quoted = _quoted(left, right) or bool(near & REPORTING)
+                aimed = bool(near & ADDRESS) or "!" in right[:20]
+                out.append((*hit, quoted, aimed))
+            start = lowered.find(word, start + 1)
     return out
 
 
@@ -289,6 +316,7 @@ def fit(
     max_labelled: int = MAX_LABELLED,
 ) -> ToxicityModel:
     """A model from the rows of ``df`` that ``labels`` marks 0 or 1; of several marks of a key the highest counts."""
+    bound_batches(df.sparkSession)
     marks = labels.select(F.col(key).alias("_key"), F.col(label).cast("int").alias("_label"))
     marks = marks.dropna().filter("_label in (0, 1)").groupBy("_key").agg(F.max("_label").alias("_label"))
     sample = marks.orderBy(F.xxhash64("_key"), "_key").limit(max_labelled)

@@ -49,6 +49,20 @@ def test_contexts_tell_quotation_from_abuse():
     assert toxicity.contexts('the label “cretin” was common', found) == [(0, 0, True, False)]
     assert toxicity.contexts("they said cretin once", found) == [(0, 0, True, False)]
     assert toxicity.contexts("a plain CRETIN here", found) == [(0, 0, False, False)]
+    assert toxicity.contexts("cretins acretin écretin cretin_ a“cretin ", found) == [(0, 0, False, False)]
+    assert len(toxicity.contexts("cretin cretin,cretin.«Cretin»", found)) == 4
+
+
+def test_every_hit_of_the_words_has_a_context():
+    rng = random.Random(2)
+    automaton = toxicity.LexiconAutomaton(TERMS, [1.0] * len(TERMS))
+    for _ in range(300):
+        text = "".join(rng.choices(["fool", "Cretin", " ", ",", "“", "”", "é", "x", "foolish", "_", "\n"], k=rng.randrange(30)))
+        words, _ = toxicity.lexical_words(plain(pa.array([text])))
+        term, edits = automaton.match(words)
+        hits = [(w, t, e) for w, t, e in zip(words.to_pylist(), term.tolist(), edits.tolist(), strict=True) if t >= 0]
+        read = toxicity.contexts(text, {w: (t, e) for w, t, e in hits})
+        assert sorted((t, e) for t, e, _, _ in read) == sorted((t, e) for _, t, e in hits), text
 
 
 @pytest.fixture(scope="module")
