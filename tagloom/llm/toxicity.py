@@ -1,6 +1,7 @@
 """Toxicity scores from a learned lexicon, found in texts despite misspellings.
 
 1. Words that labelled toxic texts hold far more often than others (log-likelihood ratio) become the lexicon.
+   Words of any length up to ``MAX_LETTERS`` can, and all that pass the test do; up to 3 letters count as written only.
 2. Every distinct word of a batch runs through the product of the lexicon's trie and its Levenshtein automaton. The
    product is made deterministic state by state, as words ask for it, and numpy moves all words one character at a
    time; most fall out after a few.
@@ -33,9 +34,10 @@ from tagloom.llm.decontaminate import WORD
 
 #: Labelled rows the model is fitted on at most, those whose keys hash lowest.
 MAX_LABELLED = 100_000
-MAX_TERMS = 400
+#: Terms of one automaton; a lexicon has as many automata as it needs.
+TOGETHER = 400
 MIN_DOCUMENTS = 3
-MIN_LETTERS, MAX_LETTERS = 4, 32
+MAX_LETTERS = 32
 WINDOW, REACH = 5, 60
 # fixed values: marks and words that tell the contexts of a hit
 OPENING, CLOSING = '"“„«‘', '"”“»’'
@@ -54,7 +56,7 @@ def lexical_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
 
 
 def allowed_edits(letters: int) -> int:
-    return 0 if letters <= 4 else 1 if letters <= 8 else 2
+    return 0 if letters <= 3 else 1 if letters <= 8 else 2
 
 
 def _packed(nodes: dict[int, int]) -> bytes:
@@ -172,15 +174,25 @@ class ToxicityModel:
     weights: list[float]
     coefficients: list[float] = field(default_factory=list)
     intercept: float = -math.inf
-    _automaton: LexiconAutomaton | None = None
+    _automata: list[LexiconAutomaton] | None = None
 
-    def automaton(self) -> LexiconAutomaton:
-        if self._automaton is None:
-            self._automaton = LexiconAutomaton(self.terms, self.weights)
-        return self._automaton
+    def match(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """For each word the number of its nearest term, or -1, and the edits between them; of equals the heaviest, then the first."""
+        if self._automata is None:
+            parts = range(0, len(self.terms), TOGETHER)
+            self._automata = [LexiconAutomaton(self.terms[k : k + TOGETHER], self.weights[k : k + TOGETHER]) for k in parts]
+        term, edits = np.full(len(words), -1), np.zeros(len(words), np.int64)
+        weights = np.array([*self.weights, -np.inf])  # the last is for no term
+        for number, automaton in enumerate(self._automata):
+            own, own_edits = automaton.match(words)
+            own = np.where(own >= 0, own + number * TOGETHER, -1)
+            nearer = (term < 0) | (own_edits < edits) | ((own_edits == edits) & (weights[own] > weights[term]))
+            better = (own >= 0) & nearer
+            term, edits = np.where(better, own, term), np.where(better, own_edits, edits)
+        return term, edits
 
     def __getstate__(self):
-        return {**self.__dict__, "_automaton": None}
+        return {**self.__dict__, "_automata": None}
 
 
 def _quoted(left: str, right: str) -> bool:
@@ -234,7 +246,7 @@ def features(model: ToxicityModel, texts: pa.Array) -> np.ndarray:
     n_words = np.bincount(rows, minlength=len(texts))
     out[:, 0] = np.log1p(n_words)
     encoded = words.dictionary_encode()
-    term, edits = model.automaton().match(encoded.dictionary)
+    term, edits = model.match(encoded.dictionary)
     codes = encoded.indices.to_numpy(zero_copy_only=False)
     hits = np.flatnonzero(term[codes] >= 0) if len(words) else np.zeros(0, np.int64)
     names = encoded.dictionary.to_pylist() if len(hits) else []
@@ -274,7 +286,7 @@ def _word_counts(labelled: DataFrame) -> DataFrame:
                 code, bad = pairs % size, toxic[start + pairs // size]
                 counts = [np.bincount(code, minlength=size), np.bincount(code, bad, size).astype(np.int64)]
                 sizes = pc.utf8_length(encoded.dictionary).to_numpy(zero_copy_only=False)
-                fit = pa.array((sizes >= MIN_LETTERS) & (sizes <= MAX_LETTERS))
+                fit = pa.array(sizes <= MAX_LETTERS)
                 columns = [encoded.dictionary.filter(fit), *(pa.array(c).filter(fit) for c in counts)]
                 yield pa.RecordBatch.from_arrays(columns, names=["word", "n", "bad"])
 
@@ -303,7 +315,7 @@ def learn_lexicon(labelled: DataFrame, total: int, toxic: int) -> tuple[list[str
     sized = counts.agg(F.count("*").alias("v")).first()["v"]
     bound = 2 * math.log(max(sized, 1)) + 4
     chosen = rated.filter((F.col("llr") >= bound) & (F.col("share") >= max(0.5, 2 * share)))
-    best = chosen.orderBy(F.desc("llr"), "word").limit(MAX_TERMS).collect()
+    best = chosen.orderBy(F.desc("llr"), "word").collect()
     return [r["word"] for r in best], [float(r["weight"]) for r in best]
 
 

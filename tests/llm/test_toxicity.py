@@ -113,3 +113,32 @@ def test_features_do_not_depend_on_slices(corpus):
     texts = plain(pa.array(["a cretin", "", None, "cretin cretan"]))
     whole = toxicity.features(model, texts)
     assert (whole == [toxicity.features(model, texts.slice(i, 1))[0] for i in range(4)]).all()
+
+
+def test_short_words_become_terms_and_many_terms_all_count(spark):
+    rng = random.Random(5)
+    clean = [f"wort{i}" for i in range(300)]
+    rude = ["zut", "笨蛋", "scum"]
+    rows, labels = [], []
+    for i in range(600):
+        bad = i % 4 == 0
+        rows.append((i, " ".join([*rng.choices(clean, k=rng.randrange(2, 30)), *([rng.choice(rude)] if bad else [])])))
+        labels.append((i, int(bad)))
+    rows += [(1000, "wort1 zut wort2 wort3 wort4"), (1001, "wort1 笨蛋 wort2 wort3 wort4"), (1002, "wort1 scvm wort2 wort3 wort4"), (1003, "wort1 wort2 wort3 wort4")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    model = toxicity.fit(df, spark.createDataFrame(labels, "doc_id bigint, toxic int"))
+    assert set(model.terms) == set(rude)
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(df.filter("doc_id >= 1000"), model).collect()}
+    assert min(got[1000], got[1001], got[1002]) > 0.5 > got[1003]
+
+
+def test_lexicon_larger_than_one_automaton(monkeypatch):
+    rng = random.Random(8)
+    weights = [1.0, 2.0, 3.0, 4.0, 5.0, 4.0]
+    words = sorted({"".join(rng.choices("folcretinbkhads", k=rng.randrange(1, 8))) for _ in range(300)} | {t[:-1] for t in TERMS} | set(TERMS))
+    want = [x.tolist() for x in toxicity.LexiconAutomaton(TERMS, weights).match(pa.array(words))]
+    for together in (1, 2, 4):
+        monkeypatch.setattr(toxicity, "TOGETHER", together)
+        got = [x.tolist() for x in toxicity.ToxicityModel(TERMS, weights).match(pa.array(words))]
+        assert got == want
+    assert any(t >= 4 for t in want[0])
