@@ -8,8 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom.catalog.views import table
-from tagloom.llm import class_lm, decontaminate, exact_dedup, host_reputation, pieces, pii, simhash, token_rollup, toxicity, warc
-from tagloom.operators.sizing import staged, staging_path
+from tagloom.llm import (
+    class_lm,
+    decontaminate,
+    exact_dedup,
+    host_reputation,
+    mixing,
+    pieces,
+    pii,
+    simhash,
+    token_rollup,
+    toxicity,
+    warc,
+)
+from tagloom.operators.sizing import small_or_whole, staged, staging_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -227,3 +239,39 @@ def op9(spark, sf):
         ),
     )
     return rollup.totals()
+
+
+#: Weights of the sources in the order of their names, repeated.
+CYCLE = (3.0, 1.0, 2.0)
+SHARE, MOST = 1.5, 2.0
+#: Quality weights of documents labelled good, labelled bad, and not labelled.
+GOOD, BAD, UNRATED = 2.0, 0.5, 1.0
+
+
+@query(
+    "op11_mixture",
+    rf"""WITH marks AS (SELECT doc_id, CASE WHEN max(quality) >= 1 THEN {GOOD} ELSE {BAD} END AS q FROM labels WHERE quality IS NOT NULL GROUP BY 1),
+    docs AS (SELECT d.doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^ 	
+]+')) AS BIGINT) AS size,
+      -ln((CAST('0x' || substr(md5('{mixing.SEED}:' || d.doc_id), 1, 13) AS BIGINT) + 0.5) / 4503599627370496) / coalesce(q, {UNRATED}) AS draw
+      FROM documents d LEFT JOIN marks USING (doc_id)),
+    sums AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, list_extract([{', '.join(map(str, CYCLE))}],
+      CAST(1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(CYCLE)} AS INTEGER)) AS weight FROM docs GROUP BY source),
+    levels AS (SELECT ({SHARE} * (SELECT sum(source_size) FROM sums) - coalesce(sum({MOST} * source_size) OVER before, 0))
+      / (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0)) AS level FROM sums
+      WINDOW before AS (ORDER BY source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+    plans AS (SELECT source, source_size, least({MOST} * source_size, weight * (SELECT max(level) FROM levels)) AS target FROM sums),
+    placed AS (SELECT d.doc_id, d.size, p.source_size, p.target, CASE WHEN p.source_size > 0 THEN CAST(floor(p.target / p.source_size) AS BIGINT) ELSE 0 END AS epochs,
+      CAST(sum(d.size) OVER (PARTITION BY d.source ORDER BY draw, d.doc_id ROWS UNBOUNDED PRECEDING) AS BIGINT) - d.size AS earlier
+      FROM docs d JOIN plans p ON d.source IS NOT DISTINCT FROM p.source)
+    SELECT doc_id, size, source_size, target,
+      epochs * size + greatest(0, least(size, CAST(round(target) AS BIGINT) - epochs * source_size - earlier)) AS taken FROM placed""",
+)
+def op11(spark, sf):
+    """Words the mixture takes of every document; documents labelled good are drawn first by weight."""
+    best = table(spark, sf, "labels").filter("quality IS NOT NULL").groupBy("doc_id").agg(F.max("quality").alias("_best"))
+    docs = table(spark, sf, "documents").select("doc_id", "source", "text").join(small_or_whole(best), "doc_id", "left")
+    worth = F.when(F.col("_best") >= 1, GOOD).when(F.col("_best") < 1, BAD).otherwise(UNRATED)
+    weights = mixing.cyclic_weights(table(spark, sf, "documents"), CYCLE)
+    mixed = mixing.mix(docs.withColumn("worth", worth), weights, quality="worth", share=SHARE, most=MOST)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
