@@ -19,6 +19,7 @@ from tagloom.llm import (
     simhash,
     token_rollup,
     toxicity,
+    variants,
     warc,
 )
 from tagloom.operators.sizing import small_or_whole, staged, staging_path
@@ -252,7 +253,8 @@ GOOD, BAD, UNRATED = 2.0, 0.5, 1.0
     "op11_mixture",
     rf"""WITH marks AS (SELECT doc_id, CASE WHEN max(quality) >= 1 THEN {GOOD} ELSE {BAD} END AS q FROM labels WHERE quality IS NOT NULL GROUP BY 1),
     docs AS (SELECT d.doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^ 	
-]+')) AS BIGINT) AS size,
+
+]+')) AS BIGINT) AS size,
       -ln((CAST('0x' || substr(md5('{mixing.SEED}:' || d.doc_id), 1, 13) AS BIGINT) + 0.5) / 4503599627370496) / coalesce(q, {UNRATED}) AS draw
       FROM documents d LEFT JOIN marks USING (doc_id)),
     sums AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, list_extract([{', '.join(map(str, CYCLE))}],
@@ -275,3 +277,15 @@ def op11(spark, sf):
     weights = mixing.cyclic_weights(table(spark, sf, "documents"), CYCLE)
     mixed = mixing.mix(docs.withColumn("worth", worth), weights, quality="worth", share=SHARE, most=MOST)
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op12_spelling_variants")
+def op12(spark, sf):
+    """Words of all documents, some of them damaged by a missing letter, with the frequent forms they are variants of."""
+    docs = table(spark, sf, "documents")
+    runs = docs.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), F.explode(variants.long_runs(F.col("text"))).alias("run"))
+    hashed = runs.withColumn("h", F.crc32(F.concat("id", F.lit(":"), "run").cast("binary")))
+    at = (F.col("h") % F.length("run")).cast("int")
+    cut = F.concat(F.substring("run", F.lit(1), at), F.substring("run", at + 2, F.length("run")))
+    words = hashed.select(F.when(F.col("h") % 31 == 0, cut).otherwise(F.col("run")).alias("word"))
+    return variants.variants(variants.vocabulary(words), min_length=variants.MIN_LENGTH)
