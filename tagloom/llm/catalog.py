@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tagloom.catalog.views import table
 from tagloom.llm import (
     class_lm,
+    conversations,
     decontaminate,
     exact_dedup,
     host_reputation,
@@ -289,3 +290,39 @@ def op12(spark, sf):
     cut = F.concat(F.substring("run", F.lit(1), at), F.substring("run", at + 2, F.length("run")))
     words = hashed.select(F.when(F.col("h") % 31 == 0, cut).otherwise(F.col("run")).alias("word"))
     return variants.variants(variants.vocabulary(words), min_length=variants.MIN_LENGTH)
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """Turns dropped, emptied, cut, repeated or given to the user by a hash of their names."""
+    key = F.concat(conversations.as_text(F.col("conv_id")), F.lit(":"), conversations.as_text(F.col("turn")))
+    role, text = conversations.as_text(F.col("role")), conversations.as_text(F.col("text"))
+    hashed = rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), (F.crc32(key.cast("binary")) % 20).alias("h"))
+    changed = hashed.filter("h <> 0").select(
+        "conv_id",
+        "turn",
+        F.when(F.col("h") == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(F.col("h") == 1, "").when(F.col("h") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text")).alias("text"),
+        F.explode(F.when(F.col("h") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy"),
+    )
+    return changed.drop("copy")
+
+
+@query("op13_conversation_repair")
+def op13(spark, sf):
+    """Faults of every conversation after damage, its cheapest repair, and the digest of the repaired turns."""
+    rows = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    turns = conversations.turns(damaged(rows), "conv_id")
+    edits = conversations.edits(turns)
+    edits = staged(edits, "edits")
+    lines = conversations.digests(conversations.repaired(turns, conversations.plan(edits)))
+    found = conversations.report(turns, edits)
+    same = F.col("conv").eqNullSafe(F.col("d_conv"))
+    found = found.join(lines.select(F.col("conv").alias("d_conv"), "digest"), same, "left").drop("d_conv")
+    every = rows.select("conv_id").distinct().join(found, F.col("conv_id").eqNullSafe(F.col("conv")), "left")
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return every.select(
+        "conv_id",
+        *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("digest", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
