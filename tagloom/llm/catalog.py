@@ -23,7 +23,7 @@ from tagloom.llm import (
     variants,
     warc,
 )
-from tagloom.operators.sizing import small_or_whole, staged, staging_path
+from tagloom.operators.sizing import staged, staging_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -272,11 +272,10 @@ GOOD, BAD, UNRATED = 2.0, 0.5, 1.0
 )
 def op11(spark, sf):
     """Words the mixture takes of every document; documents labelled good are drawn first by weight."""
-    best = table(spark, sf, "labels").filter("quality IS NOT NULL").groupBy("doc_id").agg(F.max("quality").alias("_best"))
-    docs = table(spark, sf, "documents").select("doc_id", "source", "text").join(small_or_whole(best), "doc_id", "left")
-    worth = F.when(F.col("_best") >= 1, GOOD).when(F.col("_best") < 1, BAD).otherwise(UNRATED)
-    weights = mixing.cyclic_weights(table(spark, sf, "documents"), CYCLE)
-    mixed = mixing.mix(docs.withColumn("worth", worth), weights, quality="worth", share=SHARE, most=MOST)
+    docs = table(spark, sf, "documents")
+    worth = F.when(F.col("quality") >= 1, GOOD).when(F.col("quality") < 1, BAD)
+    ratings = table(spark, sf, "labels").select("doc_id", worth.alias("quality"))
+    mixed = mixing.mix(docs, mixing.cyclic_weights(docs, CYCLE), ratings=ratings, share=SHARE, most=MOST)
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 

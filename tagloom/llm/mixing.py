@@ -10,8 +10,8 @@ of the keys, worked out from the source's qualities), which keeps their order an
 rows. Sums per bucket are combined before their shuffle, their prefix sums show in which bucket the rest runs out, and
 only that one bucket of a source is sorted row by row.
 
-Null texts have no words. A null source is a source of its own. A missing or undefined quality counts as 1; others are
-held within ``2**-32`` and ``2**32``. Ties of keys go to the smaller id, then the smaller document; rows that agree in
+Null texts have no words. A null source is a source of its own. A missing or undefined quality counts as 1, of several
+of a document the highest counts, and all are held within ``2**-32`` and ``2**32``. Ties of keys go to the smaller id, then the smaller document; rows that agree in
 all of these are interchangeable. A null id draws its key from its text. A source that has no weight, or none above
 zero, gets nothing. Empty tables give empty results. Columns besides the named ones are not looked at.
 """
@@ -83,6 +83,16 @@ def _expected_rank(key: Column, classes: Column) -> Column:
     return F.aggregate(classes, F.lit(0.0), lambda sum_, c: sum_ - c["share"] * F.expm1(-(c["quality"] * key)))
 
 
+def _rated(rows: DataFrame, ratings: DataFrame | None, key: str) -> DataFrame:
+    """Narrow ``rows`` with the ``_quality`` of their ``_id``."""
+    if ratings is None:
+        return rows.withColumn("_quality", F.lit(1.0))
+    given = F.col("quality").cast("double")
+    best = ratings.filter(given.isNotNull() & ~F.isnan(given)).groupBy(F.col(f"`{key}`").alias("_id")).agg(F.max(given).alias("_rating"))
+    held = F.least(F.greatest(F.coalesce("_rating", F.lit(1.0)), F.lit(2.0**-LIMIT)), F.lit(2.0**LIMIT))
+    return rows.join(small_or_whole(best), "_id", "left").withColumn("_quality", held).drop("_rating")
+
+
 def mix(
     docs: DataFrame,
     weights: DataFrame,
@@ -90,7 +100,7 @@ def mix(
     key: str = "doc_id",
     text: str = "text",
     source: str = "source",
-    quality: str | None = None,
+    ratings: DataFrame | None = None,
     share: float = 1.5,
     most: float = 2.0,
     seed: int = SEED,
@@ -98,22 +108,20 @@ def mix(
 ) -> DataFrame:
     """``key``, ``source``, ``size``, ``source_size``, ``target`` and ``taken`` words of every document.
 
-    ``weights`` has one row per source (``source``, ``weight``). ``taken`` counts repeats: a document taken twice has
-    twice its size. Only ids, sources, sizes and keys are written down and joined; texts are read once.
+    ``weights`` has one row per source (``source``, ``weight``), ``ratings`` the qualities (``key``, ``quality``) of
+    documents. ``taken`` counts repeats: a document taken twice has twice its size. Only ids, sources, sizes and keys are
+    written down and joined; texts are read once and never moved.
     """
     body, id_ = F.col(f"`{text}`").cast("string"), F.col(f"`{key}`")
-    rated = F.lit(1.0) if quality is None else F.col(f"`{quality}`").cast("double")
-    rated = F.when(F.isnan(rated), None).otherwise(rated)
-    held = F.least(F.greatest(F.coalesce(rated, F.lit(1.0)), F.lit(2.0**-LIMIT)), F.lit(2.0**LIMIT))
     name = F.coalesce(id_.cast("string"), F.concat(F.lit("text:"), body), F.lit("none"))
     drawn = docs.select(
         id_.alias("_id"),
         F.col(f"`{source}`").cast("string").alias("_source"),
         word_count(body).alias("_size"),
         F.xxhash64(body).alias("_doc"),
-        held.alias("_quality"),
         uniform(name, seed).alias("_u"),
     )
+    drawn = _rated(drawn, ratings, key)
     rows = staged(drawn.withColumn("_key", -F.log("_u") / F.col("_quality")).drop("_u"), "sizes")
 
     # one row per source and power of two of the quality: what the expected ranks need
