@@ -11,14 +11,17 @@ from pathlib import Path
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from test_conversations import brute as repairs
 from test_decontaminate import brute as leaks
 from test_pii import by_patterns
 from test_simhash import fingerprint, roots
+from test_variants import brute as spelled
 
 import corpus_pipeline
 from tagloom.llm import pieces, pii, toxicity
 from tagloom.llm.batches import plain
 from tagloom.llm.catalog import PIECE_MODEL, QUERIES
+from tagloom.llm.conversations import Costs
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="tables are not here")
@@ -166,3 +169,30 @@ def test_pipeline(spark, docs):
     assert got.keys() == kept.keys()
     known = pieces.bytes_of_pieces(Path(PIECE_MODEL).read_bytes())
     assert all(pieces.decode_slice(known, pa.array([got[k]], pa.list_(pa.int32()))) == [t] for k, t in kept.items())
+
+
+def test_spelling_variants(spark, docs):
+    count = Counter()
+    for key, text in docs.items():
+        for run in re.findall("[A-Za-z\u00c0-\u00ff]+", text):
+            run = run.translate({c: c + 32 for c in range(65, 91)})
+            h = zlib.crc32(f"{key}:{run}".encode())
+            if h % 31 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            count[run] += len(run) >= 7
+    got = sorted(tuple(r.values()) for r in answer(spark, "op12_spelling_variants"))
+    assert got == spelled({w: n for w, n in count.items() if n >= 2})
+
+
+def test_conversations(spark):
+    rows, every = [], set()
+    for r in read("conversations"):
+        every.add(r["conv_id"])
+        role, text = r["role"], r["text"]
+        h = zlib.crc32(f"{r['conv_id']}:{r['turn']}".encode()) % 20
+        text = {1: "", 2: re.sub("[.!?]", "", text)}.get(h, text)
+        rows += [(r["conv_id"], r["turn"], "user" if h == 4 else role, text)] * {0: 0, 3: 2}.get(h, 1)
+    want = repairs(rows, Costs())
+    none = (0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest())
+    got = {r["conv_id"]: tuple(r.values())[1:] for r in answer(spark, "op13_conversation_repair")}
+    assert got == {k: want.get(k, none) for k in every}
