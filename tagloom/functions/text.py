@@ -81,20 +81,38 @@ def _control() -> str:
 
 
 
+def _search_class(ranges: list[tuple[int, int]], fan: int = 6) -> str:
+    """Class of many ranges of characters, nested so that a character is told apart by few comparisons.
+
+    The regular expressions of the JVM test the members of a class one after another, and the right side of ``&&``
+    only where the left one holds; so each group of ranges stands behind the one range that spans it.
+    """
+    members = [(a, b, rf"\x{{{a:X}}}-\x{{{b:X}}}") for a, b in ranges]
+    while len(members) > 1:
+        groups = [members[i : i + fan] for i in range(0, len(members), fan)]
+        members = [
+            (g[0][0], g[-1][1], rf"[\x{{{g[0][0]:X}}}-\x{{{g[-1][1]:X}}}&&[{''.join(m[2] for m in g)}]]") for g in groups
+        ]
+    return members[0][2]
+
+
 @cache
 def _composable() -> str:
     """Class of all characters that normalisation may change: those it rewrites, and those that join the one before."""
     ranges = []
     for point in range(0x80, 0x110000):
+        if 0xD800 <= point <= 0xDFFF:  # surrogates are no characters of a text
+            continue
         c = chr(point)
         joins = unicodedata.combining(c) or 0x1161 <= point <= 0x11FF or unicodedata.category(c) in ("Mc", "Mn")
         if joins or not unicodedata.is_normalized("NFKC", c):
             if ranges and ranges[-1][1] == point - 1:
-                ranges[-1][1] = point
+                ranges[-1] = (ranges[-1][0], point)
             else:
-                ranges.append([point, point])
-    # surrogates are no characters of a text
-    return "[" + "".join(rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in ranges if not 0xD800 <= a <= 0xDFFF) + "]"
+                ranges.append((point, point))
+    return _search_class(ranges)
+
+
 # A lone plain space is left alone, so that ordinary text gives no matches.
 _WHITESPACE = rf"(?: [{SPACE}]|[{OTHER_SPACE}])[{SPACE}]*+"
 

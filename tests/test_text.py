@@ -47,9 +47,10 @@ def test_step(spark, step, text, expected):
 
 
 def test_text_that_composition_leaves_alone_stays_in_the_jvm():
-    import re
+    import regex
 
-    trigger = re.compile(re.sub(r"\\x\{([0-9A-F]+)\}", lambda m: rf"\U{int(m[1], 16):08x}", t._composable()))
+    escaped = re.sub(r"\\x\{([0-9A-F]+)\}", lambda m: rf"\U{int(m[1], 16):08x}", t._composable())
+    trigger = regex.compile(escaped, regex.V1)
     assert not trigger.search("Съешь ещё этих мягких французских булок — «да» 😀 漢字 ß é")
     for point in range(0x110000):
         c = chr(point)
@@ -119,3 +120,14 @@ def test_long_runs_stay_linear(spark):
     n = 200_000
     for run in ["1" * n, "- " * n, "a." * n, " " * n, "8 " * n]:
         apply(spark, t.clean_text, run + "@")
+
+
+def test_nested_class_holds_the_same_characters(spark):
+    import random
+
+    rng = random.Random(5)
+    points = sorted(rng.sample(range(0x100, 0x3000), 120))
+    ranges = [(a, b - 1) for a, b in zip(points[::2], points[1::2])]
+    rows = spark.range(0x20, 0x3100).selectExpr("int(id) AS p", "decode(unhex(lpad(hex(id), 4, '0')), 'UTF-16BE') AS c")
+    got = {r.p for r in rows.filter(F.col("c").rlike(t._search_class(ranges))).collect()}
+    assert got == {p for a, b in ranges for p in range(a, b + 1)}
