@@ -25,6 +25,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jvm_path)
 
 
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what a folder holds; none where there is no such folder."""
+    jvm_path, fs = _hadoop_path(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(jvm_path)) if fs.exists(jvm_path) else []
+
+
 def write_text(spark: SparkSession, path: str, pieces: Iterable[str]) -> None:
     """Write one file, some thousand pieces at a time; it appears under its name when it is whole."""
     jvm_path, fs = _hadoop_path(spark, path)
