@@ -22,13 +22,13 @@ from tagloom.catalog.views import (
 from tagloom.operators.labels import class_counts, cluster_purity
 from tagloom.operators.sampling import balance_by_score
 from tagloom.operators.scoring import prediction_record, score_texts, without_failures
-from tagloom.operators.sizing import staging_path
+from tagloom.operators.sizing import staged, staging_path
 from tagloom.plans import refresh as refresh_plan
 from tagloom.plans.csv_scoring import label_texts, score_csv
 from tagloom.plans.evaluate import run_validation, validate_predictions
 from tagloom.plans.prepare import prepare
 from tagloom.plans.training import train_classifier
-from tagloom.sources.tables import write_csv, write_metrics
+from tagloom.sources.tables import read_scoring_csv, write_csv, write_metrics
 from tagloom.streaming.incremental import arriving_files, score_arriving
 
 LIMITS = refresh_plan.Thresholds(
@@ -153,6 +153,24 @@ def csv_scoring(spark, sf):
     return spark.read.schema("ID string, label string").csv(target, header=True)
 
 
+BROKEN = """text || ' "' || chr(10) || turn || '", ' || chr(10) || chr(10)"""
+
+
+@query("csv_byte_ranges", f"SELECT conv_id || '-' || turn AS \"ID\", md5({BROKEN}) AS text FROM conversations")
+def csv_byte_ranges(spark, sf):
+    """One CSV with quotes and line breaks in every cell, read by ranges much smaller than the file."""
+    path, setting = staging_path(spark, "ranges") + ".csv", "spark.sql.files.maxPartitionBytes"
+    rows = table(spark, sf, "conversations").select(F.concat_ws("-", "conv_id", "turn").alias("ID"), F.expr(BROKEN).alias("text"))
+    write_csv(rows.coalesce(1), path)
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "16k")
+    try:
+        found = staged(read_scoring_csv(spark, path), "records")
+    finally:
+        spark.conf.set(setting, before)
+    return found.select("ID", F.md5("text").alias("text"))
+
+
 VALIDATION = f"""{LAB}, pairs AS (SELECT label, {LABEL} AS pred FROM lab)"""
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from tagloom.checks import require_columns
 from tagloom.sources import paths
+from tagloom.sources.split_csv import read_split_csv, whole_file_reader, worth_splitting
 
 
 def read_shards(spark: SparkSession, directory: str, columns: Iterable[str] | None = None) -> DataFrame:
@@ -50,9 +51,14 @@ def read_by_extension(spark: SparkSession, path: str) -> DataFrame:
     raise ValueError(f"tables are read from .parquet, .csv or .txt, not from '{suffix}'")
 
 
-def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Header CSV whose quoted cells may hold line breaks and doubled quotes."""
-    return spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"')
+def read_csv(spark: SparkSession, path: str, split: bool | None = None) -> DataFrame:
+    """Header CSV whose quoted cells may hold line breaks and doubled quotes.
+
+    Files larger than a byte range are read by several tasks; ``split`` asks for that, or for one task per file.
+    """
+    if split or (split is None and worth_splitting(spark, path)):
+        return read_split_csv(spark, path)
+    return whole_file_reader(spark, path)
 
 
 def read_scoring_csv(spark: SparkSession, path: str) -> DataFrame:
