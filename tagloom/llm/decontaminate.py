@@ -4,11 +4,14 @@ The windows of the items become a hash set that is broadcast: every run of ``wid
 the whole item where it is shorter. A text is split into words, words turn into the set's word numbers, and rolling
 codes of the numbers are looked up in the set. A hit counts only after all its words were compared.
 
-The set is broadcast while the items take up to ``max_bytes``; more items are cut into blocks of that size, and the
-texts pass the blocks one after another, so the result doesn't depend on the bound.
+The set is broadcast while it takes up to ``max_bytes``, counted by the words of the items: each begins a window, which
+takes a code, a place and an owner. More items are cut into blocks of that size, and the texts pass the blocks one after
+another, so the result doesn't depend on the bound. Equal items are counted once; one item larger than the bound is a
+block of its own.
 
 Null texts have no words. An item without words has no window. Items are counted by distinct id, a null id counts as
-the empty one. Empty tables on either side give empty results or no hits.
+the empty one. Empty tables on either side give empty results or no hits. A very long text is scanned whole, in memory
+that grows with its words.
 """
 
 from __future__ import annotations
@@ -27,7 +30,9 @@ from tagloom.llm.batches import ALNUM, append_columns, plain, split_words
 from tagloom.operators.sizing import staged
 
 WIDTH = 10
-MAX_SET_BYTES = 32 << 20
+MAX_SET_BYTES = 128 << 20
+#: What a word of an item takes in the set, besides its own bytes: number, code, place, first item, item.
+WORD_BYTES = 4 + 8 + 4 + 4 + 4
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 _UPPER = {c: c + 32 for c in range(65, 91)}
 FIELDS = [
@@ -42,7 +47,7 @@ FIELDS = [
 class WindowsOfLength:
     width: int
     codes: np.ndarray  # sorted, one per distinct window
-    words: np.ndarray  # (windows, width) numbers of words
+    starts: np.ndarray  # place of its first word among the numbers of all items' words
     first_item: np.ndarray  # items of window i: item[first_item[i] : first_item[i + 1]]
     item: np.ndarray
 
@@ -50,6 +55,7 @@ class WindowsOfLength:
 @dataclass
 class WindowSet:
     vocabulary: pa.Array
+    numbers: np.ndarray  # words of all items, one after another
     ids: list[str]  # sorted
     lengths: list[WindowsOfLength]
 
@@ -71,28 +77,37 @@ def window_set(items: pa.Table, width: int = WIDTH) -> WindowSet:
     names = pc.fill_null(plain(items["id"]), "").to_pylist()
     ids = sorted(set(names))
     place = {name: i for i, name in enumerate(ids)}
-    item_of_row = np.array([place[n] for n in names], np.int64)
+    item_of_row = np.array([place[n] for n in names], np.int32)
     encoded = words.dictionary_encode()
-    numbers = encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    numbers = encoded.indices.to_numpy(zero_copy_only=False).astype(np.int32)
     first = np.searchsorted(rows, np.arange(len(texts) + 1))
-    by_width: dict[int, dict[bytes, set[int]]] = {}
-    for row, (start, stop) in enumerate(zip(first[:-1], first[1:], strict=True)):
-        size = min(width, stop - start)
-        for k in range(start, stop - size + 1) if size else ():
-            by_width.setdefault(size, {}).setdefault(numbers[k : k + size].tobytes(), set()).add(int(item_of_row[row]))
+    n_words = np.diff(first)
     lengths = []
-    for size, windows in sorted(by_width.items()):
-        matrix = np.frombuffer(b"".join(windows), np.int64).reshape(-1, size)
-        codes = _codes(matrix.ravel(), np.arange(len(matrix)) * size, size, FACTOR)
+    for size in np.unique(np.minimum(n_words, width)):
+        if size == 0:
+            continue
+        own = np.flatnonzero(np.minimum(n_words, width) == size)
+        fan = n_words[own] - size + 1
+        starts = np.repeat(first[own] - (np.cumsum(fan) - fan), fan) + np.arange(fan.sum())
+        items_of = np.repeat(item_of_row[own], fan)
+        codes = _codes(numbers, starts, int(size), FACTOR)
         order = np.argsort(codes, kind="stable")
-        owners = [sorted(s) for s in windows.values()]
-        owners = [owners[i] for i in order]
-        bounds = np.concatenate([[0], np.cumsum([len(o) for o in owners])]).astype(np.int64)
-        lengths.append(WindowsOfLength(size, codes[order], matrix[order], bounds, np.concatenate(owners).astype(np.int64)))
-    return WindowSet(encoded.dictionary, ids, lengths)
-
-
-def _matches(windows: WindowsOfLength, numbers: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        codes, starts, items_of = codes[order], starts[order], items_of[order]
+        new = np.ones(len(codes), bool)
+        new[1:] = codes[1:] != codes[:-1]
+        for k in range(size):  # windows of equal codes are told apart by their words
+            new[1:] |= numbers[starts[1:] + k] != numbers[starts[:-1] + k]
+        window = np.cumsum(new) - 1
+        owners = np.unique(window * len(ids) + items_of)
+        bounds = np.searchsorted(owners // len(ids), np.arange(window[-1] + 2))
+        heads = np.flatnonzero(new)
+        lengths.append(
+            WindowsOfLength(int(size), codes[heads], starts[heads].astype(np.int32), bounds.astype(np.int32), (owners % len(ids)).astype(np.int32))
+        )
+    return WindowSet(encoded.dictionary, numbers, ids, lengths)
+
+
+def _matches(known: WindowSet, windows: WindowsOfLength, numbers: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts of true hits and their windows."""
     width, spare = windows.width, len(numbers) - windows.width + 1
     if spare <= 0:
@@ -107,7 +122,9 @@ def _matches(windows: WindowsOfLength, numbers: np.ndarray, rows: np.ndarray) ->
     for step in range(int((high - low).max(initial=0))):  # more than one only where codes of windows collide
         some = np.flatnonzero(low + step < high)
         at, window = starts[some], low[some] + step
-        same = (numbers[at[:, None] + np.arange(width)] == windows.words[window]).all(axis=1)
+        same = np.ones(len(at), bool)
+        for k in range(width):
+            same &= numbers[at + k] == known.numbers[windows.starts[window] + k]
         found_starts.append(at[same])
         found.append(window[same])
     if not found:
@@ -124,7 +141,7 @@ def scan_slice(known: WindowSet, texts: pa.Array) -> tuple[np.ndarray, list[np.n
     cover = np.zeros(len(words) + 1, np.int64)
     pairs = [np.zeros((0, 2), np.int64)]
     for windows in known.lengths:
-        starts, found = _matches(windows, numbers, rows)
+        starts, found = _matches(known, windows, numbers, rows)
         np.add.at(cover, starts, 1)
         np.add.at(cover, starts + windows.width, -1)
         seen = np.unique(np.stack([rows[starts], found], axis=1), axis=0)
@@ -142,14 +159,25 @@ def scan_slice(known: WindowSet, texts: pa.Array) -> tuple[np.ndarray, list[np.n
 
 
 def _blocks(benchmark: DataFrame, item: str, text: str, max_bytes: int) -> list[DataFrame]:
-    rows = benchmark.select(benchmark[f"`{item}`"].cast("string").alias("id"), benchmark[f"`{text}`"].cast("string").alias("text"))
-    size = rows.agg(F.sum(F.octet_length("text")).alias("b"), F.count("*").alias("n")).first()
-    blocks = max(1, -(-((size["b"] or 0) + 32 * size["n"]) // max_bytes))
-    if blocks == 1:
-        return [rows]
-    # twice as many blocks as the bytes ask for leaves room for the spread of a hash
-    part = F.pmod(F.xxhash64("id", "text"), F.lit(2 * blocks))
-    return [rows.filter(part == i) for i in range(2 * blocks)]
+    """The distinct items, cut by a hash until no block of several items takes more than ``max_bytes``."""
+    named = benchmark.select(
+        F.coalesce(benchmark[f"`{item}`"].cast("string"), F.lit("")).alias("id"), benchmark[f"`{text}`"].cast("string").alias("text")
+    )
+    body = F.coalesce("text", F.lit(""))
+    lowered = F.translate(body, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    words = F.regexp_count(lowered, F.lit(f"{WORD.pattern}"))
+    rows = named.distinct().withColumn("size", F.octet_length(body) + F.lit(WORD_BYTES) * words + 32)
+    whole = rows.agg(F.sum("size")).first()[0] or 0
+    if whole <= max_bytes:
+        return [rows.select("id", "text")]
+    rows = staged(rows, "items")
+    parts = -(-whole // max_bytes)
+    while True:
+        part = F.pmod(F.xxhash64("id", "text"), F.lit(parts))
+        sizes = rows.groupBy(part.alias("part")).agg(F.sum("size").alias("bytes"), F.count("*").alias("n")).collect()  # a row per block
+        if all(r["bytes"] <= max_bytes or r["n"] == 1 for r in sizes):
+            return [rows.filter(part == r["part"]).select("id", "text") for r in sizes]
+        parts *= 2
 
 
 def scan(

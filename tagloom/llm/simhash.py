@@ -10,7 +10,8 @@ Equal fingerprints are compared once. A pair of tiles gives a spanning forest of
 fingerprint, so a large group of near copies never becomes all of its pairs.
 
 Texts without words (null, empty, blanks) have fingerprint zero and are linked like any other. Keys should be unique;
-repeated keys give repeated rows. A null key never becomes the smallest key of a group that has others.
+repeated keys give repeated rows. A null key never becomes the smallest key of a group that has others. A very long text
+costs its length once and makes one fingerprint. Names that begin with ``_`` are work columns.
 """
 
 from __future__ import annotations
@@ -158,6 +159,14 @@ def links(distinct: DataFrame, radius: int = RADIUS, parts: int | None = None, t
     return pairs.select("fps", "visitors").mapInArrow(compare, "a bigint, b bigint")
 
 
+def _rooted(rows: DataFrame, radius: int, parts: int | None, tile: int) -> DataFrame:
+    """``fingerprint`` and ``_root``, which names its group, of all fingerprints in ``rows``."""
+    nodes = staged(rows.select("fingerprint").distinct(), "nodes")
+    roots = components(links(nodes, radius, parts, tile))
+    joined = nodes.join(roots, F.col("fingerprint") == F.col("node"), "left")
+    return joined.select("fingerprint", F.coalesce("root", "fingerprint").alias("_root"))
+
+
 def near_groups(
     df: DataFrame,
     key: str = "doc_id",
@@ -170,17 +179,38 @@ def near_groups(
     """``key``, ``fingerprint`` and ``component_id``, the smallest key that links reach, for every row."""
     rows = staged(with_fingerprint(df.select(key, text), text, shingle).select(key, "fingerprint"), "fingerprints")
     first = staged(rows.groupBy("fingerprint").agg(F.min(key).alias("_first")), "nodes")
-    roots = components(links(first.select("fingerprint"), radius, parts, tile))
-    joined = first.join(roots, F.col("fingerprint") == F.col("node"), "left")
-    rooted = joined.select("fingerprint", "_first", F.coalesce("root", "fingerprint").alias("_root"))
+    rooted = first.join(_rooted(first, radius, parts, tile), "fingerprint")
     smallest = rooted.groupBy("_root").agg(F.min("_first").alias("component_id"))
     return rows.join(rooted.join(smallest, "_root").select("fingerprint", "component_id"), "fingerprint").select(
         key, "fingerprint", "component_id"
     )
 
 
-def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """One row of each group of near-duplicates: the one whose key names the group. Rows without a key stay."""
-    groups = near_groups(df, key, text, **options)
-    others = groups.filter(F.col(key) != F.col("component_id")).select(F.col(key).alias("_other")).distinct()
-    return df.join(others, df[key] == F.col("_other"), "left_anti")
+def keep_one(
+    df: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    radius: int = RADIUS,
+    parts: int | None = None,
+    tile: int = TILE,
+    shingle: int = SHINGLE,
+) -> DataFrame:
+    """One row of each group of near-duplicates: that with the smallest key (null last), of those the smallest text hash.
+
+    Rows that agree in key and text are one document, of which one row stays.
+    """
+    body = F.xxhash64(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")))
+    printed = with_fingerprint(df.select(key, text, body.alias("_body")), text, shingle)
+    rows = staged(printed.select(F.col(key).alias("_key"), "_body", "fingerprint"), "fingerprints")
+    documents = rows.groupBy("_key", "_body", "fingerprint").agg(F.count("*").alias("_rows"))
+    grouped = staged(documents.join(_rooted(rows, radius, parts, tile), "fingerprint"), "groups")
+    name = F.struct(F.col("_key").isNull().alias("z"), F.col("_key").alias("k"), F.col("_body").alias("b"))
+    heads = grouped.groupBy("_root").agg(F.min(name).alias("_head"))
+    judged = grouped.join(heads, "_root").withColumn("_stays", F.col("_head").eqNullSafe(name))
+    marked = judged.filter("NOT _stays OR _rows > 1").select("_key", "_body", "_stays")
+    met = df[key].eqNullSafe(F.col("_key")) & (F.col("_own") == F.col("_body"))
+    left = df.withColumn("_own", body).join(staged(marked, "others"), met, "left").filter(F.coalesce("_stays", F.lit(True)))
+    # rows of a repeated document are combined before they are shuffled
+    once = left.filter("_stays IS NOT NULL").dropDuplicates(["_key", "_own"])
+    kept = left.filter("_stays IS NULL").unionByName(once)
+    return kept.select(*[f"`{c}`" for c in df.columns])

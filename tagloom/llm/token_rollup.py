@@ -6,7 +6,12 @@ the sums over committed batches, so no change ever reads the documents again.
 
 A commit is the ``_SUCCESS`` marker that Spark's committer puts into the batch's folder. A batch that is committed is
 skipped when it comes again; one whose job died leaves no marker, counts for nothing and is overwritten by the retry.
-``compact`` replaces the batches so far by their sum under a new snapshot; a batch that a snapshot holds is skipped too.
+``compact`` replaces the batches it lists by their sum under a new snapshot; one table holds the sum and the list, so both
+appear together, and a batch that is committed meanwhile is in neither. A batch that a snapshot holds is skipped too.
+The name of a batch begins with a letter or digit, or Spark would not see it.
+
+A text of any length is counted whole. Long runs of blanks, which the tokenizer's patterns can't take, are cut off where
+the patterns would cut them. Repeated keys count as often as they stand there.
 
 Null sources, languages and tokenizers are groups of their own; null counts and signs count as zero and no change.
 An empty batch commits and changes nothing. Totals of groups without documents left stay at zero.
@@ -16,6 +21,7 @@ from __future__ import annotations
 
 import base64
 import re
+import uuid
 from functools import lru_cache
 
 import pyarrow as pa
@@ -31,6 +37,10 @@ GROUP = ("source", "lang", "tokenizer")
 MEASURES = ("docs", "tokens", "chars")
 #: How byte-level tokenizers of this family cut a text before they merge (a fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Blanks as ``\s`` means them there (a fixed value), and how many in a row are taken out of its hands.
+_BLANK = "[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]"
+LONG_RUN = 100_000
+_LONG = re.compile(f"{_BLANK}{{{LONG_RUN},}}")
 SCHEMA = "source string, lang string, tokenizer string, docs bigint, tokens bigint, chars bigint"
 
 
@@ -40,6 +50,17 @@ def _encoding(content: bytes) -> tiktoken.Encoding:
     return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+def count_tokens(encoding: tiktoken.Encoding, text: str) -> int:
+    """Tokens of a text. A run of blanks ahead of something is a piece of its own but for its last blank."""
+    total, start = 0, 0
+    for run in _LONG.finditer(text) if len(text) >= LONG_RUN else ():
+        stop = run.end() - (run.end() < len(text))
+        total += len(encoding.encode_ordinary(text[start : run.start()]))
+        total += len(encoding._encode_single_piece(text[run.start() : stop]))
+        start = stop
+    return total + len(encoding.encode_ordinary(text[start:]))
+
+
 def with_token_counts(df: DataFrame, rank_file: str, name: str, text: str = "text", where: str = "true") -> DataFrame:
     """``df`` with the tokens of its texts under the version ``name``; null for rows for which ``where`` doesn't hold."""
     with open(rank_file, "rb") as f:
@@ -49,7 +70,7 @@ def with_token_counts(df: DataFrame, rank_file: str, name: str, text: str = "tex
     def compute(texts: pa.Array, batch: pa.RecordBatch) -> list:
         encoding = _encoding(content.value)
         due = batch.column(batch.schema.names.index("_due")).to_pylist()
-        return [[len(encoding.encode_ordinary(t)) if d else None for t, d in zip(texts.to_pylist(), due, strict=True)]]
+        return [[count_tokens(encoding, t) if d else None for t, d in zip(texts.to_pylist(), due, strict=True)]]
 
     rows = chosen.withColumn("_due", F.col("_counted").isNotNull())
     return append_columns(rows, "_counted", [T.StructField(name, T.LongType())], compute).drop("_counted", "_due")
@@ -74,7 +95,7 @@ class Rollup:
         self.spark, self.folder = spark, folder.rstrip("/")
 
     def _path(self, kind: str, name: str) -> str:
-        if not re.fullmatch(r"[A-Za-z0-9_.-]+", name):
+        if not re.fullmatch(r"[A-Za-z0-9][A-Za-z0-9_.-]*", name):
             raise ValueError(f"'{name}' is no name for a batch")
         return f"{self.folder}/{kind}/{name}"
 
@@ -93,8 +114,8 @@ class Rollup:
         if not snapshots:
             return None, set()
         path = self._path("snapshots", snapshots[-1])
-        held = self.spark.read.schema("batch string").json(f"{self.folder}/held/{snapshots[-1]}")
-        return path, {r["batch"] for r in held.collect()}
+        held = self.spark.read.schema(f"{SCHEMA}, batch string").parquet(path).filter("batch IS NOT NULL").select("batch")
+        return path, {r["batch"] for r in held.collect()}  # names of folders, as their listing has them
 
     def commit(self, batch: str, changes: DataFrame) -> bool:
         """Add a batch of signed changes; False when it was there already."""
@@ -110,26 +131,31 @@ class Rollup:
         sums.write.mode("overwrite").parquet(path)
         return True
 
-    def _deltas(self) -> DataFrame:
+    def _listed(self) -> tuple[str | None, set[str], list[str]]:
+        """The newest snapshot, the batches it holds, and the committed batches it doesn't hold."""
         snapshot, held = self._snapshot()
-        paths = [self._path("batches", b) for b in self._committed("batches") if b not in held]
-        paths += [snapshot] if snapshot else []
-        if not paths:
-            return self.spark.createDataFrame([], SCHEMA)
-        return self.spark.read.schema(SCHEMA).parquet(*paths)
+        return snapshot, held, [b for b in self._committed("batches") if b not in held]
+
+    def _sums(self, snapshot: str | None, batches: list[str]) -> DataFrame:
+        """Totals of exactly these."""
+        deltas = self.spark.createDataFrame([], SCHEMA)
+        if batches:
+            deltas = self.spark.read.schema(SCHEMA).parquet(*[self._path("batches", b) for b in batches])
+        if snapshot:
+            kept = self.spark.read.schema(f"{SCHEMA}, batch string").parquet(snapshot).filter("batch IS NULL").drop("batch")
+            deltas = deltas.unionByName(kept)
+        return deltas.groupBy(*GROUP).agg(*[F.sum(m).alias(m) for m in MEASURES])
 
     def totals(self) -> DataFrame:
-        return self._deltas().groupBy(*GROUP).agg(*[F.sum(m).alias(m) for m in MEASURES])
+        snapshot, _, batches = self._listed()
+        return self._sums(snapshot, batches)
 
     def compact(self) -> None:
-        """Sum everything committed into a snapshot. The list of its batches is written first, its sums commit it."""
-        _, held = self._snapshot()
-        batches = sorted(held | set(self._committed("batches")))
+        """Sum everything committed into a snapshot, with the names of the batches in it."""
+        snapshot, held, batches = self._listed()
         if not batches:
             return
-        name = f"{len(self._committed('snapshots')) + 1:08d}"
-        totals = self.totals()
-        rows = self.spark.createDataFrame([(b,) for b in batches], "batch string")
-        rows.write.mode("overwrite").json(f"{self.folder}/held/{name}")
-        totals.write.mode("overwrite").parquet(self._path("snapshots", name))
-
+        names = self.spark.createDataFrame([(b,) for b in sorted(held | set(batches))], "batch string")
+        whole = self._sums(snapshot, batches).unionByName(names, allowMissingColumns=True)
+        number = 1 + len(self._committed("snapshots"))
+        whole.write.parquet(self._path("snapshots", f"{number:08d}-{uuid.uuid4().hex}"))

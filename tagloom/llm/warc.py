@@ -14,7 +14,10 @@ tasks as it has blocks.
 
 Null urls have the empty key, null html is an empty payload. Pages with a null id never become the target of a revisit;
 equal payloads that only such pages have are all responses. Rows that repeat an id and a payload with the smallest id are
-all responses. Empty tables give no files, captures or answers.
+all responses, and no record refers to one of them by its record id, as they share the page. Names of records are unique.
+An address is written as it is but for blanks, control characters and what isn't ASCII; where that changes it, another
+header holds the address itself. A very long payload is one record, held in memory while it is packed. Empty tables give
+no files, captures or answers.
 """
 
 from __future__ import annotations
@@ -22,6 +25,8 @@ from __future__ import annotations
 import base64
 import hashlib
 import json
+import math
+import re
 import uuid
 import zlib
 from bisect import bisect_left, bisect_right
@@ -37,11 +42,14 @@ from pyspark.sql import types as T
 
 from tagloom.llm.batches import bound_batches
 from tagloom.llm.host_reputation import host_of
-from tagloom.operators.sizing import staged, staging_path
+from tagloom.operators.sizing import small_or_whole, staged, staging_path
 
 LINES = 1024
 DATE = "1970-01-01T00:00:00Z"
-RANGE = 64 << 20
+#: Bytes of archives, and blocks of the index, that a task reads; beyond MAX_TASKS tasks get more.
+RANGE = 16 << 20
+BLOCKS = 64
+MAX_TASKS = 100_000
 CAPTURES = T.StructType(
     [
         T.StructField("key", T.StringType()),
@@ -77,27 +85,47 @@ def digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record(url: str | None, page_id: int | None, payload: bytes, refers_to: int | None) -> bytes:
-    """One archive record: a response with its payload, or a revisit with the headers it would have."""
+def record_name(name: str) -> str:
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, name)}>"
+
+
+def _shared_name(page_id: int, digest_: str) -> str:
+    """Name of the one response others refer to."""
+    return record_name(f"page:{page_id}:{digest_}")
+
+
+def record(
+    url: str | None, page_id: int | None, payload: bytes, refers_to: int | None, name: str | None = None, known: bool = True
+) -> bytes:
+    """One archive record: a response with its payload, or a revisit with the headers it would have.
+
+    ``name`` is the record's own; without one it is the response others refer to. ``known`` tells whether the response
+    a revisit refers to has such a name.
+    """
+    told = digest(payload)
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
     revisit = refers_to is not None
     block = http if revisit else http + payload
     lines = [
         "WARC/1.1",
         f"WARC-Type: {'revisit' if revisit else 'response'}",
-        f"WARC-Record-ID: <urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page_id}')}>",
+        f"WARC-Record-ID: {_shared_name(page_id, told) if name is None else record_name(name)}",
         f"WARC-Date: {DATE}",
-        f"WARC-Payload-Digest: sha1:{digest(payload)}",
+        f"WARC-Payload-Digest: sha1:{told}",
         "Content-Type: application/http; msgtype=response",
         f"Content-Length: {len(block)}",
     ]
     if url is not None:
-        lines.append("WARC-Target-URI: " + quote(url, safe="!#$&'()*+,/:;=?@[]~-._"))
+        address = re.sub(r"[^\x21-\x7e]", lambda m: quote(m[0]), url)
+        lines.append(f"WARC-Target-URI: {address}")
+        if address != url:
+            lines.append("X-Target-URI: " + quote(url, safe=""))
     if page_id is not None:
         lines.append(f"X-Page-ID: {page_id}")
     if revisit:
         lines.append("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")
-        lines.append(f"WARC-Refers-To: <urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{refers_to}')}>")
+        if known:
+            lines.append(f"WARC-Refers-To: {_shared_name(refers_to, told)}")
         lines.append(f"X-Refers-To-Page-ID: {refers_to}")
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
@@ -110,12 +138,12 @@ def parse(data: bytes) -> dict:
     http, payload = block.split(b"\r\n\r\n", 1)
     announced = int(dict(x.split(b": ", 1) for x in http.split(b"\r\n")[1:])[b"Content-Length"])
     told = fields["WARC-Payload-Digest"].removeprefix("sha1:")
-    kind = fields["WARC-Type"]
+    kind, url = fields["WARC-Type"], fields.get("WARC-Target-URI")
     if kind == "response" and (len(payload) != announced or digest(payload) != told):
         raise ValueError(f"damaged record of page {fields.get('X-Page-ID')}")
     return {
         "page_id": int(fields["X-Page-ID"]) if "X-Page-ID" in fields else None,
-        "url": unquote(fields["WARC-Target-URI"]) if "WARC-Target-URI" in fields else None,
+        "url": unquote(fields["X-Target-URI"]) if "X-Target-URI" in fields else url,
         "record_type": kind,
         "payload": payload if kind == "response" else None,
         "payload_bytes": announced,
@@ -139,15 +167,16 @@ def write_archives(pages: DataFrame, folder: str, key: str = "page_id", url: str
         pages[f"`{url}`"].cast("string").alias("url"),
         payload.cast("binary").alias("payload"),
     ).withColumn("sha", F.sha1("payload"))
-    copies = (
-        rows.filter(F.octet_length("payload") >= min_payload)
-        .groupBy("sha")
-        .agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
-        .filter("n > 1")
-        .select("sha", "first")
-    )
+    named = rows.filter(F.octet_length("payload") >= min_payload).groupBy("sha", "page_id").agg(F.count("*").alias("n"))
+    least = F.min(F.struct(F.col("page_id").isNull().alias("z"), "page_id", "n"))
+    copies = named.groupBy("sha").agg(least.alias("least"), F.sum("n").alias("n")).filter("n > 1")
+    copies = copies.select("sha", F.col("least.page_id").alias("first"), (F.col("least.n") == 1).alias("known"))
     of = F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first")).alias("refers_to")
-    linked = rows.join(copies, "sha", "left").select(url_key(F.col("url")).alias("key"), "page_id", "url", "payload", of)
+    shared = F.coalesce(F.col("known") & F.col("page_id").eqNullSafe(F.col("first")), F.lit(False))
+    # few groups of copies are broadcast, so that payloads stay where they are
+    linked = rows.join(small_or_whole(copies), "sha", "left").select(
+        url_key(F.col("url")).alias("key"), "page_id", "url", "payload", of, shared.alias("shared"), F.coalesce("known", F.lit(False)).alias("known")
+    )
 
     bound_batches(pages.sparkSession)
 
@@ -157,9 +186,10 @@ def write_archives(pages: DataFrame, folder: str, key: str = "page_id", url: str
             if out is None:
                 file, out = _new_file(folder, "warc")
             found = []
-            for name, page, address, body, refers in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for name, page, address, body, refers, shared, known in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 packer = zlib.compressobj(6, zlib.DEFLATED, 31)
-                member = packer.compress(record(address, page, body, refers)) + packer.flush()
+                own = None if shared and page is not None else f"{file}:{at}"
+                member = packer.compress(record(address, page, body, refers, own, known)) + packer.flush()
                 out.write(member)
                 kind = "response" if refers is None else "revisit"
                 found.append((name, page, len(body), digest(body), kind, refers, file, at, len(member)))
@@ -253,7 +283,9 @@ def find_blocks(keys: DataFrame, index: DataFrame) -> DataFrame:
 
 def lookup(keys: DataFrame, index: DataFrame) -> DataFrame:
     """The captures of all ``key`` values, by range reads of index blocks."""
-    blocks = find_blocks(keys, index).repartition("file", "offset").sortWithinPartitions("file", "offset")
+    found = staged(find_blocks(keys, index), "blocks")
+    tasks = min(MAX_TASKS, max(1, math.ceil(found.count() / BLOCKS)))
+    blocks = found.repartitionByRange(tasks, "file", "offset").sortWithinPartitions("file", "offset")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         opened, at, lines = {}, None, {}
@@ -286,8 +318,10 @@ RECORDS = T.StructType(
 
 def read_records(captures: DataFrame, with_payload: bool = True) -> DataFrame:
     """The records that captures name, by range reads of the archives; payloads are checked either way."""
-    near = F.floor(F.col("offset") / RANGE)
-    placed = captures.select("file", "offset", "length").withColumn("_near", near).repartition("file", "_near")
+    places = staged(captures.select("file", "offset", "length"), "places")
+    tasks = min(MAX_TASKS, max(1, math.ceil((places.agg(F.sum("length")).first()[0] or 0) / RANGE)))
+    # a given number, or Spark would put the few bytes of the places into one task, which then reads all archives
+    placed = places.repartitionByRange(tasks, "file", "offset")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         opened: dict = {}

@@ -3,6 +3,7 @@
 import random
 import re
 
+import pyarrow as pa
 import pytest
 
 from tagloom.llm import decontaminate
@@ -78,3 +79,33 @@ def test_empty_tables_and_clashing_names(spark):
     assert decontaminate.scan(d, b.limit(0)).collect()[0]["n_hit"] == 0
     clash = d.selectExpr("*", "'x' AS items", "1 AS N_HIT")
     assert decontaminate.scan(clash, b).collect()[0]["items"] == ["i"]
+
+
+def test_repeated_and_large_items_keep_to_the_bound(spark):
+    """Equal items are one, however often they stand there; blocks of several items take no more than the bound."""
+    words = " ".join(f"w{i}" for i in range(200))
+    items = [("r", words)] * 50 + [(str(i), f"{words} x{i}") for i in range(30)]
+    _, b = tables(spark, [(1, "a")], items)
+    one = 2 * 200 * (decontaminate.WORD_BYTES + 4)
+    blocks = decontaminate._blocks(b, "item_id", "text", 4 * one)
+    sizes = [block.count() for block in blocks]
+    assert sum(sizes) == 31 and len(sizes) > 2 and max(sizes) < 20
+    single = decontaminate._blocks(b, "item_id", "text", 10)
+    assert all(block.count() == 1 for block in single) and len(single) == 31
+    docs = [(1, "before " + words + " x7 after"), (2, words[:40])]
+    assert scanned(spark, docs, items, max_bytes=4 * one) == scanned(spark, docs, items) == brute(docs, items, 10)
+
+
+def test_the_set_takes_what_the_bound_counts():
+    import pickle
+
+    texts = [" ".join(f"word{(i * j) % 5000}" for j in range(3000)) for i in range(1, 40)]
+    known = decontaminate.window_set(pa.table({"id": [str(i) for i in range(len(texts))], "text": texts}))
+    counted = sum(len(t.encode()) + decontaminate.WORD_BYTES * 3000 + 32 for t in texts)
+    assert len(pickle.dumps(known)) <= counted
+
+
+def test_very_long_text(spark):
+    item = " ".join(f"w{i}" for i in range(12))
+    docs = [(1, "x " * 1_500_000 + item + " y" * 500_000)]
+    assert [r[1:3] for r in scanned(spark, docs, [("i", item)])] == [(2_000_012, 12)]

@@ -58,6 +58,47 @@ def test_names(rollup, spark):
         rollup.commit("../x", token_rollup.signed(spark.createDataFrame([], DOCS), 1, "v", "t"))
 
 
+@pytest.mark.parametrize("name", ["..", ".", "_x", ".x", "-x", ""])
+def test_names_that_spark_would_hide_or_follow(rollup, spark, name):
+    load = token_rollup.signed(spark.createDataFrame(ROWS, DOCS), 1, "v", "t")
+    rollup.commit("load", load)
+    with pytest.raises(ValueError):
+        rollup.commit(name, load)
+    assert sum(v[0] for v in totals(rollup).values()) == 4
+
+
+def test_a_batch_committed_while_others_are_compacted_counts_once(spark, rollup, monkeypatch):
+    load = token_rollup.signed(spark.createDataFrame(ROWS, DOCS), 1, "v", "t")
+    rollup.commit("first", load)
+    whole = rollup._sums
+
+    def meanwhile(*listed):
+        rollup.commit("second", load)
+        return whole(*listed)
+
+    monkeypatch.setattr(rollup, "_sums", meanwhile)
+    rollup.compact()
+    monkeypatch.undo()
+    assert sum(v[0] for v in totals(rollup).values()) == 8
+    rollup.compact()
+    assert sum(v[0] for v in totals(rollup).values()) == 8 and not rollup.commit("second", load)
+
+
+def test_long_runs_of_blanks(spark, monkeypatch):
+    path = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+    if not Path(path).exists():
+        pytest.skip("tokenizers are not here")
+    encoding = token_rollup._encoding(Path(path).read_bytes())
+    texts = ["a" + " " * 40 + "b", " " * 30, "\n" * 25 + "x", "x \t\n" * 9 + "y", " \u3000" * 15 + "\x1c.", "é" + "\xa0" * 21, "a  b   c"]
+    want = [len(encoding.encode_ordinary(t)) for t in texts]
+    monkeypatch.setattr(token_rollup, "_LONG", token_rollup.re.compile(token_rollup._BLANK + "{3,}"))
+    monkeypatch.setattr(token_rollup, "LONG_RUN", 3)
+    assert [token_rollup.count_tokens(encoding, t) for t in texts] == want
+    monkeypatch.undo()
+    df = spark.createDataFrame([("a" + " " * 3_000_000 + "b",), ("x" * 500_000,)], "text string")
+    assert all(r["v"] > 0 for r in token_rollup.with_token_counts(df, path, "v").collect())
+
+
 def test_token_counts(spark):
     path = "/opt/tokenizers/byte_bpe_50k.tiktoken"
     if not Path(path).exists():

@@ -88,3 +88,40 @@ def test_empty_and_repeated_rows(spark):
     assert read_back(pages.limit(0)) == []
     twice = spark.createDataFrame([(1, "http://a/", "x"), (1, "http://a/", "x"), (2, "http://a/", "x")], SCHEMA)
     assert sorted(tuple(r)[3] for r in read_back(twice.withColumn("key", F.lit(1)))) == ["response", "response", "revisit"]
+
+
+def members(folder):
+    """All records of the archives in a folder, by any gzip reader."""
+    from pathlib import Path
+
+    for file in Path(folder.removeprefix("file:")).glob("warc-*"):
+        for part in gzip.decompress(file.read_bytes()).split(b"WARC/1.1\r\n")[1:]:
+            yield dict(line.split(": ", 1) for line in part.split(b"\r\n\r\n")[0].decode().split("\r\n"))
+
+
+def test_addresses_and_names(spark):
+    """Addresses keep their escapes; names of records are unique, and what a revisit names is there."""
+    rows = [(1, "http://a.org/x%20y?q=a+b|c", "x"), (1, "http://a.org/x%20y", "x"), (2, "http://a.org/é z", "x"), (3, "u", "one"), (4, "u", "one"), (5, "u", "one"), (None, "u", "n"), (None, "u", "n")]
+    folder = staging_path(spark, "test_names")
+    warc.write_archives(spark.createDataFrame(rows, SCHEMA).repartition(3), folder)
+    records = list(members(folder))
+    names = [r["WARC-Record-ID"] for r in records]
+    assert len(set(names)) == len(rows)
+    assert {r["WARC-Target-URI"] for r in records} == {"http://a.org/x%20y?q=a+b|c", "http://a.org/x%20y", "http://a.org/%C3%A9%20z", "u"}
+    targets = {r["X-Page-ID"]: r.get("WARC-Refers-To") for r in records if r["WARC-Type"] == "revisit"}
+    home = next(r["WARC-Record-ID"] for r in records if r.get("X-Page-ID") == "3")
+    assert targets == {"2": None, "4": home, "5": home}
+
+
+def test_tasks_follow_the_bytes(spark, monkeypatch):
+    rows = [(i, f"http://h{i % 5}.org/{i}", hashlib.sha256(str(i).encode()).hexdigest() * 40) for i in range(300)]
+    captures, _ = warc.archive(spark.createDataFrame(rows, SCHEMA).repartition(2))
+    size = captures.agg(F.sum("length")).first()[0]
+    monkeypatch.setattr(warc, "RANGE", size // 7)
+    found = warc.read_records(captures)
+    assert 6 <= found.rdd.getNumPartitions() <= 8 and found.count() == 300
+
+
+def test_very_long_payload(spark):
+    pages = spark.createDataFrame([(1, "http://a/", "é" * 4_000_000)], SCHEMA)
+    assert [r["payload_bytes"] for r in read_back(pages)] == [8_000_000]
