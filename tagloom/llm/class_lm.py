@@ -2,16 +2,18 @@
 
 log p(text) = sum of log p(class | class before) + log p(word | class) over its words and one end.
 
-* The most frequent words are clustered. All other words belong to fixed classes by their form (length, letters beyond
-  ASCII, a last character that is no letter), so an unseen word has a class too. The end is a class of its own and
-  stands before the first word.
-* Exchange runs over one row per clustered word, its counts before and after other words. In a round half of the words
-  ask for the class that raises the likelihood of the class bigrams most; the best assignment of all rounds stays.
-* Counts of frequent words are broadcast, at most ``LISTED`` of up to ``LISTED_BYTES`` bytes each. All other words of
-  all texts meet their counts in a shuffled join, so counts are exact for every word of every text.
-
-Bounded by parameters and held by the driver: the listed words and matrices over classes. Everything else grows with
-the corpus and stays in tables.
+* Every listed word that occurs ``LEAST`` times or more is clustered. Rarer words belong to fixed classes by their form
+  (length, letters beyond ASCII, a last character that is no letter), so an unseen word has a class too. The end is a
+  class of its own and stands before the first word. The number of classes grows with the cube root of the vocabulary.
+* Exchange runs over one row per clustered word, its counts before and after other words. The most frequent words go
+  first, all others being in their forms. Then each form becomes a class like any other, in which its words begin, and
+  every word asks for the class that raises the likelihood of the class bigrams most; it moves if that gains more than
+  ``PRICE``, half of all words in a round. The best assignment of all rounds stays.
+* Words are listed by their counts and broadcast, at most ``LISTED`` of up to ``LISTED_BYTES`` bytes each. All other
+  words of all texts meet their counts in a shuffled join, so counts are exact for every word of every text.
+
+Bounded by parameters and held by the driver: the listed words, a class for each, and matrices over classes. Counts of
+words and of pairs of words grow with the corpus and stay in tables.
 
 Null texts count as empty and have one token, the end. Without training texts every count is zero. Keys may repeat or be
 null; rows are told apart by a number of their own.
@@ -34,9 +36,12 @@ from tagloom.llm.batches import BLANKS, append_columns, bound_batches, plain, ro
 from tagloom.operators.sizing import staged
 
 LISTED, LISTED_BYTES = 1 << 18, 64
-CLUSTERED = 2048
-CLASSES = 48
-ROUNDS = 12
+#: Times a word must occur to be clustered, and how many of the most frequent ones are clustered first.
+LEAST = 2
+CORE = 2048
+ROUNDS, WHOLE_ROUNDS = 12, 4
+#: What a move of any word must add to the log-likelihood of the training texts.
+PRICE = 3.0
 PRIOR = 5.0
 FORMS = 16
 _SIZES = np.array([4, 8, 12])
@@ -133,78 +138,172 @@ def _fit(matrix: np.ndarray) -> float:
     return float(_xlogx(matrix).sum() - _xlogx(matrix.sum(0)).sum() - _xlogx(matrix.sum(1)).sum())
 
 
+def class_count(words: int) -> int:
+    """Classes for a vocabulary of so many words, besides those that begin as forms."""
+    return max(2, round(words ** (1 / 3) / 2))
+
+
+def _one_side(counts: np.ndarray, across: np.ndarray, own: np.ndarray, matrix: np.ndarray, movable: int) -> np.ndarray:
+    """What a word's ``counts`` of classes add to ``x log x`` of each row they may be put into.
+
+    ``matrix`` still holds the word in its ``own`` class: along the row as ``counts``, along the column as ``across``.
+    """
+    word, other = np.nonzero(counts)
+    n = counts[word, other]
+    base = matrix[:movable, other].T.astype(float)
+    at_own = other == own[word]
+    base[at_own] -= across[word[at_own], :movable]
+    inside = np.flatnonzero(own[word] < movable)
+    base[inside, own[word[inside]]] -= n[inside]
+    base = np.maximum(base, 0)
+    gained = _xlogx(base + n[:, None]) - _xlogx(base)
+    out = np.zeros((len(counts), movable))
+    if len(word):
+        first = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+        out[word[first]] = np.add.reduceat(gained, first, axis=0)
+    sums = matrix.sum(1)[:movable] - across[:, :movable]
+    mine = np.flatnonzero(own < movable)
+    total = counts.sum(1)
+    sums[mine, own[mine]] -= total[mine]
+    sums = np.maximum(sums, 0)
+    return out - (_xlogx(sums + total[:, None]) - _xlogx(sums))
+
+
+def best_classes(after: np.ndarray, before: np.ndarray, own: np.ndarray, matrix: np.ndarray, movable: int) -> tuple[np.ndarray, np.ndarray]:
+    """Class each word should move to, and the gain; a word in a class that isn't movable always moves.
+
+    ``after`` and ``before`` hold a row per word, the counts of classes beside it.
+    """
+    gain = _one_side(after, before, own, matrix, movable) + _one_side(before, after, own, matrix.T, movable)
+    to = gain.argmax(axis=1)
+    rows = np.arange(len(own))
+    stay = np.where(own < movable, gain[rows, np.minimum(own, movable - 1)], -np.inf)
+    return to, gain[rows, to] - stay
+
+
 def best_class(after: np.ndarray, before: np.ndarray, own: int, matrix: np.ndarray, movable: int) -> tuple[int, float]:
-    """Class a word should move to, and the gain. ``after`` and ``before`` count classes beside the word."""
-    rest = matrix.copy()
-    rest[own] -= after
-    rest[:, own] -= before
-    rest = np.maximum(rest, 0)
-    rows, columns = rest.sum(1)[:movable], rest.sum(0)[:movable]
-    gain = (_xlogx(rest[:movable] + after) - _xlogx(rest[:movable])).sum(1)
-    gain += (_xlogx(rest[:, :movable] + before[:, None]) - _xlogx(rest[:, :movable])).sum(0)
-    gain -= _xlogx(rows + after.sum()) - _xlogx(rows) + _xlogx(columns + before.sum()) - _xlogx(columns)
-    to = int(np.argmax(gain))
-    return to, float(gain[to] - gain[own])
-
-
-def exchange(pairs: DataFrame, vocabulary: Vocabulary, classes: int = CLASSES, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
-    """Class of each symbol, and the bigram counts of the classes. Classes from ``classes`` on are forms and the end."""
-    size, movable = vocabulary.clustered, classes
-    total = classes + FORMS + 1
+    """The same for one word."""
+    to, gain = best_classes(after[None], before[None], np.array([own]), matrix, movable)
+    return int(to[0]), float(gain[0])
+
+
+def neighbours(pairs: DataFrame) -> DataFrame:
+    """One staged row per symbol: all symbols beside it, with the side (1: after it) and how often."""
     beside = pairs.select(F.col("a").alias("word"), F.lit(1).alias("side"), F.col("b").alias("other"), "n").unionByName(
         pairs.select(F.col("b").alias("word"), F.lit(0).alias("side"), F.col("a").alias("other"), "n")
     )
     # every symbol meets every other one at most twice, so a row is bounded by the number of symbols
     entries = F.collect_list(F.struct("side", "other", "n")).alias("entries")
-    rows = staged(beside.groupBy("word").agg(entries), "neighbours")
-    spark = pairs.sparkSession
-    symbols = np.concatenate([np.arange(size) % max(1, movable), classes + np.arange(FORMS + 1)]).astype(np.int64)
-
-    def profiles(of: np.ndarray, matrix: np.ndarray | None) -> list:
-        shared = spark.sparkContext.broadcast((of, matrix))
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            of, matrix = shared.value
-            for batch in batches:
-                words, found = batch.column(0).to_pylist(), []
-                lists = batch.column(1)
-                for k, word in enumerate(words):
-                    values = lists[k].values
-                    side, other, n = (values.field(i).to_numpy(zero_copy_only=False) for i in range(3))
-                    seen = np.bincount(side * total + of[other], n, 2 * total)
-                    before, after = seen[:total], seen[total:]
-                    to, gain = best_class(after, before, of[word], matrix, movable) if matrix is not None and word < size else (-1, 0.0)
-                    found.append((word, after.tolist(), to, gain))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(c), t) for c, t in zip(zip(*found, strict=True), (pa.int32(), pa.list_(pa.float64()), pa.int32(), pa.float64()), strict=True)],
-                    names=["word", "after", "to", "gain"],
-                )
-
-        return rows.mapInArrow(run, "word int, after array<double>, to int, gain double").collect()  # a row per symbol
-
-    def summed(found: list, of: np.ndarray) -> np.ndarray:
-        matrix = np.zeros((total, total))
-        for r in found:
-            matrix[of[r["word"]]] += r["after"]
-        return matrix
-
-    matrix = summed(profiles(symbols, None), symbols)
+    return staged(beside.groupBy("word").agg(entries), "neighbours")
+
+
+def _profiles(batch: pa.RecordBatch, of: np.ndarray, total: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Symbols of a batch, some at a time, with their counts of classes before and after them."""
+    for start, stop in ((k, min(k + CHUNK, len(batch))) for k in range(0, len(batch), CHUNK)):
+        lists = batch.column(1).slice(start, stop - start)
+        entries = lists.flatten()
+        side, other, n = (entries.field(i).to_numpy(zero_copy_only=False) for i in range(3))
+        row = np.repeat(np.arange(stop - start), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+        seen = np.bincount((row * 2 + side) * total + of[other], n, (stop - start) * 2 * total).reshape(-1, 2, total)
+        yield batch.column(0).slice(start, stop - start).to_numpy(zero_copy_only=False), seen[:, 0], seen[:, 1]
+
+
+CHUNK = 512
+
+
+def class_matrix(rows: DataFrame, of: np.ndarray, total: int) -> np.ndarray:
+    """Counts of class after class; a cell per pair of classes reaches the driver."""
+    shared = rows.sparkSession.sparkContext.broadcast(of)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of, sums = shared.value, np.zeros((total, total))
+        for batch in batches:
+            for words, _, after in _profiles(batch, of, total):
+                np.add.at(sums, of[words], after)
+        cells = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(sums.ravel()[cells])], names=["cell", "n"])
+
+    cells = rows.mapInArrow(run, "cell bigint, n double").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    matrix = np.zeros(total * total)
+    matrix[cells["cell"].to_numpy()] = cells["n"].to_numpy()
+    shared.destroy()
+    return matrix.reshape(total, total)
+
+
+def wanted_moves(rows: DataFrame, of: np.ndarray, matrix: np.ndarray, movable: int, size: int, price: float) -> pa.Table:
+    """``word`` and ``to`` of the clustered words that gain more than ``price`` by a move."""
+    shared = rows.sparkSession.sparkContext.broadcast((of, matrix))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of, matrix = shared.value
+        for batch in batches:
+            for words, before, after in _profiles(batch, of, len(matrix)):
+                to, gain = best_classes(after, before, of[words], matrix, movable)
+                moves = np.flatnonzero((gain > price) & (words < size))
+                yield pa.RecordBatch.from_arrays([pa.array(words[moves].astype(np.int32)), pa.array(to[moves].astype(np.int32))], names=["word", "to"])
+
+    found = rows.mapInArrow(run, "word int, to int").toArrow()  # at most a row per listed word
+    shared.destroy()
+    return found
+
+
+def _rounds(rows: DataFrame, symbols: np.ndarray, size: int, movable: int, total: int, rounds: int, price: float):
+    """The best classes of ``symbols`` that rounds of exchange find, and their matrix; in a round about half the words move."""
+    matrix = class_matrix(rows, symbols, total)
     best = (_fit(matrix), symbols.copy(), matrix)
-    if size <= 1 or movable <= 1:
-        return best[1], best[2]
     for number in range(rounds):
-        found = profiles(symbols, matrix)
-        turn = {r["word"]: r["to"] for r in found if r["word"] < size and r["gain"] > 1e-9 and (r["word"] * 2654435761 >> 7) % 2 == number % 2}
-        if not turn and number:
+        found = wanted_moves(rows, symbols, matrix, movable, size, price)
+        word, to = found["word"].to_numpy(), found["to"].to_numpy()
+        chosen = (word.astype(np.int64) * 2654435761 >> 7) % 2 == number % 2
+        if not chosen.any() and number:
             break
-        for word, to in turn.items():
-            symbols[word] = to
-        matrix = summed(profiles(symbols, None), symbols)
+        symbols[word[chosen]] = to[chosen]
+        matrix = class_matrix(rows, symbols, total)
         if (fit := _fit(matrix)) > best[0]:
             best = (fit, symbols.copy(), matrix)
     return best[1], best[2]
 
 
+def exchange(pairs: DataFrame, vocabulary: Vocabulary, classes: int, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
+    """Class of each symbol, and the bigram counts of the classes. Classes from ``classes`` on are forms and the end."""
+    size, total = vocabulary.clustered, classes + FORMS + 1
+    symbols = np.concatenate([np.arange(size) % max(1, classes), classes + np.arange(FORMS + 1)]).astype(np.int64)
+    if size <= 1 or classes <= 1:
+        rounds = 0
+    return _rounds(neighbours(pairs), symbols, size, classes, total, rounds, 1e-9)
+
+
+def exchange_all(
+    pairs: DataFrame, vocabulary: Vocabulary, core: int, classes: int, rounds: int = ROUNDS, whole_rounds: int = WHOLE_ROUNDS, price: float = PRICE
+) -> tuple[np.ndarray, np.ndarray]:
+    """As ``exchange`` for any number of words, in ``classes + FORMS`` classes.
+
+    The ``core`` most frequent words are exchanged first, with all others in their forms. Then each form becomes a class
+    like any other, in which its words begin, and all words are exchanged; a rare word says little, so a move must gain
+    more than ``price``.
+    """
+    size, movable = vocabulary.clustered, classes + FORMS
+    total = movable + FORMS + 1
+    core = min(core, size)
+    form = forms(vocabulary.words.slice(core, size - core))
+    merged = np.concatenate([np.arange(core), core + form, core + np.arange(FORMS + 1)]).astype(np.int32)
+    shared = pairs.sparkSession.sparkContext.broadcast(merged)
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of, width = shared.value, core + FORMS + 1
+        for batch in batches:
+            a, b, n = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            cells, place = np.unique(of[a].astype(np.int64) * width + of[b], return_inverse=True)
+            sums = np.bincount(place, n, len(cells)).astype(np.int64)
+            columns = [pa.array((cells // width).astype(np.int32)), pa.array((cells % width).astype(np.int32)), pa.array(sums)]
+            yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "n"])
+
+    coarse = pairs.select("a", "b", "n").mapInArrow(merge, "a int, b int, n bigint").groupBy("a", "b").agg(F.sum("n").alias("n"))
+    first, _ = exchange(coarse, Vocabulary(vocabulary.words, vocabulary.counts, core), classes, rounds)
+    symbols = np.concatenate([first[:core], classes + form, movable + np.arange(FORMS + 1)]).astype(np.int64)
+    return _rounds(neighbours(pairs), symbols, size, movable, total, whole_rounds if size > core else 0, price)
+
+
 @dataclass
 class ClassModel:
     vocabulary: Vocabulary
@@ -217,15 +316,30 @@ class ClassModel:
     tokens: int
 
 
-def fit(texts: DataFrame, clustered: int = CLUSTERED, classes: int = CLASSES, listed: int = LISTED, rounds: int = ROUNDS) -> tuple[ClassModel, DataFrame]:
-    """The model of the training texts (one column), and the staged counts of all their words."""
+def fit(
+    texts: DataFrame,
+    clustered: int | None = None,
+    classes: int | None = None,
+    listed: int = LISTED,
+    rounds: int = ROUNDS,
+    core: int = CORE,
+    least: int = LEAST,
+    price: float = PRICE,
+) -> tuple[ClassModel, DataFrame]:
+    """The model of the training texts (one column), and the staged counts of all their words.
+
+    All listed words that occur ``least`` times are clustered, or the ``clustered`` most frequent ones.
+    """
     counts = staged(word_counts(texts), "word_counts")
     size = counts.agg(F.sum("n").alias("tokens"), F.count("*").alias("words")).first()
     tokens, words = size["tokens"] or 0, size["words"]
     known = listed_words(counts, listed)
-    vocabulary = Vocabulary(plain(known["word"]), known["n"].to_numpy(), min(clustered, len(known)))
+    frequent = int((known["n"].to_numpy() >= least).sum()) if clustered is None else min(clustered, len(known))
+    vocabulary = Vocabulary(plain(known["word"]), known["n"].to_numpy(), frequent)
+    classes = class_count(words) if classes is None else classes
     pairs = staged(bigrams(texts, vocabulary), "bigrams")
-    class_of, matrix = exchange(pairs, vocabulary, classes, rounds)
+    class_of, matrix = exchange_all(pairs, vocabulary, core, classes, rounds, price=price)
+    classes += FORMS  # those that began as forms
     n_class = matrix.sum(0)
     share = (n_class + 1) / (n_class.sum() + len(n_class))
     moves = np.log10((matrix + PRIOR * share) / (matrix.sum(1, keepdims=True) + PRIOR))

@@ -141,3 +141,52 @@ def test_listed_words_are_the_most_frequent(spark):
         assert len(got) <= most and got == [1000, 900, 500, 70, 66, 65, 3, 3, 3, 1, 1][: len(got)]
     assert len(class_lm.listed_words(df, 8)) == 6
     assert plain(class_lm.listed_words(df, 0)["word"]).to_pylist() == []
+
+
+def test_gains_of_many_words_are_those_of_each():
+    rng = np.random.default_rng(4)
+    matrix = rng.integers(30, 90, (9, 9)).astype(float)
+    after, before = rng.integers(0, 3, (20, 9)).astype(float), rng.integers(0, 3, (20, 9)).astype(float)
+    after[3] = before[3] = 0
+    own = rng.integers(0, 9, 20)
+    to, gain = class_lm.best_classes(after, before, own, matrix, 6)
+    for w in range(20):
+        rest = matrix.copy()
+        rest[own[w]] -= after[w]
+        rest[:, own[w]] -= before[w]
+        rows, columns = rest.sum(1), rest.sum(0)
+        x = class_lm._xlogx
+        want = [
+            (x(rest[h] + after[w]) - x(rest[h])).sum() + (x(rest[:, h] + before[w]) - x(rest[:, h])).sum()
+            - (x(rows[h] + after[w].sum()) - x(rows[h])) - (x(columns[h] + before[w].sum()) - x(columns[h]))
+            for h in range(6)
+        ]
+        assert to[w] == int(np.argmax(want)) or math.isclose(want[to[w]], max(want), abs_tol=1e-9)
+        if own[w] < 6:
+            assert math.isclose(gain[w], max(want) - want[own[w]], abs_tol=1e-9)
+
+
+def test_every_frequent_word_is_exchanged_and_classes_are_found_beyond_the_core(spark):
+    """With a core of four words, nouns and verbs still part by what stands beside them."""
+    df = spark.createDataFrame([(k, t) for k, t in corpus(8, 400) if k is not None and k < 400], "doc_id bigint, text string")
+    model, counts = class_lm.fit(df.select("text"), core=4, classes=4, price=1.0)
+    number = {r["word"]: r["n"] for r in counts.collect() if r["word"]}
+    words = model.vocabulary.words.to_pylist()[: model.vocabulary.clustered]
+    assert set(words) == {w for w, n in number.items() if n >= class_lm.LEAST}
+    of = dict(zip(words, model.class_of[: len(words)], strict=True))
+    kinds = Counter((of[w], w[0]) for w in words if w[0] in "nv")
+    right = sum(max(kinds[c, "n"], kinds[c, "v"]) for c in set(of.values()))
+    assert right >= 0.9 * sum(kinds.values())
+    inside = np.bincount(model.class_of[: len(words)], 10**model.clustered)
+    assert np.allclose(inside[np.unique(model.class_of[: len(words)])], 1) and np.allclose((10**model.moves).sum(axis=1), 1)
+
+
+def test_matrix_of_classes(spark):
+    pairs = spark.createDataFrame([(0, 1, 5), (1, 0, 2), (2, 2, 7), (1, 2, 1)], "a int, b int, n bigint")
+    of = np.array([1, 0, 1])
+    got = class_lm.class_matrix(class_lm.neighbours(pairs), of, 3)
+    assert got.tolist() == [[0, 3, 0], [5, 7, 0], [0, 0, 0]]
+
+
+def test_classes_grow_with_the_vocabulary():
+    assert [class_lm.class_count(n) for n in (0, 1000, 10**6, 10**9)] == [2, 5, 50, 500]
