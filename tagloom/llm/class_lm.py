@@ -188,23 +188,40 @@ def best_class(after: np.ndarray, before: np.ndarray, own: int, matrix: np.ndarr
 
 
 def neighbours(pairs: DataFrame) -> DataFrame:
-    """One staged row per symbol: all symbols beside it, with the side (1: after it) and how often."""
-    beside = pairs.select(F.col("a").alias("word"), F.lit(1).alias("side"), F.col("b").alias("other"), "n").unionByName(
-        pairs.select(F.col("b").alias("word"), F.lit(0).alias("side"), F.col("a").alias("other"), "n")
+    """One staged row per symbol: the symbols beside it (times two, plus one where they come after it) and how often.
+
+    Both are packed as bytes, which every round reads again without taking them apart in the JVM.
+    """
+    beside = pairs.select(F.col("a").alias("word"), (2 * F.col("b") + 1).alias("link"), "n").unionByName(
+        pairs.select(F.col("b").alias("word"), (2 * F.col("a")).alias("link"), "n")
     )
     # every symbol meets every other one at most twice, so a row is bounded by the number of symbols
-    entries = F.collect_list(F.struct("side", "other", "n")).alias("entries")
-    return staged(beside.groupBy("word").agg(entries), "neighbours")
+    rows = beside.groupBy("word").agg(F.collect_list(F.struct("link", "n")).alias("entries"))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(1)
+            entries, ends = lists.flatten(), np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+            columns = []
+            for name, kind in (("link", "<i4"), ("n", "<i8")):
+                data = entries.field(name).to_numpy(zero_copy_only=False).astype(kind).tobytes()
+                width = np.dtype(kind).itemsize
+                cuts = np.concatenate([[0], ends]) * width
+                columns.append(pa.array([data[x:y] for x, y in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["word", "links", "counts"])
+
+    return staged(rows.mapInArrow(pack, "word int, links binary, counts binary"), "neighbours")
 
 
 def _profiles(batch: pa.RecordBatch, of: np.ndarray, total: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Symbols of a batch, some at a time, with their counts of classes before and after them."""
     for start, stop in ((k, min(k + CHUNK, len(batch))) for k in range(0, len(batch), CHUNK)):
-        lists = batch.column(1).slice(start, stop - start)
-        entries = lists.flatten()
-        side, other, n = (entries.field(i).to_numpy(zero_copy_only=False) for i in range(3))
-        row = np.repeat(np.arange(stop - start), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
-        seen = np.bincount((row * 2 + side) * total + of[other], n, (stop - start) * 2 * total).reshape(-1, 2, total)
+        links, counts = (b"".join(batch.column(i).slice(start, stop - start).to_pylist()) for i in (1, 2))
+        links, counts = np.frombuffer(links, "<i4"), np.frombuffer(counts, "<i8")
+        sizes = pc.binary_length(batch.column(1).slice(start, stop - start)).to_numpy(zero_copy_only=False) // 4
+        row = np.repeat(np.arange(stop - start), sizes)
+        place = (row * 2 + (links & 1)) * total + of[links >> 1]
+        seen = np.bincount(place, counts, (stop - start) * 2 * total).reshape(-1, 2, total)
         yield batch.column(0).slice(start, stop - start).to_numpy(zero_copy_only=False), seen[:, 0], seen[:, 1]
 
 

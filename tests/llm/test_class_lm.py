@@ -167,9 +167,9 @@ def test_gains_of_many_words_are_those_of_each():
 
 
 def test_every_frequent_word_is_exchanged_and_classes_are_found_beyond_the_core(spark):
-    """With a core of four words, nouns and verbs still part by what stands beside them."""
+    """With a core of a third of the words, nouns and verbs still part by what stands beside them."""
     df = spark.createDataFrame([(k, t) for k, t in corpus(8, 400) if k is not None and k < 400], "doc_id bigint, text string")
-    model, counts = class_lm.fit(df.select("text"), core=4, classes=4, price=1.0)
+    model, counts = class_lm.fit(df.select("text"), core=20, classes=4, price=1.0)
     number = {r["word"]: r["n"] for r in counts.collect() if r["word"]}
     words = model.vocabulary.words.to_pylist()[: model.vocabulary.clustered]
     assert set(words) == {w for w, n in number.items() if n >= class_lm.LEAST}
