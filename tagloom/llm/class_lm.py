@@ -42,6 +42,8 @@ CORE = 2048
 ROUNDS, WHOLE_ROUNDS = 12, 4
 #: What a move of any word must add to the log-likelihood of the training texts.
 PRICE = 3.0
+#: Rounds at a lower price may pass through worse assignments to better ones.
+PATIENCE = 1e-6
 PRIOR = 5.0
 FORMS = 16
 _SIZES = np.array([4, 8, 12])
@@ -265,19 +267,26 @@ def wanted_moves(rows: DataFrame, of: np.ndarray, matrix: np.ndarray, movable: i
 
 
 def _rounds(rows: DataFrame, symbols: np.ndarray, size: int, movable: int, total: int, rounds: int, price: float):
-    """The best classes of ``symbols`` that rounds of exchange find, and their matrix; in a round about half the words move."""
+    """The best classes of ``symbols`` that rounds of exchange find, and their matrix.
+
+    In a round about half of the words move. Where moving so many at once does harm, the round is taken back and a
+    quarter as many move in the next.
+    """
     matrix = class_matrix(rows, symbols, total)
-    best = (_fit(matrix), symbols.copy(), matrix)
+    best, share = (_fit(matrix), symbols.copy(), matrix), 0.5
     for number in range(rounds):
         found = wanted_moves(rows, symbols, matrix, movable, size, price)
         word, to = found["word"].to_numpy(), found["to"].to_numpy()
-        chosen = (word.astype(np.int64) * 2654435761 >> 7) % 2 == number % 2
-        if not chosen.any() and number:
+        draw = (word.astype(np.int64) * 2654435761 >> 7) + number * 512
+        chosen = draw % 1024 < share * 1024
+        if len(word) == 0:
             break
         symbols[word[chosen]] = to[chosen]
         matrix = class_matrix(rows, symbols, total)
         if (fit := _fit(matrix)) > best[0]:
             best = (fit, symbols.copy(), matrix)
+        elif price > PATIENCE:
+            symbols, matrix, share = best[1].copy(), best[2], share / 4
     return best[1], best[2]
 
 
@@ -342,6 +351,7 @@ def fit(
     core: int = CORE,
     least: int = LEAST,
     price: float = PRICE,
+    whole_rounds: int = WHOLE_ROUNDS,
 ) -> tuple[ClassModel, DataFrame]:
     """The model of the training texts (one column), and the staged counts of all their words.
 
@@ -355,7 +365,7 @@ def fit(
     vocabulary = Vocabulary(plain(known["word"]), known["n"].to_numpy(), frequent)
     classes = class_count(words) if classes is None else classes
     pairs = staged(bigrams(texts, vocabulary), "bigrams")
-    class_of, matrix = exchange_all(pairs, vocabulary, core, classes, rounds, price=price)
+    class_of, matrix = exchange_all(pairs, vocabulary, core, classes, rounds, whole_rounds, price)
     classes += FORMS  # those that began as forms
     n_class = matrix.sum(0)
     share = (n_class + 1) / (n_class.sum() + len(n_class))
