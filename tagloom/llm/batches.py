@@ -15,9 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 #: Bytes of rows that go to Python at once. Spark's own bound is 64 MiB, of which a task holds several.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 _BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 _LOWER = [c + 32 if 65 <= c <= 90 else c for c in range(256)]
