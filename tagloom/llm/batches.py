@@ -106,6 +106,8 @@ def append_columns(
                 new = compute(texts.slice(start, stop - start), part)
                 made = [v.cast(t) if isinstance(v, pa.Array) else pa.array(v, t) for v, t in zip(new, arrow, strict=True)]
                 yield pa.RecordBatch.from_arrays([*part.columns[: len(kept)], *made], names=names)
+        # a worker that waits for its next task holds no freed buffers meanwhile
+        pa.default_memory_pool().release_unused()
 
     schema = T.StructType([*(rows.schema[c] for c in kept), *fields])
     return rows.mapInArrow(run, schema)

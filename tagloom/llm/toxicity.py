@@ -1,10 +1,11 @@
 """Toxicity scores from a learned lexicon, found in texts despite misspellings.
 
 1. Words that labelled toxic texts hold far more often than others (log-likelihood ratio) become the lexicon.
-   Words of any length up to ``MAX_LETTERS`` can, and all that pass the test do; up to 3 letters count as written only.
+   Words of any length can, and all that pass the test do. Up to 3 letters, and beyond ``MAX_LETTERS``, they count as
+   written only; the latter go by their digests. Scripts written without blanks give grams of two and three letters.
 2. Every distinct word of a batch runs through the product of the lexicon's trie and its Levenshtein automaton. The
    product is made deterministic state by state, as words ask for it, and numpy moves all words one character at a
-   time; most fall out after a few.
+   time; most fall out after a few. When the states fill ``TABLE_BYTES``, all that no word stands in are forgotten.
 3. Each hit is read in a window of its text: quotation marks around it and words of reporting tell a quotation, words
    of address and exclamation marks tell abuse.
 4. A logistic regression over counts, weights and contexts of the hits gives the score.
@@ -15,7 +16,9 @@ kinds every score is the share of toxic ones, zero without any. Rows are never d
 
 from __future__ import annotations
 
+import hashlib
 import math
+import re
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -37,7 +40,11 @@ MAX_LABELLED = 100_000
 #: Terms of one automaton; a lexicon has as many automata as it needs.
 TOGETHER = 400
 MIN_DOCUMENTS = 3
-MAX_LETTERS = 32
+#: Longest word that counts with misspellings.
+MAX_LETTERS = 64
+#: Memory for the moves of all automata of a model.
+TABLE_BYTES = 16 << 20
+GRAMS = (2, 3)
 WINDOW, REACH = 5, 60
 # fixed values: marks and words that tell the contexts of a hit
 OPENING, CLOSING = '"“„«‘', '"”“»’'
@@ -46,17 +53,51 @@ REPORTING = frozenset(
     "said says say called calls wrote writes quote quoted quotes word term phrase sagte schrieb nannte wort dit disait écrit mot "
     "dijo dice escribió palabra".split()
 )
+# fixed values: blocks of Thai, Lao, Myanmar, Khmer, kana and Han, whose words no blank parts
+BORDERLESS = r"[\x{0E00}-\x{0EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{3040}-\x{30FF}\x{3400}-\x{9FFF}\x{F900}-\x{FAFF}\x{20000}-\x{3FFFF}]+"
+BORDERLESS_RUN = re.compile(re.sub(r"\\x\{(\w+)\}", lambda m: chr(int(m[1], 16)), BORDERLESS))
 ADDRESS = frozenset("you your youre u ur du dich dein deine ihr euch tu te toi ton vous votre tú usted ustedes".split())
 
 
 def lexical_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """Words without the typographic marks that stick to them, and their rows."""
+    """Words without the typographic marks that stick to them, and their rows.
+
+    Words in scripts without blanks are replaced by their grams, each once for every such word, and what lies between.
+    """
     words, rows = split_words(texts, ALNUM)
-    return pc.utf8_trim(words, MARKS), rows
+    words = pc.utf8_trim(words, MARKS)
+    if not pc.any(pc.match_substring_regex(texts, BORDERLESS)).as_py():
+        return words, rows
+    cut = pc.match_substring_regex(words, BORDERLESS).to_numpy(zero_copy_only=False)
+    grams = [_grams(w) for w in words.filter(pa.array(cut)).to_pylist()]
+    of_grams = np.repeat(rows[cut], [len(g) for g in grams])
+    every = pa.concat_arrays([words.filter(pa.array(~cut)), pa.array([g for own in grams for g in own], pa.string())])
+    owners = np.concatenate([rows[~cut], of_grams])
+    order = np.argsort(owners, kind="stable")
+    return every.take(pa.array(order)), owners[order]
+
+
+def _grams(word: str) -> list[str]:
+    out = {part.strip(MARKS) for part in BORDERLESS_RUN.split(word)} - {""}
+    for run in BORDERLESS_RUN.findall(word):
+        for n in GRAMS:
+            out.update(run[k : k + n] for k in range(len(run) - n + 1))
+        if len(run) < min(GRAMS):
+            out.add(run)
+    return sorted(out)
+
+
+def named(words: pa.Array) -> pa.Array:
+    """Words as the lexicon names them: those beyond ``MAX_LETTERS`` by a mark no word holds and their SHA-256."""
+    long = pc.greater(pc.utf8_length(words), MAX_LETTERS)
+    if not pc.any(long).as_py():
+        return words
+    names = ["\0" + hashlib.sha256(w.encode()).hexdigest() for w in words.filter(long).to_pylist()]
+    return pc.replace_with_mask(words, long, pa.array(names, pa.string()))
 
 
 def allowed_edits(letters: int) -> int:
-    return 0 if letters <= 3 else 1 if letters <= 8 else 2
+    return 0 if letters <= 3 or letters > MAX_LETTERS else 1 if letters <= 8 else 2
 
 
 def _packed(nodes: dict[int, int]) -> bytes:
@@ -68,7 +109,7 @@ class LexiconAutomaton:
 
     DEAD, UNKNOWN = 0, -1
 
-    def __init__(self, terms: list[str], weights: list[float]):
+    def __init__(self, terms: list[str], weights: list[float], table_bytes: int = TABLE_BYTES):
         self.terms, self.weights = terms, weights
         self.children: list[dict[str, int]] = [{}]
         self.term_at: dict[int, int] = {}
@@ -94,7 +135,21 @@ class LexiconAutomaton:
         self.numbers = {state: number for number, state in enumerate(self.states)}
         self.moves = np.full((64, len(letters) + 1), self.UNKNOWN, np.int32)
         self.moves[0] = self.DEAD
-        self.ends = [(-1, 0), self._end(start)]
+        self.ends = np.zeros((64, 2), np.int64)
+        self.ends[:2] = (-1, 0), self._end(start)
+        # of a table half may be states that words of a block stand in, so forgetting the others always makes room
+        self.most_states = max(128, table_bytes // (4 * self.moves.shape[1]))
+        self.block = self.most_states // 2
+
+    def _forget(self, standing: np.ndarray) -> np.ndarray:
+        """Keep only the states of ``standing`` and the first two; returns their new numbers."""
+        keep = np.unique(np.concatenate([[self.DEAD, 1], standing]))
+        number = np.full(len(self.moves) + 1, self.UNKNOWN, np.int32)  # the last is for UNKNOWN itself
+        number[keep] = np.arange(len(keep))
+        self.states = [self.states[s] for s in keep]
+        self.numbers = {state: k for k, state in enumerate(self.states)}
+        self.moves, self.ends = number[self.moves[keep]], self.ends[keep]
+        return number[standing].astype(np.int64)
 
     def _closed(self, nodes: dict[int, int]) -> dict[int, int]:
         """With the nodes that skipped letters of terms lead to."""
@@ -129,9 +184,11 @@ class LexiconAutomaton:
         if key not in self.numbers:
             self.numbers[key] = len(self.states)
             self.states.append(key)
-            self.ends.append(self._end(closed))
             if len(self.states) > len(self.moves):
-                self.moves = np.concatenate([self.moves, np.full_like(self.moves, self.UNKNOWN)])
+                more = max(64, len(self.moves) // 2)
+                self.moves = np.pad(self.moves, ((0, more), (0, 0)), constant_values=self.UNKNOWN)
+                self.ends = np.pad(self.ends, ((0, more), (0, 0)))
+            self.ends[len(self.states) - 1] = self._end(closed)
         return self.numbers[key]
 
     def match(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -139,20 +196,29 @@ class LexiconAutomaton:
         term, edits = np.full(len(words), -1), np.zeros(len(words), np.int64)
         sizes = pc.utf8_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
         rows = np.flatnonzero((sizes > 0) & (sizes <= self.longest))
-        if not self.terms or len(rows) == 0:
-            return term, edits
-        fit = sizes[rows]
-        joined = "".join(words.take(pa.array(rows)).to_pylist())
-        points = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
+        if self.terms:
+            for start in range(0, len(rows), self.block):
+                part = rows[start : start + self.block]
+                ends = self._match_block(words.take(pa.array(part)), sizes[part])
+                term[part], edits[part] = ends[:, 0], ends[:, 1]
+        return term, edits
+
+    def _match_block(self, words: pa.Array, sizes: np.ndarray) -> np.ndarray:
+        points = np.frombuffer("".join(words.to_pylist()).encode("utf-32-le"), np.uint32)
         place = np.minimum(np.searchsorted(self.code_points, points), len(self.code_points) - 1)
         letters = np.where(self.code_points[place] == points, place + 1, 0)
-        starts = np.cumsum(fit) - fit
-        state = np.ones(len(rows), np.int64)
-        alive = np.arange(len(rows))
-        for k in range(self.longest):
-            alive = alive[fit[alive] > k]
+        starts = np.cumsum(sizes) - sizes
+        found = np.full((len(words), 2), (-1, 0), np.int64)
+        state = np.ones(len(words), np.int64)
+        alive = np.arange(len(words))
+        for k in range(self.longest + 1):
+            done = sizes[alive] == k
+            found[alive[done]] = self.ends[state[alive[done]]]
+            alive = alive[~done]
             if len(alive) == 0:
                 break
+            if len(self.states) > self.most_states:
+                state[alive] = self._forget(state[alive])
             now, letter = state[alive], letters[starts[alive] + k]
             after = self.moves[now, letter]
             if (after == self.UNKNOWN).any():
@@ -163,9 +229,7 @@ class LexiconAutomaton:
                 after = self.moves[now, letter]
             state[alive] = after
             alive = alive[after != self.DEAD]
-        ends = np.array(self.ends)[state]
-        term[rows], edits[rows] = ends[:, 0], ends[:, 1]
-        return term, edits
+        return found
 
 
 @dataclass
@@ -180,7 +244,9 @@ class ToxicityModel:
         """For each word the number of its nearest term, or -1, and the edits between them; of equals the heaviest, then the first."""
         if self._automata is None:
             parts = range(0, len(self.terms), TOGETHER)
-            self._automata = [LexiconAutomaton(self.terms[k : k + TOGETHER], self.weights[k : k + TOGETHER]) for k in parts]
+            share = TABLE_BYTES // max(1, len(parts))
+            self._automata = [LexiconAutomaton(self.terms[k : k + TOGETHER], self.weights[k : k + TOGETHER], share) for k in parts]
+        words = named(words)
         term, edits = np.full(len(words), -1), np.zeros(len(words), np.int64)
         weights = np.array([*self.weights, -np.inf])  # the last is for no term
         for number, automaton in enumerate(self._automata):
@@ -224,7 +290,7 @@ def contexts(text: str, found: dict[str, tuple[int, int]]) -> list[tuple[int, in
         start = lowered.find(word)
         while start >= 0:
             stop = start + len(word)
-            if _stands_alone(lowered, start, stop):
+            if BORDERLESS_RUN.fullmatch(word) or _stands_alone(lowered, start, stop):
                 left, right = lowered[max(0, start - REACH) : start], lowered[stop : stop + REACH]
                 near = {w.strip(MARKS) for w in WORD.findall(left)[-WINDOW:] + WORD.findall(right)[:WINDOW]}
                 quoted = _quoted(left, right) or bool(near & REPORTING)
@@ -277,7 +343,7 @@ def _word_counts(labelled: DataFrame) -> DataFrame:
             toxic = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
             for start, stop in row_slices(texts, 16 << 20):
                 words, rows = lexical_words(texts.slice(start, stop - start))
-                encoded = words.dictionary_encode()
+                encoded = named(words).dictionary_encode()
                 size = len(encoded.dictionary)
                 if not size:
                     continue
@@ -285,9 +351,7 @@ def _word_counts(labelled: DataFrame) -> DataFrame:
                 pairs = np.unique(rows * size + codes)
                 code, bad = pairs % size, toxic[start + pairs // size]
                 counts = [np.bincount(code, minlength=size), np.bincount(code, bad, size).astype(np.int64)]
-                sizes = pc.utf8_length(encoded.dictionary).to_numpy(zero_copy_only=False)
-                fit = pa.array(sizes <= MAX_LETTERS)
-                columns = [encoded.dictionary.filter(fit), *(pa.array(c).filter(fit) for c in counts)]
+                columns = [encoded.dictionary, *map(pa.array, counts)]
                 yield pa.RecordBatch.from_arrays(columns, names=["word", "n", "bad"])
 
     rows = labelled.mapInArrow(count, "word string, n bigint, bad bigint")

@@ -39,6 +39,44 @@ def test_automaton_finds_all_words_within_the_edits():
         assert (t, e) == ((min(near)[2], min(near)[0]) if near else (-1, 0)), word
 
 
+def test_a_small_table_gives_the_same_answers():
+    rng = random.Random(8)
+    scripts = ["abcdefghijklm", "абвгдежзийклмн", "αβγδεζηθικλμν"]
+    terms = sorted({"".join(rng.choices(rng.choice(scripts), k=rng.randrange(4, 14))) for _ in range(200)})
+    words = []
+    for _ in range(3000):
+        w = list(rng.choice(terms))
+        for _ in range(rng.randrange(4)):
+            w[rng.randrange(len(w))] = rng.choice(rng.choice(scripts))
+        words.append("".join(w))
+    large = toxicity.LexiconAutomaton(terms, [1.0] * len(terms))
+    small = toxicity.LexiconAutomaton(terms, [1.0] * len(terms), table_bytes=1 << 14)
+    for a, b in zip(large.match(pa.array(words)), small.match(pa.array(words)), strict=True):
+        assert a.tolist() == b.tolist()
+    assert len(small.states) < small.most_states + small.block < len(large.states)
+
+
+def test_long_words_and_scripts_without_blanks_become_terms(spark):
+    long, longer = "q" + "uagmire" * 5 + "s", "z" * 70_000
+    rows, labels = [], []
+    for i in range(400):
+        bad = i % 4 == 0
+        text = f"plain words number {i} 我们今天去看书了 {'y' * (60 + i)}"
+        rows.append((i, text + (f" {long} {longer} 你是混蛋吗" if bad else "")))
+        labels.append((i, int(bad)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id bigint, toxic int"))
+    assert {long, "混蛋"} <= set(model.terms)
+    assert all(len(t) <= toxicity.MAX_LETTERS + 1 for t in model.terms)
+    asked = [long, long.replace("m", "n", 1), longer, longer + "z", "混蛋", "我们", "plain"]
+    term, edits = model.match(pa.array(asked))
+    assert [t >= 0 for t in term.tolist()] == [True, True, True, False, True, False, False]
+    assert edits.tolist()[:2] == [0, 1]
+    probe = spark.createDataFrame([(1, "那个混蛋来了"), (2, "我们来了"), (3, longer), (4, None)], docs.schema)
+    scores = {r["doc_id"]: r["score"] for r in toxicity.score(probe, model).collect()}
+    assert scores[1] > scores[2] and scores[3] > scores[4]  # one hit each; texts of the training hold many
+
+
 def test_empty_lexicon():
     assert toxicity.LexiconAutomaton([], []).match(pa.array(["a", ""]))[0].tolist() == [-1, -1]
 
