@@ -22,6 +22,7 @@ import re
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -42,8 +43,8 @@ TOGETHER = 400
 MIN_DOCUMENTS = 3
 #: Longest word that counts with misspellings.
 MAX_LETTERS = 64
-#: Memory for the moves of all automata of a model.
-TABLE_BYTES = 16 << 20
+#: Memory for the moves of all automata of a model, beyond which states are forgotten.
+TABLE_BYTES = 64 << 20
 GRAMS = (2, 3)
 WINDOW, REACH = 5, 60
 # fixed values: marks and words that tell the contexts of a hit
@@ -66,7 +67,9 @@ def lexical_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """
     words, rows = split_words(texts, ALNUM)
     words = pc.utf8_trim(words, MARKS)
-    if not pc.any(pc.match_substring_regex(texts, BORDERLESS)).as_py():
+    # in UTF-8 these scripts need a byte beyond 0xDF, other than that of punctuation
+    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)
+    if not ((data > 0xDF) & (data != 0xE2)).any():
         return words, rows
     cut = pc.match_substring_regex(words, BORDERLESS).to_numpy(zero_copy_only=False)
     grams = [_grams(w) for w in words.filter(pa.array(cut)).to_pylist()]
@@ -137,13 +140,22 @@ class LexiconAutomaton:
         self.moves[0] = self.DEAD
         self.ends = np.zeros((64, 2), np.int64)
         self.ends[:2] = (-1, 0), self._end(start)
-        # of a table half may be states that words of a block stand in, so forgetting the others always makes room
+        self.grant(table_bytes)
+
+    @property
+    def held(self) -> int:
+        """Bytes of the moves in use."""
+        return 4 * len(self.states) * self.moves.shape[1]
+
+    def grant(self, table_bytes: int) -> None:
+        """Bound the moves. Words of a block stand in half of the states at most, so forgetting always makes room."""
         self.most_states = max(128, table_bytes // (4 * self.moves.shape[1]))
         self.block = self.most_states // 2
 
     def _forget(self, standing: np.ndarray) -> np.ndarray:
-        """Keep only the states of ``standing`` and the first two; returns their new numbers."""
-        keep = np.unique(np.concatenate([[self.DEAD, 1], standing]))
+        """Keep the states of ``standing``, and the first ones, which common beginnings lead to; returns new numbers."""
+        first = min(len(self.states), max(2, self.most_states // 4))
+        keep = np.unique(np.concatenate([np.arange(first), standing]))
         number = np.full(len(self.moves) + 1, self.UNKNOWN, np.int32)  # the last is for UNKNOWN itself
         number[keep] = np.arange(len(keep))
         self.states = [self.states[s] for s in keep]
@@ -232,6 +244,12 @@ class LexiconAutomaton:
         return found
 
 
+@lru_cache(maxsize=1)
+def _automata(terms: tuple[str, ...], weights: tuple[float, ...], size: int) -> list[LexiconAutomaton]:
+    """Those of a lexicon, once per worker: fitting and scoring share the states they have made."""
+    return [LexiconAutomaton([*terms[k : k + size]], [*weights[k : k + size]]) for k in range(0, len(terms), size)]
+
+
 @dataclass
 class ToxicityModel:
     terms: list[str]
@@ -243,13 +261,13 @@ class ToxicityModel:
     def match(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """For each word the number of its nearest term, or -1, and the edits between them; of equals the heaviest, then the first."""
         if self._automata is None:
-            parts = range(0, len(self.terms), TOGETHER)
-            share = TABLE_BYTES // max(1, len(parts))
-            self._automata = [LexiconAutomaton(self.terms[k : k + TOGETHER], self.weights[k : k + TOGETHER], share) for k in parts]
+            self._automata = _automata(tuple(self.terms), tuple(self.weights), TOGETHER)
         words = named(words)
         term, edits = np.full(len(words), -1), np.zeros(len(words), np.int64)
         weights = np.array([*self.weights, -np.inf])  # the last is for no term
         for number, automaton in enumerate(self._automata):
+            others = sum(a.held for a in self._automata) - automaton.held
+            automaton.grant(max(TABLE_BYTES - others, TABLE_BYTES // len(self._automata)))
             own, own_edits = automaton.match(words)
             own = np.where(own >= 0, own + number * TOGETHER, -1)
             nearer = (term < 0) | (own_edits < edits) | ((own_edits == edits) & (weights[own] > weights[term]))
@@ -287,10 +305,11 @@ def contexts(text: str, found: dict[str, tuple[int, int]]) -> list[tuple[int, in
     lowered = text.encode().translate(BLANKS).decode()
     out = []
     for word, hit in found.items():
+        borderless = bool(BORDERLESS_RUN.fullmatch(word))
         start = lowered.find(word)
         while start >= 0:
             stop = start + len(word)
-            if BORDERLESS_RUN.fullmatch(word) or _stands_alone(lowered, start, stop):
+            if borderless or _stands_alone(lowered, start, stop):
                 left, right = lowered[max(0, start - REACH) : start], lowered[stop : stop + REACH]
                 near = {w.strip(MARKS) for w in WORD.findall(left)[-WINDOW:] + WORD.findall(right)[:WINDOW]}
                 quoted = _quoted(left, right) or bool(near & REPORTING)
