@@ -28,6 +28,7 @@ from tagloom.plans.csv_scoring import label_texts, score_csv
 from tagloom.plans.evaluate import run_validation, validate_predictions
 from tagloom.plans.prepare import prepare
 from tagloom.plans.training import train_classifier
+from tagloom.sources import manifest
 from tagloom.sources.tables import read_scoring_csv, write_csv, write_metrics
 from tagloom.streaming.incremental import arriving_files, score_arriving
 
@@ -171,6 +172,35 @@ def csv_byte_ranges(spark, sf):
     return found.select("ID", F.md5("text").alias("text"))
 
 
+@query(
+    "table_manifest",
+    f"""WITH {LAB}, loads AS (
+      SELECT 1 AS version, doc_id % 7 AS shard_id, label FROM lab UNION ALL
+      SELECT 2, doc_id % 7, CASE WHEN doc_id % 7 = 3 THEN 1 - label ELSE label END FROM lab)
+    SELECT version, shard_id, count(*) AS n, CAST(sum(label) AS BIGINT) AS good, version = 1 OR shard_id = 3 AS written
+    FROM loads GROUP BY version, shard_id""",
+)
+def table_manifest(spark, sf):
+    """Two versions of labelled texts; the second has other labels in one shard, and only that one is written again."""
+    root = staging_path(spark, "versions")
+    rows = lab(spark, sf).select("doc_id", "text", "label", (F.col("doc_id") % 7).alias("shard_id"))
+    turned = F.when(F.col("shard_id") == 3, 1 - F.col("label")).otherwise(F.col("label"))
+    out = None
+    for relabelled in (rows, rows.withColumn("label", turned)):
+        version = manifest.load_version(spark, root, manifest.publish(root, {"texts": relabelled}))
+        before = manifest.load_version(spark, root, version.number - 1) if version.number > 1 else manifest.Version(0, None, {})
+        earlier = manifest.entries(spark, root, before).select("load").distinct()
+        fresh = manifest.entries(spark, root, version).join(earlier, "load", "left_anti").select("shard", F.lit(True).alias("written"))
+        found = manifest.read_version(spark, root, "texts", version.number).groupBy("shard_id").agg(
+            F.count(F.lit(1)).alias("n"), F.sum("label").alias("good")
+        )
+        judged = found.join(fresh, F.col("shard") == F.col("shard_id"), "left").select(
+            F.lit(version.number).alias("version"), "shard_id", "n", "good", F.coalesce("written", F.lit(False)).alias("written")
+        )
+        out = judged if out is None else out.unionByName(judged)
+    return out
+
+
 VALIDATION = f"""{LAB}, pairs AS (SELECT label, {LABEL} AS pred FROM lab)"""
 
 

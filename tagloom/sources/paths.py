@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterable
 from itertools import islice
 from urllib.parse import unquote
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -45,6 +47,27 @@ def write_text(spark: SparkSession, path: str, pieces: Iterable[str]) -> None:
         raise OSError(f"{path} could not be put in place")
 
 
+def publish_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file that appears whole under its name; False where that name is taken, whose file then stays."""
+    sc = spark.sparkContext
+    hadoop = sc._jvm.org.apache.hadoop.fs
+    target, fs = _hadoop_path(spark, path)
+    partial, target = fs.makeQualified(hadoop.Path(f"{path}.{uuid.uuid4().hex}.partial")), fs.makeQualified(target)
+    out = fs.create(partial, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+    options = sc._gateway.new_array(hadoop.Options.Rename, 1)
+    options[0] = hadoop.Options.Rename.NONE
+    try:
+        hadoop.FileContext.getFileContext(target.toUri(), sc._jsc.hadoopConfiguration()).rename(partial, target, options)
+    except Py4JJavaError as failure:
+        fs.delete(partial, False)
+        if "FileAlreadyExistsException" in failure.java_exception.toString():
+            return False
+        raise
+    return True
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     """A small file as a whole."""
     if not exists(spark, path):
