@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 from tagloom.catalog.registry import query
 from tagloom.catalog.views import LAB, lab, table
 from tagloom.functions.vectors import l2_distance
-from tagloom.operators.neighbors import assign_nearest_centroid
+from tagloom.operators.neighbors import assign_nearest_centroid, vector_width
 from tagloom.operators.sizing import staging_path
+from tagloom.plans import incremental_pca as inc
 from tagloom.plans import minibatch_clusters as minibatch
+from tagloom.plans.clusters import fit_pca, transform_pca
 from tagloom.plans.evaluate import evaluate_embeddings
 from tagloom.plans.metric_training import Settings, project, train_joint
 from tagloom.sources.tables import write_table
@@ -114,3 +116,51 @@ def stream_cluster_labels(spark, sf):
     purity = cluster_counts.current_purity(spark, f"{root}-totals").withColumn("purity", F.round("purity", 9))
     labels = cluster_counts.current_label_map(spark, f"{root}-totals")
     return sizes.join(purity, "cluster_id").join(labels, "cluster_id").select("cluster_id", "n", "purity", "label")
+
+
+UNIT_VARIANCE = """(SELECT sum(v) FROM (
+      SELECT i, var_samp(x) AS v FROM (
+        SELECT generate_subscripts(embedding, 1) AS i, unnest(list_transform(CAST(embedding AS DOUBLE[]),
+          lambda x: x / sqrt(list_sum(list_transform(CAST(embedding AS DOUBLE[]), lambda y: y * y))))) AS x FROM embeddings) GROUP BY i))"""
+
+
+@query(
+    "incremental_pca",
+    f"""SELECT count(*) AS vectors, 3 AS shards, round({UNIT_VARIANCE}, 6) AS total_variance, count(*) AS reduced, count(*) AS as_whole FROM embeddings""",
+)
+def incremental_pca(spark, sf):
+    """Components from three shards, one of them delivered twice, reduce every vector as a fit of all rows at once does."""
+    path = staging_path(spark, "pca_state")
+    rows = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    part = F.pmod(F.xxhash64("vec_id"), F.lit(3))
+    width = vector_width(rows, "embedding")
+    for number in (0, 1, 1, 2):
+        state = inc.add_shard(path, f"part-{number}", rows.filter(part == number), "embedding", dim=width)
+    whole = transform_pca(rows, fit_pca(rows, "embedding", 8), "embedding", "whole")
+    both = inc.transform(whole, inc.components(state, 8), "embedding", "parts")
+    return both.agg(
+        F.lit(state.n).cast("bigint").alias("vectors"),
+        F.lit(len(state.shards)).alias("shards"),
+        F.lit(round(state.total_variance, 6)).alias("total_variance"),
+        F.count("parts").alias("reduced"),
+        F.count_if(l2_distance(F.col("whole"), F.col("parts")) < 1e-6).alias("as_whole"),
+    )
+
+
+@query(
+    "refined_pca",
+    f"""SELECT count(*) AS vectors, TRUE AS cut, round({UNIT_VARIANCE}, 6) AS total_variance, count(*) AS as_whole FROM embeddings""",
+)
+def refined_pca(spark, sf):
+    """A root of sixteen rows loses directions but no variance; passes over the table find the components all the same."""
+    rows = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    state = inc.moments(rows, "embedding", vector_width(rows, "embedding"), keep=16)
+    fine = inc.refine(rows, state, "embedding", 4, tolerance=1e-7)
+    whole = transform_pca(rows, fit_pca(rows, "embedding", 4), "embedding", "whole")
+    both = inc.transform(whole, fine, "embedding", "parts")
+    return both.agg(
+        F.lit(state.n).cast("bigint").alias("vectors"),
+        F.lit(state.lost > 0).alias("cut"),
+        F.lit(round(state.total_variance, 6)).alias("total_variance"),
+        F.count_if(l2_distance(F.col("whole"), F.col("parts")) < 1e-5).alias("as_whole"),
+    )
