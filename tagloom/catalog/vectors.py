@@ -10,6 +10,7 @@ from tagloom.catalog.registry import query
 from tagloom.catalog.views import BANK, CENTERS, EMBEDDING_PROBS, bank_and_validation, class_centers, embedding_probs, table
 from tagloom.functions import vectors as vec
 from tagloom.operators import neighbors as ops
+from tagloom.operators.pivots import pivot_neighbors
 from tagloom.operators.scoring import prediction_record
 from tagloom.operators.sizing import staging_path
 from tagloom.plans.clusters import fit_clusters, fit_pca, label_map_job, purity_job, transform_pca
@@ -211,6 +212,12 @@ def knn_topk_l2(spark, sf):
     return near.select("val_id", "vec_id", "rank", F.round("score", 6).alias("score"))
 
 
+@query("knn_pivots", f"WITH {BANK}, {topk_sql(10, *L2)} SELECT val_id, vec_id, rank, round(score, 6) AS score FROM near")
+def knn_pivots(spark, sf):
+    bank, val = bank_and_validation(spark, sf)
+    return pivot_neighbors(val, bank, 10).neighbors.select("val_id", "vec_id", "rank", F.round("score", 6).alias("score"))
+
+
 @query(
     "recall_at_k",
     f"""WITH {BANK}, {topk_sql(100, *COS)},

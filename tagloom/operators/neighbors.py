@@ -78,6 +78,28 @@ def nearest_neighbors(
     left = _in_cells(left, "_q", "_lb", left_blocks, "_rb", right_blocks)
     right = _in_cells(right, "_b", "_rb", right_blocks, "_lb", left_blocks)
 
+    best_in_cell = cell_search(k, dim, distance, query_names, bank_names)
+    candidates = left.groupBy("_lb", "_rb").cogroup(right.groupBy("_lb", "_rb")).applyInArrow(best_in_cell, schema)
+    return best_ranked(candidates, k, distance).select(
+        F.col("_q").alias(query_id),
+        F.col("_b").alias(bank_id),
+        F.col("_score").alias("score"),
+        F.col("rank").cast("bigint"),
+        *carry_query.values(),
+        *carry_bank.values(),
+    )
+
+
+def best_ranked(candidates: DataFrame, k: int, distance: str) -> DataFrame:
+    """The ``k`` best candidates of each query with their ranks, equal scores by bank id."""
+    by_score = F.col("_score").desc() if distance == "cos" else F.col("_score").asc()
+    window = Window.partitionBy("_q").orderBy(by_score, F.col("_b").asc())
+    return candidates.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= k)
+
+
+def cell_search(k: int, dim: int, distance: str, query_names: list[str], bank_names: list[str]):
+    """A function of the two tables of a cell: the ``k`` best bank rows of each query in it, with their scores."""
+
     def best_in_cell(queries_table: pa.Table, bank_table: pa.Table) -> pa.Table:
         def matrix(table):
             flat = pc.list_flatten(table["_v"]).to_numpy()
@@ -125,18 +147,7 @@ def nearest_neighbors(
         picked = np.repeat(np.arange(len(which)), keep)
         return answer(picked, chosen[which].ravel(), scores[which].ravel())
 
-    candidates = left.groupBy("_lb", "_rb").cogroup(right.groupBy("_lb", "_rb")).applyInArrow(best_in_cell, schema)
-    by_score = F.col("_score").desc() if distance == "cos" else F.col("_score").asc()
-    window = Window.partitionBy("_q").orderBy(by_score, F.col("_b").asc())
-    ranked = candidates.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= k)
-    return ranked.select(
-        F.col("_q").alias(query_id),
-        F.col("_b").alias(bank_id),
-        F.col("_score").alias("score"),
-        F.col("rank").cast("bigint"),
-        *carry_query.values(),
-        *carry_bank.values(),
-    )
+    return best_in_cell
 
 
 def _near_pairs(a: np.ndarray, b: np.ndarray, keep: int, distance: str):
