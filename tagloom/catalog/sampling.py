@@ -11,6 +11,7 @@ from tagloom.functions.vectors import is_valid_vector
 from tagloom.operators import sampling as ops
 from tagloom.operators.labels import class_counts
 from tagloom.operators.neighbors import vector_width
+from tagloom.operators.selection import nth_values, top_n_selected
 from tagloom.operators.sizing import staging_path
 
 SHARDS = 8
@@ -117,3 +118,24 @@ def upsample_is_fair(spark, sf):
     share, total = 1 / F.count(F.lit(1)).over(whole), F.sum("n").over(whole)
     near = F.abs(F.col("n") - share * total) <= 5 * F.sqrt(total * share * (1 - share))
     return by_label.select("label", near.alias("near_its_share"), "altered")
+
+
+@query(
+    "top_n_selected",
+    """SELECT doc_id, source, n_chars FROM documents
+    QUALIFY row_number() OVER (PARTITION BY source ORDER BY n_chars DESC, doc_id) <= 20""",
+)
+def longest_of_sources(spark, sf):
+    """The twenty longest documents of each source, by cut-offs found without sorting; the limit is the operator."""
+    rows = table(spark, sf, "documents").select("doc_id", "source", "n_chars")
+    return top_n_selected(rows, "source", 20, "n_chars", "doc_id", last=10)
+
+
+@query(
+    "median_lengths",
+    """SELECT source, (count(*) + 1) // 2 AS rank, CAST(quantile_disc(n_chars, 0.5) AS BIGINT) AS value FROM documents GROUP BY source""",
+)
+def median_lengths(spark, sf):
+    rows = table(spark, sf, "documents").select("source", F.col("n_chars").cast("bigint").alias("n_chars"))
+    ranks = rows.groupBy("source").agg(F.expr("(count(*) + 1) div 2").alias("rank"))
+    return nth_values(rows, ranks, "source", "n_chars", last=10).select("source", "rank", "value")

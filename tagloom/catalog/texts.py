@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tagloom.catalog.registry import query
 from tagloom.catalog.views import table, texts
 from tagloom.functions import text as ops
+from tagloom.operators.lemma_rules import learn_rules, lemmatize_all
 from tagloom.operators.lexicon import TOKEN, extract_entities, lemmatize, tokens
 
 # RE2 spellings of the Unicode classes; RE2 runs in linear time and needs no possessive quantifiers.
@@ -180,6 +181,45 @@ def lemmatize_terms(spark, sf):
     return lemmatize(documents(spark, sf), benchmark_lexicon(spark, sf), key="doc_id").select("doc_id", "lemmas")
 
 
+RULES = f"""{LEXICON},
+changes AS (
+  SELECT token, lemma, len(list_filter(range(1, least(length(token), length(lemma)) + 1), lambda i: left(token, i) = left(lemma, i))) AS common
+  FROM lexicon),
+endings AS (
+  SELECT right(token, size) AS suffix, cut, add FROM (
+    SELECT token, length(token) - common AS cut, substr(lemma, common + 1) AS add,
+      unnest(range(greatest(length(token) - common, 1), least(length(token), length(token) - common + 4) + 1)) AS size FROM changes)),
+spoken AS (SELECT suffix, cut, add, count(*) AS n FROM endings GROUP BY 1, 2, 3),
+rules AS (
+  SELECT suffix, CAST(cut AS INTEGER) AS cut, add, n, total FROM (
+    SELECT *, CAST(sum(n) OVER (PARTITION BY suffix) AS BIGINT) AS total,
+      row_number() OVER (PARTITION BY suffix ORDER BY n DESC, cut, add) AS place FROM spoken)
+  WHERE place = 1 AND n >= 3 AND n >= 0.5 * total)"""
+
+
+@query("lemma_rules", f"WITH {RULES} SELECT suffix, cut, add, n, total FROM rules")
+def lemma_rules(spark, sf):
+    return learn_rules(benchmark_lexicon(spark, sf))
+
+
+@query(
+    "lemmatize_all_terms",
+    f"""WITH {RULES},
+    placed AS (SELECT doc_id, generate_subscripts({WORDS}, 1) AS pos, unnest({WORDS}) AS token FROM documents),
+    unseen AS (SELECT DISTINCT token FROM placed WHERE token NOT IN (SELECT token FROM lexicon)),
+    guesses AS (
+      SELECT token, arg_max(left(token, length(token) - cut) || add, length(suffix)) AS lemma
+      FROM (SELECT token, unnest(range(1, length(token) + 1)) AS size FROM unseen) u JOIN rules ON suffix = right(token, size) GROUP BY token),
+    every AS (SELECT token, lemma FROM lexicon UNION ALL SELECT token, lemma FROM guesses WHERE lemma <> '')
+    SELECT d.doc_id, coalesce(string_agg(lemma, ' ' ORDER BY pos), '') AS lemmas
+    FROM documents d LEFT JOIN placed ON placed.doc_id = d.doc_id LEFT JOIN every ON every.token = placed.token
+    GROUP BY d.doc_id""",
+)
+def lemmatize_all_terms(spark, sf):
+    """Words outside the benchmark's vocabulary by the rules of their endings."""
+    return lemmatize_all(documents(spark, sf), benchmark_lexicon(spark, sf), key="doc_id").select("doc_id", "lemmas")
+
+
 NAME = "^[A-Z][a-z]{4,}$"
 
 
