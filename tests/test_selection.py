@@ -25,7 +25,7 @@ def rows(spark):
     return spark.createDataFrame(data, "id bigint, g string, x double").repartition(6).cache()
 
 
-@pytest.mark.parametrize("share, last", [(0.0, 3), (0.37, 40), (1.0, 1000)])
+@pytest.mark.parametrize("share, last", [(0.0, 3), (0.37, 10), (0.5, 1000), (1.0, 5)])
 def test_values_at_ranks(spark, rows, share, last):
     ranks = {g: max(1, int(len(xs) * share)) for g, xs in GROUPS.items()} | {"none": 1}
     table = spark.createDataFrame([(g, n) for g, n in ranks.items()], "g string, rank int")
@@ -42,7 +42,7 @@ def test_ranks_past_the_end_are_left_out(spark, rows):
     assert nth_values(rows, table.limit(0), "g", "x").count() == 0
 
 
-@pytest.mark.parametrize("n, last", [(40, 20), (1000, 1000)])
+@pytest.mark.parametrize("n, last", [(1, 5), (40, 20), (1000, 100), (5000, 1000)])
 def test_top_rows_of_each_group(spark, rows, n, last):
     found = {(r["g"], r["id"]) for r in top_n_selected(rows, "g", n, "x", "id", last=last).collect()}
     data = [(g, x, i) for i, (g, x) in enumerate((g, x) for g, xs in GROUPS.items() for x in xs)]
