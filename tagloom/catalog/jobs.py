@@ -311,6 +311,7 @@ def stream_scoring(spark, sf):
     """Score the files present now as a stream and read back what it appended."""
     output, checkpoint = staging_path(spark, "stream"), staging_path(spark, "progress")
     schema = table(spark, sf, "conversations").schema
-    stream = arriving_files(spark, sf, schema, pattern="conversations.parquet").select("conv_id", "turn", "text")
+    # a table is one file or a folder of part files; a stream takes either one by a pattern, but no path of a single file
+    stream = arriving_files(spark, f"{sf}/conversations.parque[t]", schema).select("conv_id", "turn", "text")
     score_arriving(stream, text_model(), output, checkpoint).awaitTermination()
     return spark.read.parquet(output).select("conv_id", "turn", "label")

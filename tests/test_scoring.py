@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tagloom.catalog import jobs
 from tagloom.operators import scoring as ops
 from tagloom.plans.csv_scoring import score_csv
 from tagloom.plans.evaluate import run_validation, validate_predictions
@@ -134,3 +135,16 @@ def test_the_stream_scores_missing_texts_as_the_batch_job_does(spark, tmp_path):
     score_arriving(stream, load_model, str(tmp_path / "o"), str(tmp_path / "p")).awaitTermination()
     got = {r.id: (r.text, r.label, r.error) for r in spark.read.parquet(str(tmp_path / "o")).collect()}
     assert got == {1: ("nan", 1, None), 2: ("long enough", 0, None)}
+
+
+def test_stream_query_reads_a_table_in_one_file_or_many(spark, tmp_path):
+    """A table of one file and one that is a folder of part files give the same rows."""
+    rows = [(i, i % 3, "user", f"some words {i}!") for i in range(40)]
+    table = spark.createDataFrame(rows, "conv_id bigint, turn int, role string, text string")
+    parts, single = tmp_path / "parts", tmp_path / "single"
+    table.repartition(3).write.parquet(str(parts / "conversations.parquet"))
+    table.coalesce(1).write.parquet(str(tmp_path / "whole"))
+    single.mkdir()
+    next((tmp_path / "whole").glob("part-*.parquet")).rename(single / "conversations.parquet")
+    found = [sorted(map(tuple, jobs.stream_scoring(spark, str(sf)).collect())) for sf in (parts, single)]
+    assert found[0] == found[1] and [r[:2] for r in found[0]] == sorted(r[:2] for r in rows)
