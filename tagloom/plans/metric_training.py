@@ -2,10 +2,13 @@
 
 The loss of a mini-batch is a weighted sum of masked cross-entropy and supervised contrastive loss. A step averages the
 gradients of many mini-batches, which tasks work out side by side: every epoch deals the rows to mini-batches by a seeded
-hash of their key and writes each mini-batch as one row, so a step reads just its own files and a mini-batch never spans
+hash of their key and writes each mini-batch as one row, so a step reads just its own folder and a mini-batch never spans
 two tasks. Tasks add up their gradients before anything is sent, sums meet in a tree, and the driver gets at most
 ``FAN`` of them, each the size of the parameters. It keeps the parameters and moments of AdamW and no data.
 
+A step waits for the one before. Where steps are so small (``STEP_BYTES``) that starting a job takes longer than the step,
+a task takes a run of them (``RUN_BYTES`` of vectors at most) one after the other and gives the state on to the next run.
+
 The key must be unique. Rows whose vector is missing, of another width or not finite are left out, and so are rows that
 neither mask selects. A mini-batch without a masked row has no loss. An interrupted training goes on from the last
 finished epoch and gives the same parameters up to rounding.
@@ -16,7 +19,7 @@ from __future__ import annotations
 import json
 import math
 from collections.abc import Iterator
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +36,9 @@ from tagloom.plans.evaluate import evaluate_batches, evaluate_embeddings
 from tagloom.sources import paths
 
 FAN = 64
+#: Steps over fewer bytes of vectors are taken in runs, by one task each; a run has at most ``RUN_BYTES``.
+STEP_BYTES = 2**20
+RUN_BYTES = 32 * 2**20
 SCHEDULES = ["constant", "linear", "cosine"]
 #: Scores the best epoch may be chosen by, and whether the lower one is better.
 SAVE_BEST_BY = {"loss": True, "accuracy": False, "f1": False, "knn_macro_f1": False, "recall_at_1": False}
@@ -187,6 +193,14 @@ _SUM_NAMES = [f.split()[0] for f in SUMS.split(", ")]
 _SUM_TYPES = [pa.int32(), pa.int64(), pa.float64(), pa.float64(), pa.binary()]
 
 
+def _members(members: pa.ListScalar) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Vectors, labels and masks of a mini-batch."""
+    rows = members.values
+    vectors = rows.field("vector").flatten().to_numpy(zero_copy_only=False).reshape(len(rows), -1)
+    masks = np.stack([rows.field(m).to_numpy(zero_copy_only=False) for m in MASKS], axis=1)
+    return vectors, rows.field("label").to_numpy(zero_copy_only=False), masks
+
+
 def step_gradient(batches: DataFrame, model: JointModel, settings: Settings) -> tuple[float, float, np.ndarray, int]:
     """Mean losses and gradient over mini-batches (``members``), and how many there were."""
     spark = batches.sparkSession
@@ -197,10 +211,7 @@ def step_gradient(batches: DataFrame, model: JointModel, settings: Settings) ->
         count, classified, contrast, total = 0, 0.0, 0.0, np.zeros(len(model.flat()))
         for pack in packs:
             for members in pack.column(0):
-                rows = members.values
-                vectors = rows.field("vector").flatten().to_numpy(zero_copy_only=False).reshape(len(rows), -1)
-                masks = np.stack([rows.field(m).to_numpy(zero_copy_only=False) for m in MASKS], axis=1)
-                a, b, gradient = batch_gradient(model, vectors, rows.field("label").to_numpy(zero_copy_only=False), masks, settings)
+                a, b, gradient = batch_gradient(model, *_members(members), settings)
                 count, classified, contrast = count + 1, classified + a, contrast + b
                 total += gradient
         if count:
@@ -262,6 +273,61 @@ class State:
         self.flat = self.flat - rate * mean / (np.sqrt(spread) + 1e-8)
 
 
+def steps_per_run(settings: Settings, dim: int) -> int:
+    """How many steps a task takes in a row; 1 where a step is worth many tasks."""
+    size = 8 * dim * settings.batch_rows * settings.batches_per_step
+    return max(1, RUN_BYTES // size) if size < STEP_BYTES else 1
+
+
+RUN = "step int, flat binary, first binary, second binary, losses array<struct<classification: double, contrast: double, batches: bigint>>"
+
+
+def run_of_steps(batches: DataFrame, state: State, shape: JointModel, settings: Settings, steps: int) -> list[tuple[float, float, int]]:
+    """Take the steps of a run of mini-batches (``step``, ``batch``, ``members``) in order; mean losses of each step.
+
+    ``state`` is brought up to date; ``steps`` counts those of an epoch.
+    """
+    spark = batches.sparkSession
+    shared = spark.sparkContext.broadcast((State(state.flat, state.first, state.second, step=state.step), shape, settings))
+
+    def run(packs: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        given, shape, settings = shared.value
+        state = replace(given)
+        losses, current, count, classified, contrast, total = [], None, 0, 0.0, 0.0, np.zeros(len(state.flat))
+
+        def finish():
+            losses.append({"classification": classified / count, "contrast": contrast / count, "batches": count})
+            state.update(total / count, learning_rate(settings, state.step, steps * settings.epochs), settings)
+
+        for pack in packs:
+            for step, members in zip(pack.column(0).to_pylist(), pack.column(1), strict=True):
+                if step != current:
+                    if count:
+                        finish()
+                    current, count, classified, contrast, total = step, 0, 0.0, 0.0, np.zeros(len(state.flat))
+                a, b, gradient = batch_gradient(shape.like(state.flat), *_members(members), settings)
+                count, classified, contrast, total = count + 1, classified + a, contrast + b, total + gradient
+        if count:
+            finish()
+            arrays = [a.tobytes() for a in (state.flat, state.first, state.second)]
+            row = dict(zip(("step", "flat", "first", "second", "losses"), (state.step, *arrays, losses), strict=True))
+            yield pa.RecordBatch.from_pylist([row], schema=names)
+
+    names = pa.schema(
+        [("step", pa.int32()), *[(n, pa.binary()) for n in ("flat", "first", "second")]]
+        + [("losses", pa.list_(pa.struct([("classification", pa.float64()), ("contrast", pa.float64()), ("batches", pa.int64())])))]
+    )
+    ordered = batches.coalesce(1).sortWithinPartitions("step", "batch").select("step", "members")  # a run, never an epoch
+    try:
+        done = ordered.mapInArrow(run, RUN).collect()  # one row or none
+    finally:
+        shared.destroy()
+    for row in done:
+        state.step = row["step"]
+        state.flat, state.first, state.second = (np.frombuffer(bytes(row[n]), np.float64) for n in ("flat", "first", "second"))
+    return [tuple(loss) for row in done for loss in row["losses"]]
+
+
 STATE = "epoch int, step int, flat binary, first binary, second binary, best binary, best_epoch int, log string, settings string"
 
 
@@ -398,6 +464,7 @@ def train_joint(
         require_in_range(table, ["label"], classes)
     batches = max(1, -(-total // settings.batch_rows))
     steps = -(-batches // settings.batches_per_step)
+    in_run = steps_per_run(settings, dim)
     parts = max(1, -(-judged.count() // settings.batch_rows))
     judged = judged.withColumn("batch_id", F.pmod(F.xxhash64(F.lit(settings.seed), "key"), F.lit(parts)))
     judged = staged(judged, "validation_rows")
@@ -408,12 +475,21 @@ def train_joint(
     while state.epoch < settings.epochs and state.epoch != stop_after:
         seed = settings.seed * 1_000_003 + state.epoch
         folder = staging_path(spark, "mini_batches")
-        deal(rows, batches, settings.batches_per_step, seed).write.partitionBy("step").parquet(folder)
+        dealt = deal(rows, batches, settings.batches_per_step, seed).withColumn("run", F.floor(F.col("step") / F.lit(in_run)).cast("int"))
+        dealt.write.partitionBy("run").parquet(folder)
+        schema = dealt.drop("run").schema
+        # a run without rows has no folder; listing one folder a run, not all of them, keeps the work of a step the same
+        filled = set(paths.names(spark, folder))
         losses = []
-        for step in range(steps):
+        for number in range(-(-steps // in_run)):
+            if f"run={number}" not in filled:
+                continue
+            run = spark.read.schema(schema).parquet(f"{folder}/run={number}")
+            if in_run > 1:
+                losses += run_of_steps(run, state, shape, settings, steps)
+                continue
             rate = learning_rate(settings, state.step, steps * settings.epochs)
-            dealt = spark.read.parquet(folder).filter(F.col("step") == step)
-            classified, contrast, gradient, count = step_gradient(dealt, shape.like(state.flat), settings)
+            classified, contrast, gradient, count = step_gradient(run, shape.like(state.flat), settings)
             if count:
                 losses.append((classified, contrast, count))
                 state.update(gradient, rate, settings)

@@ -93,6 +93,20 @@ def test_training_learns_and_resumes(spark, rows, tmp_path):
     assert whole.log_table(spark).count() == 3
 
 
+def test_small_steps_in_runs_give_the_same_model(spark, rows, monkeypatch):
+    """One job for many small steps, in runs of any length, ends where a job for each step does."""
+    late, options, found = F.col("vec_id") % 4 == 0, dict(settings=SETTINGS, dim=6), {}
+    size = 8 * 6 * SETTINGS.batch_rows * SETTINGS.batches_per_step
+    for name, step_bytes, run_bytes in (("single", 0, 0), ("short", 2**20, 3 * size), ("long", 2**20, 2**25)):
+        monkeypatch.setattr(joint, "STEP_BYTES", step_bytes)
+        monkeypatch.setattr(joint, "RUN_BYTES", run_bytes)
+        found[name] = joint.train_joint(rows.filter(~late), rows.filter(late), **options)
+    for name in ("short", "long"):
+        assert np.allclose(found[name].last.flat(), found["single"].last.flat(), atol=1e-9)
+        for ours, theirs in zip(found[name].log, found["single"].log, strict=True):
+            assert math.isclose(ours["train_metric_loss"], theirs["train_metric_loss"], rel_tol=1e-9)
+
+
 def test_projection_of_invalid_vectors(spark, rows):
     model = JointModel.start(6, 3, 2, 1)
     got = {r["vec_id"]: r for r in joint.project(rows, model).collect()}
