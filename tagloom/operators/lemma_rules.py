@@ -7,12 +7,15 @@ most pairs speak for. A word takes the rule of its longest ending that has one.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagloom.checks import require_columns, require_positive
 from tagloom.operators.lexicon import MAX_LEXICON_ROWS, lemmatize, tokens
-from tagloom.operators.sizing import small_or_whole, staged
+from tagloom.operators.sizing import small_or_whole, small_rows, staged
 
 CONTEXT = 4
 MIN_SUPPORT = 3
@@ -57,6 +60,21 @@ def guess_lemmas(words: DataFrame, rules: DataFrame) -> DataFrame:
     return best.select("token", lemma.alias("lemma")).filter("lemma <> ''")
 
 
+def guesser(rules: pa.Table) -> Callable[[str], str | None]:
+    """A function from a word to what the rule of its longest ending makes of it, as ``guess_lemmas`` does."""
+    change = {r["suffix"]: (r["cut"], r["add"]) for r in rules.to_pylist() if None not in r.values()}
+    longest = max(map(len, change), default=0)
+
+    def guess(word: str) -> str | None:
+        for size in range(min(len(word), longest), 0, -1):
+            rule = change.get(word[-size:])
+            if rule is not None:
+                return word[: max(0, len(word) - rule[0])] + rule[1] or None
+        return None
+
+    return guess
+
+
 def lemmatize_all(
     rows: DataFrame,
     lexicon: DataFrame,
@@ -69,14 +87,21 @@ def lemmatize_all(
 ) -> DataFrame:
     """Lemmas of each text where words outside the lexicon go by ``rules``, learned from it unless given.
 
-    Guesses are made once per distinct word. Words the lexicon has no lemma for, and words without a rule, are left out.
+    Words the lexicon has no lemma for, and words without a rule, are left out. A lexicon and rules of bounded size travel
+    with the tasks, which guess where the text lies; else guesses are made once per distinct word and joined.
     """
     require_columns(rows, [key, text], "texts")
+    require_columns(lexicon, ["token", "lemma"], "lexicon")
+    lexicon = staged(lexicon.select("token", "lemma"), "lexicon")
     rules = staged(learn_rules(lexicon) if rules is None else rules, "rules")
+    options = dict(key=key, text=text, out=out, max_lexicon_rows=max_lexicon_rows)
+    few = small_rows(rules.select("suffix", "cut", "add"))
+    if few is not None and small_rows(lexicon, max_lexicon_rows) is not None:
+        return lemmatize(rows, lexicon, guess=guesser(few), **options)
     words = rows.select(F.explode(tokens(F.col(text))).alias("token")).distinct()
     unseen = words.join(small_or_whole(lexicon.select("token"), max_lexicon_rows), "token", "left_anti")
-    whole = lexicon.select("token", "lemma").unionByName(guess_lemmas(unseen, rules))
-    return lemmatize(rows, staged(whole, "lemmas"), key=key, text=text, out=out, max_lexicon_rows=max_lexicon_rows)
+    whole = lexicon.unionByName(guess_lemmas(unseen, rules))
+    return lemmatize(rows, staged(whole, "lemmas"), **options)
 
 
 def held_out_share(lexicon: DataFrame, *, folds: int = 5, **options) -> DataFrame:

@@ -7,6 +7,8 @@ tokens, whose frequent values skew handling splits.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -35,8 +37,12 @@ def lemmatize(
     text: str = "text",
     out: str = "lemmas",
     max_lexicon_rows: int = MAX_LEXICON_ROWS,
+    guess: Callable[[str], str | None] | None = None,
 ) -> DataFrame:
-    """Lemmas of each text joined by one space, in order; tokens without a lemma are left out."""
+    """Lemmas of each text joined by one space, in order; tokens without a lemma are left out.
+
+    ``guess`` gives the lemma of a token that the lexicon does not list; it needs a lexicon of bounded size.
+    """
     require_columns(rows, [key, text], "texts")
     require_columns(lexicon, ["token", "lemma"], "lexicon")
     known = small_rows(lexicon.select("token", "lemma"), max_lexicon_rows)
@@ -44,20 +50,28 @@ def lemmatize(
     if known is not None:
         if pc.count_distinct(known["token"], mode="all").as_py() != known.num_rows:
             raise ValueError("lexicon holds more than one row for some token")
-        known = known.filter(pc.greater(pc.utf8_length(known["lemma"]), 0))
         forms, lemma_of = (known[c].cast(pa.string()).combine_chunks() for c in ("token", "lemma"))
 
         @F.arrow_udf("string")
         def lemmas(batch: pa.Array) -> pa.Array:
             split = pc.split_pattern(batch.cast(pa.string()), " ")
-            place = pc.index_in(split.flatten(), value_set=forms)
-            found = place.is_valid().to_numpy(zero_copy_only=False)
+            flat = split.flatten().dictionary_encode()  # each different word is looked up once
+            place = pc.index_in(flat.dictionary, value_set=forms)
+            lemma = lemma_of.take(place)
+            if guess is not None:
+                guessed = [guess(word) for word in flat.dictionary.filter(place.is_null()).to_pylist()]
+                lemma = pc.replace_with_mask(lemma, place.is_null(), pa.array(guessed, pa.string()))
+            told = lemma.take(flat.indices)
+            told = pc.if_else(pc.greater(pc.utf8_length(told), 0), told, None)
+            found = told.is_valid().to_numpy(zero_copy_only=False)
             ends = np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))
             kept = np.concatenate([[0], np.cumsum(found)])
             offsets = np.concatenate([[0], kept[ends]]).astype(np.int32)
-            return pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), lemma_of.take(place.drop_null())), " ")
+            return pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), told.drop_null()), " ")
 
         return rows.withColumn(out, lemmas(F.array_join(words, " ")))
+    if guess is not None:
+        raise ValueError(f"a lexicon of more than {max_lexicon_rows} rows takes no guesses")
     exploded = rows.select(key, F.posexplode(words).alias("_pos", "token"))
     found = lookup_join(exploded, lexicon.select("token", "lemma"), "token", "inner", "lexicon", max_lexicon_rows)
     found = found.filter(F.length("lemma") > 0)
