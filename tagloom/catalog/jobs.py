@@ -160,15 +160,19 @@ BROKEN = """text || ' "' || chr(10) || turn || '", ' || chr(10) || chr(10)"""
 @query("csv_byte_ranges", f"SELECT conv_id || '-' || turn AS \"ID\", md5({BROKEN}) AS text FROM conversations")
 def csv_byte_ranges(spark, sf):
     """One CSV with quotes and line breaks in every cell, read by ranges much smaller than the file."""
-    path, setting = staging_path(spark, "ranges") + ".csv", "spark.sql.files.maxPartitionBytes"
+    path = staging_path(spark, "ranges") + ".csv"
+    # ranges stay small while a file grows; a task then reads many of them
+    settings = {"spark.sql.files.maxPartitionBytes": "16k", "spark.sql.files.maxPartitionNum": str(4 * spark.sparkContext.defaultParallelism)}
     rows = table(spark, sf, "conversations").select(F.concat_ws("-", "conv_id", "turn").alias("ID"), F.expr(BROKEN).alias("text"))
     write_csv(rows.coalesce(1), path)
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "16k")
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
     try:
         found = staged(read_scoring_csv(spark, path), "records")
     finally:
-        spark.conf.set(setting, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
     return found.select("ID", F.md5("text").alias("text"))
 
 
