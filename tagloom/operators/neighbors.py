@@ -21,9 +21,10 @@ from tagloom.functions.vectors import is_valid_vector
 from tagloom.operators.metrics import classification_metrics
 from tagloom.operators.sizing import lookup_join, small_or_whole, small_rows, staged
 
-CELL_BYTES = 64 * 2**20
+# A task holds about ten arrays the size of a cell's side or of a slice, so both stay far below a worker's memory.
+CELL_BYTES = 16 * 2**20
 MIN_CELL_ROWS = 4096
-SLICE_ENTRIES = 8 * 2**20
+SLICE_ENTRIES = 2**20
 CENTROID_BYTES = 64 * 2**20
 ROUNDING = 16 * np.finfo(np.float64).eps
 

@@ -69,7 +69,7 @@ class Cells:
         order = np.argsort(far, axis=1, kind="stable")
         enough = np.cumsum(self.sizes[order], axis=1) < k
         stop = np.minimum(enough.sum(axis=1) + 1, (self.sizes > 0).sum())
-        return [row[:n] for row, n in zip(order, stop, strict=True)]
+        return [row[:n].astype(np.int32) for row, n in zip(order, stop, strict=True)]
 
     def others(self, points: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """Which cells may hold a vector within each point's bound."""
@@ -161,7 +161,7 @@ def pivot_neighbors(
         bounds = bounds.fill_null(math.inf).to_numpy(zero_copy_only=False)
         for start in range(0, len(vectors), step):
             may = cells.others(_matrix(vectors.slice(start, step), dim), bounds[start : start + step])
-            found += [np.flatnonzero(row) for row in may]
+            found += [np.flatnonzero(row).astype(np.int32) for row in may]
         return _lists(found)
 
     search = cell_search(k, dim, "l2", ["_q"], ["_b"])
