@@ -5,6 +5,7 @@ from collections import Counter
 
 import pytest
 
+from tagloom.operators import lemma_rules
 from tagloom.operators.lemma_rules import guess_lemmas, held_out_share, learn_rules, lemmatize_all
 
 STEMS = "walk talk jump call help ask open plant start play turn work".split()
@@ -70,3 +71,19 @@ def test_words_held_out(lexicon):
     row = held_out_share(lexicon).first()
     assert (row["pairs"], row["guessed"]) == (len(late), sum(g != "" for g in guesses.values()))
     assert row["right"] == sum(guesses[t] == m for t, m in late) > 0
+
+
+def test_guesses_beside_the_texts_equal_those_of_a_join(spark, monkeypatch):
+    """A small lexicon and its rules need no table of all words, and give what such a table gives."""
+    pairs = [(f"{w}s", w) for w in ("cat", "dog", "bird", "tree", "song")] + [("nothing", ""), ("none", None), ("is", "be")]
+    lexicon = spark.createDataFrame(pairs, "token string, lemma string")
+    texts = [(1, "Cats and horses, nothing none"), (2, ""), (3, None), (4, "s is WOLVES birds s's")]
+    rows = spark.createDataFrame(texts, "id bigint, text string")
+    joined = {r["id"]: r["lemmas"] for r in lemmatize_all(rows, lexicon, key="id", max_lexicon_rows=1).collect()}
+
+    def refused(*_):
+        raise AssertionError("the words of all texts were listed")
+
+    monkeypatch.setattr(lemma_rules, "guess_lemmas", refused)
+    near = {r["id"]: r["lemmas"] for r in lemmatize_all(rows, lexicon, key="id").collect()}
+    assert near == joined and near[1] == "cat horse" and near[2] == near[3] == ""
