@@ -131,3 +131,10 @@ def test_nested_class_holds_the_same_characters(spark):
     rows = spark.range(0x20, 0x3100).selectExpr("int(id) AS p", "decode(unhex(lpad(hex(id), 4, '0')), 'UTF-16BE') AS c")
     got = {r.p for r in rows.filter(F.col("c").rlike(t._search_class(ranges))).collect()}
     assert got == {p for a, b in ranges for p in range(a, b + 1)}
+
+
+def test_a_run_of_control_characters_is_one_match(spark):
+    """Runs go in one piece, however they are mixed, and new characters between them stay."""
+    row = spark.range(1).select(F.lit("a\u200b\x07\xadb\U0001fae0\u200bc\n\t").alias("t"))
+    found = row.select(F.regexp_count("t", F.lit(t._control())).alias("n"), t.strip_control(F.col("t")).alias("t")).first()
+    assert tuple(found) == (2, "ab\U0001fae0c\n\t")
