@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+from tagloom.catalog import jobs
 from tagloom.sources import split_csv
 from tagloom.sources.tables import read_csv, write_csv
 
@@ -80,3 +81,19 @@ def test_only_large_files_are_split(spark, tmp_path, small_ranges):
     large.write_text("a\n" + "1\n" * 100)
     assert not split_csv.worth_splitting(spark, str(small)) and split_csv.worth_splitting(spark, str(large))
     assert read_csv(spark, str(large)).count() == 100
+
+
+def test_tasks_do_not_grow_with_the_ranges(spark, tmp_path, monkeypatch):
+    """A large file in small ranges is read by a bounded number of tasks, and the settings are put back."""
+    rows = [(i, 0, "user", f"text {i} " + "x" * 600) for i in range(2000)]
+    spark.createDataFrame(rows, "conv_id bigint, turn int, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    setting, tasks = "spark.sql.files.maxPartitionNum", []
+
+    def counted(spark, path, read=jobs.read_scoring_csv):
+        tasks.append(split_csv._lines(spark, path).rdd.getNumPartitions())
+        return read(spark, path)
+
+    before = spark.conf.get(setting, None)
+    monkeypatch.setattr(jobs, "read_scoring_csv", counted)
+    assert jobs.csv_byte_ranges(spark, str(tmp_path)).distinct().count() == len(rows)
+    assert 1 < tasks[0] <= 5 * spark.sparkContext.defaultParallelism and spark.conf.get(setting, None) == before
