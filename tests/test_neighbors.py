@@ -158,3 +158,9 @@ def test_contrastive_loss(spark, cell_rows):
     masked = rows.withColumn("mask", (F.col("vec_id") < 30).cast("double"))
     got = {r.batch_id: r.metric_loss for r in ops.contrastive_loss(masked, cell_rows=cell_rows).collect()}
     assert got[0] == pytest.approx(loss_by_hand(x[:30], BANK_LABELS[:30], 0.1)) and got[1] == 0.0
+
+
+def test_cells_and_slices_stay_small_at_any_size():
+    for rows in (10**4, 10**6, 10**9):
+        assert ops.rows_per_cell(rows, rows, 64, 12) * 64 * 8 <= 16 * 2**20
+    assert ops.SLICE_ENTRIES * 8 <= 8 * 2**20
