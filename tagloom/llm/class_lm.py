@@ -102,8 +102,9 @@ class Vocabulary:
     def symbols(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Number of each word in the list or -1, and its symbol: itself if clustered, else its form."""
         place = pc.fill_null(pc.index_in(words, value_set=self.words), -1).to_numpy(zero_copy_only=False).astype(np.int64)
-        own = (place >= 0) & (place < self.clustered)
-        return place, np.where(own, place, self.clustered + forms(words))
+        symbols, rest = place.copy(), np.flatnonzero((place < 0) | (place >= self.clustered))
+        symbols[rest] = self.clustered + forms(words.take(pa.array(rest)))
+        return place, symbols
 
 
 def with_ends(values: np.ndarray, rows: np.ndarray, size: int, end: int) -> tuple[np.ndarray, np.ndarray]:
@@ -152,13 +153,20 @@ def _one_side(counts: np.ndarray, across: np.ndarray, own: np.ndarray, matrix: n
     """
     word, other = np.nonzero(counts)
     n = counts[word, other]
-    base = matrix[:movable, other].T.astype(float)
-    at_own = other == own[word]
-    base[at_own] -= across[word[at_own], :movable]
-    inside = np.flatnonzero(own[word] < movable)
-    base[inside, own[word[inside]]] -= n[inside]
+    # most words meet a class once or twice: what a class and a count give is worked out once for all of them
+    kinds, which = np.unique(n.astype(np.int64) * len(matrix) + other, return_inverse=True)
+    more, base = (kinds // len(matrix))[:, None], matrix[:movable, kinds % len(matrix)].T.astype(float)
+    gained = (_xlogx(base + more) - _xlogx(base))[which]
+    # but for cells that hold the word itself
+    inside = np.flatnonzero((own[word] < movable) & (other != own[word]))
+    base = np.maximum(matrix[own[word[inside]], other[inside]] - n[inside], 0)
+    gained[inside, own[word[inside]]] = _xlogx(base + n[inside]) - _xlogx(base)
+    at_own = np.flatnonzero(other == own[word])
+    base = matrix[:movable, other[at_own]].T - across[word[at_own], :movable]
+    mine = np.flatnonzero(own[word[at_own]] < movable)
+    base[mine, own[word[at_own[mine]]]] -= n[at_own[mine]]
     base = np.maximum(base, 0)
-    gained = _xlogx(base + n[:, None]) - _xlogx(base)
+    gained[at_own] = _xlogx(base + n[at_own, None]) - _xlogx(base)
     out = np.zeros((len(counts), movable))
     if len(word):
         first = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
@@ -215,16 +223,21 @@ def neighbours(pairs: DataFrame) -> DataFrame:
     return staged(rows.mapInArrow(pack, "word int, links binary, counts binary"), "neighbours")
 
 
-def _profiles(batch: pa.RecordBatch, of: np.ndarray, total: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Symbols of a batch, some at a time, with their counts of classes before and after them."""
+def _links(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Symbols of a batch, some at a time, with their links, how often each occurs, and the place of its symbol."""
     for start, stop in ((k, min(k + CHUNK, len(batch))) for k in range(0, len(batch), CHUNK)):
         links, counts = (b"".join(batch.column(i).slice(start, stop - start).to_pylist()) for i in (1, 2))
         links, counts = np.frombuffer(links, "<i4"), np.frombuffer(counts, "<i8")
         sizes = pc.binary_length(batch.column(1).slice(start, stop - start)).to_numpy(zero_copy_only=False) // 4
-        row = np.repeat(np.arange(stop - start), sizes)
+        yield batch.column(0).slice(start, stop - start).to_numpy(zero_copy_only=False), links, counts, np.repeat(np.arange(stop - start), sizes)
+
+
+def _profiles(batch: pa.RecordBatch, of: np.ndarray, total: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Symbols of a batch, some at a time, with their counts of classes before and after them."""
+    for words, links, counts, row in _links(batch):
         place = (row * 2 + (links & 1)) * total + of[links >> 1]
-        seen = np.bincount(place, counts, (stop - start) * 2 * total).reshape(-1, 2, total)
-        yield batch.column(0).slice(start, stop - start).to_numpy(zero_copy_only=False), seen[:, 0], seen[:, 1]
+        seen = np.bincount(place, counts, len(words) * 2 * total).reshape(-1, 2, total)
+        yield words, seen[:, 0], seen[:, 1]
 
 
 CHUNK = 512
@@ -235,12 +248,13 @@ def class_matrix(rows: DataFrame, of: np.ndarray, total: int) -> np.ndarray:
     shared = rows.sparkSession.sparkContext.broadcast(of)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of, sums = shared.value, np.zeros((total, total))
+        of, sums = shared.value, np.zeros(total * total)
         for batch in batches:
-            for words, _, after in _profiles(batch, of, total):
-                np.add.at(sums, of[words], after)
+            for words, links, counts, row in _links(batch):
+                after = np.flatnonzero(links & 1)
+                sums += np.bincount(of[words[row[after]]] * total + of[links[after] >> 1], counts[after], total * total)
         cells = np.flatnonzero(sums)
-        yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(sums.ravel()[cells])], names=["cell", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(sums[cells])], names=["cell", "n"])
 
     cells = rows.mapInArrow(run, "cell bigint, n double").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     matrix = np.zeros(total * total)

@@ -166,6 +166,22 @@ def test_gains_of_many_words_are_those_of_each():
             assert math.isclose(gain[w], max(want) - want[own[w]], abs_tol=1e-9)
 
 
+def test_logarithms_grow_with_kinds_of_counts_not_with_words(monkeypatch):
+    """Words that meet the same classes as often share the work; forms are looked at for words outside the clustered ones only."""
+    rng, seen = np.random.default_rng(6), []
+    matrix = rng.integers(30, 90, (9, 9)).astype(float)
+    after, before = rng.integers(0, 3, (400, 9)).astype(float), rng.integers(0, 3, (400, 9)).astype(float)
+    real = class_lm._xlogx
+    monkeypatch.setattr(class_lm, "_xlogx", lambda x: seen.append(x.size) or real(x))
+    class_lm.best_classes(after, before, rng.integers(0, 9, 400), matrix, 6)
+    every = 2 * 6 * (np.count_nonzero(after) + np.count_nonzero(before))
+    assert sum(seen) < every / 2
+    asked = []
+    monkeypatch.setattr(class_lm, "forms", lambda words: asked.extend(words.to_pylist()) or np.zeros(len(words), np.int64))
+    place, symbols = class_lm.Vocabulary(pa.array(["a", "b", "c"]), np.array([5, 4, 1]), 2).symbols(pa.array(["b", "x", "a", "c"]))
+    assert asked == ["x", "c"] and place.tolist() == [1, -1, 0, 2] and symbols.tolist() == [1, 2, 0, 2]
+
+
 def test_every_frequent_word_is_exchanged(spark):
     """All words that occur twice are in exchanged classes, those of the core parted by what stands beside them."""
     df = spark.createDataFrame([(k, t) for k, t in corpus(8, 400) if k is not None and k < 400], "doc_id bigint, text string")
