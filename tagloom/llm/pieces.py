@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tagloom.llm.batches import append_columns, bound_batches
+from tagloom.llm.batches import append_columns, bound_batches, kept_by_worker
 
 BLANK = "▁"
 DROPOUT, SEED, VARIANTS = 0.1, 1, 4
@@ -257,7 +257,7 @@ def bytes_of_pieces(content: bytes) -> np.ndarray:
     return np.array(out, object)
 
 
-@lru_cache(maxsize=2)
+@kept_by_worker(maxsize=2)
 def _loaded(content: bytes) -> PieceModel:
     return PieceModel(content)
 
@@ -328,7 +328,7 @@ def encode(
         offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
         return [pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32()))]
 
-    return append_columns(named, text, [T.StructField("pieces", T.ArrayType(T.IntegerType()))], compute).drop("_variant")
+    return append_columns(named, text, [T.StructField("pieces", T.ArrayType(T.IntegerType()))], compute, _loaded).drop("_variant")
 
 
 def decode_slice(words: np.ndarray, ids: pa.ListArray) -> list[str]:

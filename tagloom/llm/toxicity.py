@@ -22,7 +22,6 @@ import re
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tagloom.llm.batches import ALNUM, BLANKS, append_columns, bound_batches, plain, row_slices, split_words
+from tagloom.llm.batches import ALNUM, BLANKS, append_columns, bound_batches, forget, kept_by_worker, plain, row_slices, split_words
 from tagloom.llm.decontaminate import WORD
 
 #: Labelled rows the model is fitted on at most, those whose keys hash lowest.
@@ -244,9 +243,9 @@ class LexiconAutomaton:
         return found
 
 
-@lru_cache(maxsize=1)
+@kept_by_worker(maxsize=1)
 def _automata(terms: tuple[str, ...], weights: tuple[float, ...], size: int) -> list[LexiconAutomaton]:
-    """Those of a lexicon, once per worker: fitting and scoring share the states they have made."""
+    """Those of a lexicon, once per worker: fitting and scoring share the states they have made, other operators drop them."""
     return [LexiconAutomaton([*terms[k : k + size]], [*weights[k : k + size]]) for k in range(0, len(terms), size)]
 
 
@@ -357,6 +356,7 @@ def _word_counts(labelled: DataFrame) -> DataFrame:
     """Documents and toxic documents that hold a word, combined per batch before the shuffle."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             texts = plain(batch.column(0))
             toxic = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -429,7 +429,7 @@ def fit(
     def compute(texts: pa.Array, _: pa.RecordBatch) -> list:
         return [list(features(shared.value, texts))]
 
-    rows = append_columns(labelled, "text", [T.StructField("x", T.ArrayType(T.DoubleType()))], compute)
+    rows = append_columns(labelled, "text", [T.StructField("x", T.ArrayType(T.DoubleType()))], compute, _automata)
     training = rows.select(array_to_vector("x").alias("features"), F.col("_label").cast("double").alias("label")).cache()
     fitted = LogisticRegression(maxIter=50, regParam=1e-3).fit(training)
     training.unpersist()
@@ -447,4 +447,4 @@ def score(df: DataFrame, model: ToxicityModel, text: str = "text") -> DataFrame:
         with np.errstate(over="ignore"):
             return [1 / (1 + np.exp(-margin))]
 
-    return append_columns(df, text, [T.StructField("score", T.DoubleType())], compute)
+    return append_columns(df, text, [T.StructField("score", T.DoubleType())], compute, _automata)

@@ -5,8 +5,9 @@ import re
 import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import types as T
 
-from tagloom.llm import batches
+from tagloom.llm import batches, toxicity
 from tagloom.llm.batches import ALNUM, BLANKS, append_columns, plain, row_slices, split_words
 
 TEXTS = st.lists(st.one_of(st.none(), st.text(alphabet=st.sampled_from("aZ09 .-_\t\n\x0b\x0c\r\x1c\x85\xa0éß漢🫠\x00/:@[`{\x7f"), max_size=30)), max_size=8)
@@ -53,3 +54,21 @@ def test_the_bound_on_batches_is_lowered_only(spark):
         batches.bound_batches(spark)
         assert spark.conf.get(batches._BATCH_SETTING) == left
     spark.conf.set(batches._BATCH_SETTING, before)
+
+
+def test_workers_let_go_of_what_other_operators_kept(spark):
+    """Automata of a lexicon and loaded piece models stay with a worker only while it runs their own operator."""
+    texts = spark.range(64, numPartitions=8).selectExpr("id", "'some text' AS text")
+
+    def held(keeps, make):
+        def compute(rows, _):
+            if make:
+                toxicity._automata(("word",), (1.0,), 400)
+            return [[toxicity._automata.cache_info().currsize] * len(rows)]
+
+        rows = append_columns(texts, "text", [T.StructField("held", T.LongType())], compute, *keeps)
+        return {r["held"] for r in rows.select("held").collect()}
+
+    assert held([toxicity._automata], True) == {1}
+    assert 1 in held([toxicity._automata], False)
+    assert held([], False) == {0}
