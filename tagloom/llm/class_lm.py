@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tagloom.llm.batches import BLANKS, append_columns, bound_batches, plain, row_slices, split_words
+from tagloom.llm.batches import BLANKS, append_columns, bound_batches, layout, plain, row_slices, split_words
 from tagloom.operators.sizing import staged
 
 LISTED, LISTED_BYTES = 1 << 18, 64
@@ -46,6 +46,13 @@ PRICE = 3.0
 PATIENCE = 1e-6
 PRIOR = 5.0
 FORMS = 16
+#: Pairs of symbols are shuffled and stored in blocks of about so many, since a row for each costs more than its count.
+BLOCK = 1 << 19
+#: Of a block, a row has at most so many: Parquet's pages hold 100 rows and more, and are compressed outside the heap.
+ROW = 1 << 12
+BLOCKS = "part int, pairs binary, counts binary"
+#: An odd number, so that multiplying 64-bit numbers by it can be undone.
+MIX = 0x9E3779B97F4A7C15
 _SIZES = np.array([4, 8, 12])
 
 
@@ -113,23 +120,94 @@ def with_ends(values: np.ndarray, rows: np.ndarray, size: int, end: int) -> tupl
     return np.insert(values, at, end), np.insert(rows, at, np.arange(size))
 
 
-def bigrams(texts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """Counts ``n`` of symbol ``b`` after ``a`` over all texts, combined per slice before the shuffle."""
+def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A number per pair of symbols, spread evenly over 64 bits; ``_parted`` is the way back."""
+    return (a.astype(np.uint64) << 32 | b.astype(np.uint64)) * np.uint64(MIX)
+
+
+def _parted(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    pairs = codes * np.uint64(pow(MIX, -1, 1 << 64))
+    return (pairs >> 32).astype(np.int64), (pairs & 0xFFFFFFFF).astype(np.int64)
+
+
+def _numbers(column: pa.Array | pa.ChunkedArray, kind: str) -> np.ndarray:
+    """The numbers that a column holds as bytes, one row after another."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return np.frombuffer(layout(column)[1], kind)
+
+
+def _rows_of_bytes(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """A row of bytes for the numbers from each bound to the next."""
+    offsets = (bounds * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(values.tobytes())])
+
+
+def _starts(values: np.ndarray) -> np.ndarray:
+    """Where stretches of equal values begin."""
+    return np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])) if len(values) else np.zeros(0, np.int64)
+
+
+def _summed(codes: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes in order, and the sum of each."""
+    order = np.argsort(codes)
+    codes, n = codes[order], n[order]
+    first = _starts(codes)
+    return codes[first], np.add.reduceat(n, first) if len(first) else n
+
+
+def _dealt(codes: np.ndarray, n: np.ndarray, parts: int) -> Iterator[pa.RecordBatch]:
+    """Codes in order and their counts as blocks, each of them for one of ``parts`` parts."""
+    for start in range(0, len(codes), 32 * ROW):
+        some, counts = codes[start : start + 32 * ROW], n[start : start + 32 * ROW].astype("<i8")
+        part = ((some >> 32) * np.uint64(parts) >> 32).astype(np.int32)
+        first = np.union1d(_starts(part), np.arange(0, len(part), ROW))
+        bounds = np.append(first, len(part))
+        yield pa.RecordBatch.from_arrays([pa.array(part[first]), _rows_of_bytes(some, bounds), _rows_of_bytes(counts, bounds)], names=["part", "pairs", "counts"])
+
+
+def _combined(blocks: DataFrame, parts: int) -> DataFrame:
+    """Blocks in which every pair occurs once."""
+
+    def add(table: pa.Table) -> pa.Table:
+        return pa.Table.from_batches(_dealt(*_summed(_numbers(table["pairs"], "<u8"), _numbers(table["counts"], "<i8")), parts))
+
+    return blocks.groupBy("part").applyInArrow(add, BLOCKS)
+
+
+def parts_for(pairs: int) -> int:
+    """Parts for at most so many pairs, so that each of them has about ``BLOCK``."""
+    return pairs // BLOCK + 1
+
+
+def bigrams(texts: DataFrame, vocabulary: Vocabulary, parts: int = 1) -> DataFrame:
+    """Counts of symbol after symbol over all texts as blocks: bytes of mixed pairs and of their counts.
+
+    They are combined per slice before the shuffle, which moves a row per slice and part instead of one per pair.
+    """
     shared = texts.sparkSession.sparkContext.broadcast(vocabulary)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
-        width = known.end + 1
         for batch in batches:
             rows = plain(batch.column(0))
             for start, stop in row_slices(rows, 8 << 20):
                 words, row = split_words(rows.slice(start, stop - start), BLANKS)
                 stream, _ = with_ends(known.symbols(words)[1], row, stop - start, known.end)
-                pairs, n = np.unique(np.concatenate([[known.end], stream[:-1]]) * width + stream, return_counts=True)
-                columns = [pa.array((pairs // width).astype(np.int32)), pa.array((pairs % width).astype(np.int32)), pa.array(n)]
-                yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "n"])
+                pairs = _mixed(np.concatenate([[known.end], stream[:-1]]), stream)
+                yield from _dealt(*np.unique(pairs, return_counts=True), parts)
+
+    return _combined(texts.mapInArrow(count, BLOCKS), parts)
+
+
+def blocks_of(pairs: DataFrame) -> DataFrame:
+    """Blocks of a table with a row ``a``, ``b``, ``n`` per pair."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b, n = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            yield from _dealt(*_summed(_mixed(a, b), n), 1)
 
-    return texts.mapInArrow(count, "a int, b int, n bigint").groupBy("a", "b").agg(F.sum("n").alias("n"))
+    return pairs.select("a", "b", "n").mapInArrow(pack, BLOCKS)
 
 
 def _xlogx(x: np.ndarray) -> np.ndarray:
@@ -197,47 +275,63 @@ def best_class(after: np.ndarray, before: np.ndarray, own: int, matrix: np.ndarr
     return int(to[0]), float(gain[0])
 
 
-def neighbours(pairs: DataFrame) -> DataFrame:
-    """One staged row per symbol: the symbols beside it (times two, plus one where they come after it) and how often.
+def neighbours(pairs: DataFrame, parts: int = 1) -> DataFrame:
+    """One staged row per symbol: the symbols ``before`` and ``after`` it and how often, packed as bytes.
 
-    Both are packed as bytes, which every round reads again without taking them apart in the JVM.
+    ``pairs`` are blocks of ``bigrams`` or rows ``a``, ``b``, ``n``. Every round reads the bytes again without taking
+    them apart in the JVM.
     """
-    beside = pairs.select(F.col("a").alias("word"), (2 * F.col("b") + 1).alias("link"), "n").unionByName(
-        pairs.select(F.col("b").alias("word"), (2 * F.col("a")).alias("link"), "n")
-    )
-    # every symbol meets every other one at most twice, so a row is bounded by the number of symbols
-    rows = beside.groupBy("word").agg(F.collect_list(F.struct("link", "n")).alias("entries"))
+    blocks = blocks_of(pairs) if "a" in pairs.columns else pairs
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = batch.column(1)
-            entries, ends = lists.flatten(), np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))
-            columns = []
-            for name, kind in (("link", "<i4"), ("n", "<i8")):
-                data = entries.field(name).to_numpy(zero_copy_only=False).astype(kind).tobytes()
-                width = np.dtype(kind).itemsize
-                cuts = np.concatenate([[0], ends]) * width
-                columns.append(pa.array([data[x:y] for x, y in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["word", "links", "counts"])
-
-    return staged(rows.mapInArrow(pack, "word int, links binary, counts binary"), "neighbours")
-
-
-def _links(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Symbols of a batch, some at a time, with their links, how often each occurs, and the place of its symbol."""
-    for start, stop in ((k, min(k + CHUNK, len(batch))) for k in range(0, len(batch), CHUNK)):
-        links, counts = (b"".join(batch.column(i).slice(start, stop - start).to_pylist()) for i in (1, 2))
-        links, counts = np.frombuffer(links, "<i4"), np.frombuffer(counts, "<i8")
-        sizes = pc.binary_length(batch.column(1).slice(start, stop - start)).to_numpy(zero_copy_only=False) // 4
-        yield batch.column(0).slice(start, stop - start).to_numpy(zero_copy_only=False), links, counts, np.repeat(np.arange(stop - start), sizes)
+            a, b = _parted(_numbers(batch.column(0), "<u8"))
+            side, link = np.concatenate([2 * b, 2 * a + 1]), np.concatenate([a, b])
+            n = np.tile(_numbers(batch.column(1), "<i8"), 2)
+            part = ((side >> 1) * (MIX >> 32) & 0xFFFFFFFF) * parts >> 32
+            order = np.argsort(part.astype(np.uint16) if parts < 1 << 16 else part, kind="stable")
+            part = part[order].astype(np.int32)
+            first = _starts(part)
+            bounds = np.append(first, len(part))
+            columns = [_rows_of_bytes(x[order].astype(kind), bounds) for x, kind in ((side, "<i4"), (link, "<i4"), (n, "<i8"))]
+            yield pa.RecordBatch.from_arrays([pa.array(part[first]), *columns], names=["part", "sides", "links", "counts"])
+
+    def gather(table: pa.Table) -> pa.Table:
+        # every symbol meets every other one at most twice, so a row is bounded by the number of symbols
+        sides, links, n = (_numbers(table[name], kind) for name, kind in (("sides", "<i4"), ("links", "<i4"), ("counts", "<i8")))
+        order = np.argsort(sides)
+        sides, links, n = sides[order], links[order], n[order]
+        word = sides >> 1
+        word = word[_starts(word)]
+        columns = []
+        for side in (0, 1):
+            own = np.flatnonzero((sides & 1) == side)
+            bounds = np.append(np.searchsorted(sides[own], 2 * word), len(own))
+            columns += [_rows_of_bytes(links[own], bounds), _rows_of_bytes(n[own], bounds)]
+        rows = pa.table([pa.array(word), *columns], names=["word", "before", "before_n", "after", "after_n"])
+        return pa.Table.from_batches(rows.to_batches(CHUNK))
+
+    dealt = blocks.select("pairs", "counts").mapInArrow(deal, "part int, sides binary, links binary, counts binary")
+    rows = dealt.groupBy("part").applyInArrow(gather, "word int, before binary, before_n binary, after binary, after_n binary")
+    return staged(rows, "neighbours")
+
+
+def _links(links: pa.Array, counts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The links of some symbols, how often each occurs, and how many links each symbol has."""
+    sizes = pc.binary_length(links).to_numpy(zero_copy_only=False) // 4
+    return _numbers(links, "<i4"), _numbers(counts, "<i8"), sizes
 
 
 def _profiles(batch: pa.RecordBatch, of: np.ndarray, total: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Symbols of a batch, some at a time, with their counts of classes before and after them."""
-    for words, links, counts, row in _links(batch):
-        place = (row * 2 + (links & 1)) * total + of[links >> 1]
-        seen = np.bincount(place, counts, len(words) * 2 * total).reshape(-1, 2, total)
-        yield words, seen[:, 0], seen[:, 1]
+    for start in range(0, len(batch), CHUNK):
+        some = batch.slice(start, CHUNK)
+        seen = []
+        for column in (1, 3):
+            links, counts, sizes = _links(some.column(column), some.column(column + 1))
+            place = np.repeat(np.arange(len(some)) * total, sizes) + of[links]
+            seen.append(np.bincount(place, counts, len(some) * total).reshape(-1, total))
+        yield some.column(0).to_numpy(zero_copy_only=False), *seen
 
 
 CHUNK = 512
@@ -250,13 +344,13 @@ def class_matrix(rows: DataFrame, of: np.ndarray, total: int) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of, sums = shared.value, np.zeros(total * total)
         for batch in batches:
-            for words, links, counts, row in _links(batch):
-                after = np.flatnonzero(links & 1)
-                sums += np.bincount(of[words[row[after]]] * total + of[links[after] >> 1], counts[after], total * total)
+            links, counts, sizes = _links(batch.column(1), batch.column(2))
+            place = np.repeat(of[batch.column(0).to_numpy(zero_copy_only=False)] * total, sizes) + of[links]
+            sums += np.bincount(place, counts, total * total)
         cells = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(sums[cells])], names=["cell", "n"])
 
-    cells = rows.mapInArrow(run, "cell bigint, n double").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    cells = rows.select("word", "after", "after_n").mapInArrow(run, "cell bigint, n double").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     matrix = np.zeros(total * total)
     matrix[cells["cell"].to_numpy()] = cells["n"].to_numpy()
     shared.destroy()
@@ -304,17 +398,24 @@ def _rounds(rows: DataFrame, symbols: np.ndarray, size: int, movable: int, total
     return best[1], best[2]
 
 
-def exchange(pairs: DataFrame, vocabulary: Vocabulary, classes: int, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
+def exchange(pairs: DataFrame, vocabulary: Vocabulary, classes: int, rounds: int = ROUNDS, parts: int = 1) -> tuple[np.ndarray, np.ndarray]:
     """Class of each symbol, and the bigram counts of the classes. Classes from ``classes`` on are forms and the end."""
     size, total = vocabulary.clustered, classes + FORMS + 1
     symbols = np.concatenate([np.arange(size) % max(1, classes), classes + np.arange(FORMS + 1)]).astype(np.int64)
     if size <= 1 or classes <= 1:
         rounds = 0
-    return _rounds(neighbours(pairs), symbols, size, classes, total, rounds, 1e-9)
+    return _rounds(neighbours(pairs, parts), symbols, size, classes, total, rounds, 1e-9)
 
 
 def exchange_all(
-    pairs: DataFrame, vocabulary: Vocabulary, core: int, classes: int, rounds: int = ROUNDS, whole_rounds: int = WHOLE_ROUNDS, price: float = PRICE
+    pairs: DataFrame,
+    vocabulary: Vocabulary,
+    core: int,
+    classes: int,
+    rounds: int = ROUNDS,
+    whole_rounds: int = WHOLE_ROUNDS,
+    price: float = PRICE,
+    parts: int = 1,
 ) -> tuple[np.ndarray, np.ndarray]:
     """As ``exchange`` for any number of words, in ``classes + FORMS`` classes.
 
@@ -326,22 +427,20 @@ def exchange_all(
     total = movable + FORMS + 1
     core = min(core, size)
     form = forms(vocabulary.words.slice(core, size - core))
-    merged = np.concatenate([np.arange(core), core + form, core + np.arange(FORMS + 1)]).astype(np.int32)
-    shared = pairs.sparkSession.sparkContext.broadcast(merged)
+    merged = np.concatenate([np.arange(core), core + form, core + np.arange(FORMS + 1)])
+    shared, few = pairs.sparkSession.sparkContext.broadcast(merged), min(parts, parts_for(4 * (core + FORMS + 1) ** 2))
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of, width = shared.value, core + FORMS + 1
+        of = shared.value
         for batch in batches:
-            a, b, n = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-            cells, place = np.unique(of[a].astype(np.int64) * width + of[b], return_inverse=True)
-            sums = np.bincount(place, n, len(cells)).astype(np.int64)
-            columns = [pa.array((cells // width).astype(np.int32)), pa.array((cells % width).astype(np.int32)), pa.array(sums)]
-            yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "n"])
+            a, b = _parted(_numbers(batch.column(0), "<u8"))
+            yield from _dealt(*_summed(_mixed(of[a], of[b]), _numbers(batch.column(1), "<i8")), few)
 
-    coarse = pairs.select("a", "b", "n").mapInArrow(merge, "a int, b int, n bigint").groupBy("a", "b").agg(F.sum("n").alias("n"))
-    first, _ = exchange(coarse, Vocabulary(vocabulary.words, vocabulary.counts, core), classes, rounds)
+    # staged, so that no task needs a second Python process to deal the blocks out again
+    coarse = staged(_combined(pairs.select("pairs", "counts").mapInArrow(merge, BLOCKS), few), "coarse")
+    first, _ = exchange(coarse, Vocabulary(vocabulary.words, vocabulary.counts, core), classes, rounds, few)
     symbols = np.concatenate([first[:core], classes + form, movable + np.arange(FORMS + 1)]).astype(np.int64)
-    return _rounds(neighbours(pairs), symbols, size, movable, total, whole_rounds if size > core else 0, price)
+    return _rounds(neighbours(pairs, parts), symbols, size, movable, total, whole_rounds if size > core else 0, price)
 
 
 @dataclass
@@ -378,8 +477,9 @@ def fit(
     frequent = int((known["n"].to_numpy() >= least).sum()) if clustered is None else min(clustered, len(known))
     vocabulary = Vocabulary(plain(known["word"]), known["n"].to_numpy(), frequent)
     classes = class_count(words) if classes is None else classes
-    pairs = staged(bigrams(texts, vocabulary), "bigrams")
-    class_of, matrix = exchange_all(pairs, vocabulary, core, classes, rounds, whole_rounds, price)
+    parts = parts_for(tokens)
+    pairs = staged(bigrams(texts, vocabulary, parts), "bigrams")
+    class_of, matrix = exchange_all(pairs, vocabulary, core, classes, rounds, whole_rounds, price, parts)
     classes += FORMS  # those that began as forms
     n_class = matrix.sum(0)
     share = (n_class + 1) / (n_class.sum() + len(n_class))
@@ -395,20 +495,18 @@ def fit(
 
 
 def _words_per_form(counts: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
-    shared = counts.sparkSession.sparkContext.broadcast(vocabulary)
+    """How many words outside the clustered ones each form has: all that are counted less the clustered ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros(FORMS, np.int64)
         for batch in batches:
             words = plain(batch.column(0))
-            words = words.filter(pc.greater(pc.binary_length(words), 0))
-            symbols = shared.value.symbols(words)[1] - shared.value.clustered
-            sums += np.bincount(symbols[symbols >= 0], minlength=FORMS)
+            sums += np.bincount(forms(words.filter(pc.greater(pc.binary_length(words), 0))), minlength=FORMS)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(FORMS)), pa.array(sums)], names=["form", "n"])
 
-    out = np.zeros(FORMS)
+    out = -np.bincount(forms(vocabulary.words.slice(0, vocabulary.clustered)), minlength=FORMS).astype(float)
     for row in counts.select("word").mapInArrow(run, "form bigint, n bigint").groupBy("form").agg(F.sum("n").alias("n")).collect():
-        out[row["form"]] = row["n"]
+        out[row["form"]] += row["n"]
     return out
 
 

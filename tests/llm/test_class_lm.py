@@ -207,3 +207,49 @@ def test_matrix_of_classes(spark):
 
 def test_classes_grow_with_the_vocabulary():
     assert [class_lm.class_count(n) for n in (0, 1000, 10**6, 10**9)] == [2, 5, 50, 500]
+
+
+def test_bigrams_move_in_blocks_not_in_a_row_per_pair(spark):
+    """Blocks hold the counts that a plain loop gives, each pair once, in few rows, and rows of pairs give the same neighbours."""
+    df = spark.createDataFrame([(t,) for _, t in corpus()], "text string").repartition(3)
+    words = sorted({w for _, t in corpus() for w in tokens(t)})
+    vocabulary = class_lm.Vocabulary(pa.array(words), np.arange(len(words), 0, -1), 40)
+    number = {w: i if i < 40 else 40 + int(class_lm.forms(pa.array([w]))[0]) for i, w in enumerate(words)}
+    want = Counter()
+    for _, text in corpus():
+        stream = [vocabulary.end, *(number[w] for w in tokens(text)), vocabulary.end]
+        want.update(zip(stream[:-1], stream[1:], strict=True))
+    blocks = class_lm.bigrams(df, vocabulary, 5).collect()
+    got = []
+    for row in blocks:
+        a, b = class_lm._parted(np.frombuffer(row["pairs"], "<u8"))
+        got += zip(zip(a.tolist(), b.tolist(), strict=True), np.frombuffer(row["counts"], "<i8").tolist(), strict=True)
+    assert len(got) == len(want) and dict(got) == want
+    assert len(blocks) <= 5 < len(want) / 20
+    rows = spark.createDataFrame([(a, b, n) for (a, b), n in want.items()], "a int, b int, n bigint")
+    of = np.arange(vocabulary.end + 1) % 7
+    expected = np.zeros((7, 7))
+    for (a, b), n in want.items():
+        expected[of[a], of[b]] += n
+    for pairs in (rows, class_lm.bigrams(df, vocabulary, 5)):
+        near = class_lm.neighbours(pairs, 3)
+        assert near.select("word").distinct().count() == near.count()
+        assert class_lm.class_matrix(near, of, 7).tolist() == expected.tolist()
+
+
+def test_words_of_forms_are_counted_without_looking_words_up(monkeypatch, spark):
+    """Hashing the whole list for every batch of counts would cost more than their words."""
+    vocabulary = class_lm.Vocabulary(pa.array(["a", "b", "c"]), np.array([5, 4, 1]), 2)
+    monkeypatch.setattr(class_lm.Vocabulary, "symbols", None)
+    counts = spark.createDataFrame([(w, 1) for w in ("", "a", "b", "c", "x", "é,")], "word string, n bigint")
+    assert class_lm._words_per_form(counts, vocabulary)[:4].tolist() == [2, 0, 0, 1]
+
+
+def test_rows_of_blocks_stay_small():
+    codes = np.sort(class_lm._mixed(np.arange(200_000) % 500, np.arange(200_000) // 500))
+    batches = list(class_lm._dealt(codes, np.ones(len(codes), np.int64), 3))
+    sizes = np.concatenate([pa.compute.binary_length(b.column(1)).to_numpy(zero_copy_only=False) for b in batches]) // 8
+    assert sizes.sum() == len(codes) and sizes.max() <= class_lm.ROW
+    assert [p for b in batches for p in b.column(0).to_pylist()] == sorted(p for b in batches for p in b.column(0).to_pylist())
+    a, b = class_lm._parted(np.concatenate([class_lm._numbers(b.column(1), "<u8") for b in batches]))
+    assert set(zip(a.tolist(), b.tolist(), strict=True)) == {(i % 500, i // 500) for i in range(200_000)}
