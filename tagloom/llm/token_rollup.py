@@ -22,7 +22,8 @@ from __future__ import annotations
 import base64
 import re
 import uuid
-from functools import lru_cache
+from functools import lru_cache, reduce
+from operator import or_
 
 import pyarrow as pa
 import tiktoken
@@ -63,17 +64,34 @@ def count_tokens(encoding: tiktoken.Encoding, text: str) -> int:
 
 def with_token_counts(df: DataFrame, rank_file: str, name: str, text: str = "text", where: str = "true") -> DataFrame:
     """``df`` with the tokens of its texts under the version ``name``; null for rows for which ``where`` doesn't hold."""
-    with open(rank_file, "rb") as f:
-        content = df.sparkSession.sparkContext.broadcast(f.read())
-    chosen = df.withColumn("_counted", F.when(F.coalesce(F.expr(where), F.lit(False)), F.coalesce(df[f"`{text}`"], F.lit(""))))
+    return with_versions(df, [(name, rank_file, where)], text)
 
-    def compute(texts: pa.Array, batch: pa.RecordBatch) -> list:
-        encoding = _encoding(content.value)
-        due = batch.column(batch.schema.names.index("_due")).to_pylist()
-        return [[count_tokens(encoding, t) if d else None for t, d in zip(texts.to_pylist(), due, strict=True)]]
 
-    rows = chosen.withColumn("_due", F.col("_counted").isNotNull())
-    return append_columns(rows, "_counted", [T.StructField(name, T.LongType())], compute).drop("_counted", "_due")
+def with_versions(df: DataFrame, versions: list[tuple[str, str, str]], text: str = "text", keep_text: bool = True) -> DataFrame:
+    """``df`` with a count for each (name, file of ranks, condition), null for rows for which the condition doesn't hold.
+
+    Python gets a text once, for all versions together, and doesn't send it back unless the result is to have it.
+    """
+    contents = []
+    for _, rank_file, _ in versions:
+        with open(rank_file, "rb") as f:
+            contents.append(df.sparkSession.sparkContext.broadcast(f.read()))
+    due = [f"_due_{i}" for i in range(len(versions))]
+    holds = [F.coalesce(F.expr(where), F.lit(False)) for _, _, where in versions]
+    counted = F.when(reduce(or_, holds), F.coalesce(df[f"`{text}`"], F.lit("")))
+    rows = df.withColumns({"_counted": counted, **dict(zip(due, holds, strict=True))})
+    rows = rows if keep_text else rows.drop(text)
+
+    def compute(texts: pa.Array, batch: pa.RecordBatch) -> list:
+        words, columns = texts.to_pylist(), []
+        for content, flag in zip(contents, due, strict=True):
+            encoding = _encoding(content.value)
+            wanted = batch.column(batch.schema.names.index(flag)).to_pylist()
+            columns.append([count_tokens(encoding, t) if d else None for t, d in zip(words, wanted, strict=True)])
+        return columns
+
+    fields = [T.StructField(name, T.LongType()) for name, _, _ in versions]
+    return append_columns(rows, "_counted", fields, compute, keep_text=False).drop(*due)
 
 
 def signed(df: DataFrame, sign: int, tokenizer: str, tokens: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from tagloom.llm import token_rollup
+from tagloom.llm import catalog, token_rollup
 from tagloom.operators.sizing import staging_path
 
 ROWS = [("a", "en", 5, 20), ("a", "en", 7, 30), ("b", None, None, 4), (None, "fr", 2, None)]
@@ -114,3 +114,48 @@ def test_token_counts(spark):
     assert Counter((r["doc_id"], r["v"]) for r in out) == want
     some = token_rollup.with_token_counts(df, path, "v", where="lang <> 'en'").collect()
     assert sorted(r["v"] is None for r in some) == [False, True, True, True]
+
+
+def test_one_pass_for_all_versions(spark, tmp_path, monkeypatch):
+    """A task of the query feeds one Python worker, which gets a text once and sends none back."""
+    paths = {v: f"/opt/tokenizers/{v}.tiktoken" for v in ("byte_bpe_50k", "byte_bpe_multi_50k")}
+    if not all(Path(p).exists() for p in paths.values()):
+        pytest.skip("tokenizers are not here")
+    docs = [(1, "a", "en", 9, "Some words"), (1, "a", "fr", 9, "été à Paris"), (2, "a", "de", 3, None), (None, None, None, None, "x  y"), (3, "b", "fr", 5, "é漢")]
+    spark.createDataFrame(docs, "doc_id bigint, source string, lang string, n_chars bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(3, 0.0), (None, 0.0)], "doc_id bigint, quality double").write.parquet(f"{tmp_path}/labels.parquet")
+    plans, kept = [], catalog.staged
+
+    def watched(df, *rest):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return kept(df, *rest)
+
+    monkeypatch.setattr(catalog, "staged", watched)
+    got = {tuple(r[c] for c in token_rollup.GROUP): tuple(r[m] for m in token_rollup.MEASURES) for r in catalog.QUERIES["op9_token_rollup"](spark, str(tmp_path)).collect()}
+    sent, given = plans[0].split("run(")[1].split("\n")[0].split(")#")
+    assert len(plans) == 1 and plans[0].count("run(") == 1
+    assert sent.count("text") == 1 and "text" not in given
+    one, many = (token_rollup._encoding(Path(p).read_bytes()) for p in paths.values())
+    first, second = paths
+    assert got == {
+        ("a", "en", first): (1, len(one.encode_ordinary("Some words")), 9),
+        ("a", "fr", first): (0, 0, 0),
+        ("a", "fr", second): (1, len(many.encode_ordinary("été à Paris")), 9),
+        ("a", "de", first): (0, 0, 0),
+        ("a", "de", second): (1, 0, 3),
+        (None, None, first): (1, len(one.encode_ordinary("x  y")), 0),
+        ("b", "fr", first): (0, 0, 0),
+    }
+
+
+@pytest.mark.parametrize("keep", [True, False])
+def test_versions_count_as_they_would_alone(spark, keep):
+    paths = [f"/opt/tokenizers/{v}.tiktoken" for v in ("byte_bpe_50k", "byte_bpe_multi_50k")]
+    if not all(Path(p).exists() for p in paths):
+        pytest.skip("tokenizers are not here")
+    rows = [(1, "Hello, été", "en"), (1, None, "fr"), (None, "x  y", None), (2, "漢字 a", "fr")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    alone = token_rollup.with_token_counts(token_rollup.with_token_counts(df, paths[0], "v", where="lang = 'en'"), paths[1], "w", where="lang = 'fr'")
+    both = token_rollup.with_versions(df, [("v", paths[0], "lang = 'en'"), ("w", paths[1], "lang = 'fr'")], keep_text=keep)
+    want = alone if keep else alone.drop("text")
+    assert both.columns == want.columns and Counter(both.collect()) == Counter(want.collect())
