@@ -131,7 +131,8 @@ def test_one_pass_for_all_versions(spark, tmp_path, monkeypatch):
         return kept(df, *rest)
 
     monkeypatch.setattr(catalog, "staged", watched)
-    got = {tuple(r[c] for c in token_rollup.GROUP): tuple(r[m] for m in token_rollup.MEASURES) for r in catalog.QUERIES["op9_token_rollup"](spark, str(tmp_path)).collect()}
+    answer = catalog.QUERIES["op9_token_rollup"](spark, str(tmp_path)).collect()
+    got = {tuple(r[c] for c in token_rollup.GROUP): tuple(r[m] for m in token_rollup.MEASURES) for r in answer}
     sent, given = plans[0].split("run(")[1].split("\n")[0].split(")#")
     assert len(plans) == 1 and plans[0].count("run(") == 1
     assert sent.count("text") == 1 and "text" not in given
