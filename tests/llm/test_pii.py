@@ -194,6 +194,49 @@ def test_many_groups_by_columns_are_those_one_by_one(monkeypatch):
         assert found[0] == found[1], text
 
 
+def lesson_rows(text):
+    found = pii.lessons(text, pii.base_spans(text))
+    return sorted(map(repr, zip(*(getattr(found, n).tolist() for n in ("kind", "start", "stop", "role", "label", "x")), strict=True)))
+
+
+def test_lessons_of_many_groups_are_those_one_by_one(monkeypatch):
+    rng = random.Random(9)
+    crossing = 0
+    for _ in range(300):
+        words = ["tel", " ", "+", "+49", " (30) ", "-", ".", "12", "345", "6789", "4111 1111 1111 1111", "+1 (826) 555-4081", "a@b.cd", "1.2.3.4", "é", "_", "İ", "٣"]
+        text = "".join(rng.choices(words, k=rng.randrange(60)))
+        found = []
+        for few in (10_000, 0):
+            monkeypatch.setattr(pii, "FEW", few)
+            monkeypatch.setattr(pii, "BLOCK", rng.choice((1, 7, 4096)))
+            found.append(lesson_rows(text))
+        assert found[0] == found[1], text
+        crossing += sum(", 2, 0.0, [" in row for row in found[0])
+    assert crossing > 1000
+
+
+def test_texts_with_very_many_groups_give_lessons(spark, monkeypatch):
+    """Every stretch that cuts or crosses a base span is learned from, as many of them as the same text gives in small pieces."""
+    piece = "call +1 (826) 555-4081 190.137.223.204 or card 4111 1111 1111 1111 x 12 34 y. " + "-" * 2 * pii.CONTEXT
+    text = piece * 300
+    assert len(pii.digit_groups(text)[0]) > 10 * pii.FEW
+    few, many = pii.lessons(piece, pii.base_spans(piece)), pii.lessons(text, pii.base_spans(text))
+    wrong = int((few.label == 0).sum())
+    assert wrong > 10 and len(many) == 300 * len(few) and int((many.label == 0).sum()) == 300 * wrong
+    seen = []
+    monkeypatch.setattr(pii, "fit", lambda found: seen.append(found.filter("role = 2 AND label = 0").count()) or (None, [2.0] * 4))
+    pii.find(spark.createDataFrame([(1, text), (2, piece), (3, None)], "doc_id bigint, text string"))
+    assert seen == [301 * wrong]
+
+
+def test_lessons_take_linear_time():
+    for text in ("+1 826 555 4081 " * 20_000, "4111 1111 1111 1111 " + "1 " * 150_000, "1.2.3.4 " * 30_000, "1" + " 2" * 150_000 + " a@b.cd"):
+        start = time.time()
+        for _ in pii.lesson_blocks(text, pii.base_spans(text)):
+            pass
+        assert time.time() - start < 10, text[:10]
+
+
 def test_more_writings_of_ip_are_proposed():
     for part in ("1[.]2[.]3[.]4", "10 . 20 . 30 . 40", "8 dot 8 dot 4 dot 4", "2001:db8::8a2e:370:7334", "::ffff:1.2.3.4"):
         assert (1, part) in {(k, t[a:b]) for t in [f"see {part} now"] for k, a, b in pii.proposals(t)}, part
